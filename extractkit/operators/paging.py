@@ -331,12 +331,13 @@ def number_rows(
     column: str = "row_no",
     buckets: int | None = None,
     total_rows: int | None = None,
+    break_ties: bool = False,
 ) -> DataFrame:
     """Add the 0-based global row number of a total order.
 
     Reads the order key twice (a sample, then bucket counts) and the whole rows
-    once.  Repeatable whenever the key is unique, or ties only between rows of one
-    frequent key, which are ordered by content.
+    once.  Repeatable when the key is unique; otherwise ask for ``break_ties``,
+    which orders tied rows by a content hash.
     """
     keys = order_keys(order_by)
     total = df.count() if total_rows is None else total_rows
@@ -346,7 +347,10 @@ def number_rows(
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
     starts = _starts([(row["_bucket"], row["n"]) for row in counts], 2 * len(edges.boundaries) + 1)
     start = _start_column(starts, F.col("_bucket"))
-    window = Window.partitionBy("_bucket").orderBy(*[key.sort() for key in keys])
+    sort = [key.sort() for key in keys]
+    if break_ties:
+        sort.append(F.xxhash64(*df.columns))
+    window = Window.partitionBy("_bucket").orderBy(*sort)
     even = bucketed if not any(edges.frequent) else bucketed.where(F.col("_bucket") % 2 == 0)
     numbered = even.select(*df.columns, (start + F.row_number().over(window) - 1).alias(column))
     if any(edges.frequent):
@@ -394,39 +398,59 @@ def require_unique_order(df: DataFrame, order_by) -> None:
         raise DuplicateKeyError(f"The order key is not unique: {row.asDict()}")
 
 
-def into_chunks(df: DataFrame, order_by, plan: ChunkPlan) -> DataFrame:
-    """The planned rows with ``chunk_id``, each chunk whole and sorted in one task.
+class ChunkLayout:
+    """Where the rows of a chunk plan belong; worked out once, used per wave.
 
-    Unique key: the rows are shuffled once, by exact chunk-aligned boundaries.
-    Otherwise they are numbered first and then moved to their chunk.
+    Unique key: exact chunk-aligned boundaries, so wide rows are shuffled once.
+    Otherwise the rows are numbered first and then moved to their chunk.
     """
-    spark = df.sparkSession
-    keys = order_keys(order_by)
-    groups = bucket_count(plan.planned_rows, spark.sparkContext.defaultParallelism)
-    sort = [key.sort() for key in keys]
-    if plan.total_chunks == 0:
-        return df.limit(0).withColumn("chunk_id", F.lit(0).cast("bigint")).withColumn("_row_no", F.lit(0).cast("bigint"))
-    exact = chunk_boundaries(df, keys, plan, groups)
-    if exact is None:
-        numbered = with_chunks(number_rows(df, keys, column="_row_no", total_rows=plan.total_rows), plan, "_row_no")
-        parts = min(plan.total_chunks, max(groups, spark.sparkContext.defaultParallelism))
-        return numbered.repartition(parts, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
-    edges, chunks_per_group = exact
-    # Boundary p (from 1) opens group p - 1; rows before the first or after the
-    # last planned row fall outside.
-    group = F.floor(F.col("_bucket") / 2) - 1
-    whole_groups = math.ceil(plan.total_chunks / chunks_per_group)
-    window = Window.partitionBy("_group").orderBy(*sort)
-    rows_per_group = chunks_per_group * plan.chunk_size
-    placed = (
-        df.withColumn("_bucket", edges.column())
-        .withColumn("_group", group.cast("bigint"))
-        .where((F.col("_group") >= 0) & (F.col("_group") < whole_groups))
-        .withColumn("_row_no", F.col("_group") * rows_per_group + F.row_number().over(window) - 1)
-    )
-    return (
-        placed.withColumn("chunk_id", F.floor(F.col("_row_no") / plan.chunk_size).cast("bigint"))
-        .withColumn("_row_no", F.col("_row_no") + F.lit(plan.start_offset).cast("bigint"))
-        .drop("_bucket", "_group")
-        .sortWithinPartitions("chunk_id", "_row_no")
-    )
+
+    def __init__(self, df: DataFrame, order_by, plan: ChunkPlan):
+        self.df, self.plan = df, plan
+        self.keys = order_keys(order_by)
+        self.parallelism = df.sparkSession.sparkContext.defaultParallelism
+        self.groups = bucket_count(plan.planned_rows, self.parallelism)
+        self.exact = self.numbered = None
+        if plan.total_chunks:
+            self.exact = chunk_boundaries(df, self.keys, plan, self.groups)
+        if plan.total_chunks and self.exact is None:
+            numbered = number_rows(df, self.keys, column="_row_no", total_rows=plan.total_rows, break_ties=True)
+            self.numbered = with_chunks(numbered, plan, "_row_no")
+
+    def rows(self, only: set[int] | None = None) -> DataFrame:
+        """Planned rows with ``chunk_id`` and ``_row_no``, chunks whole and sorted.
+
+        ``only`` restricts the result to some chunks before the shuffle.
+        """
+        chunk, row_no = F.col("chunk_id"), F.col("_row_no")
+        if not self.plan.total_chunks or (only is not None and not only):
+            none = F.lit(0).cast("bigint")
+            return self.df.limit(0).withColumn("chunk_id", none).withColumn("_row_no", none)
+        if self.exact is None:
+            chunked = self.numbered if only is None else self.numbered.where(chunk.isin(sorted(only)))
+            parts = min(self.plan.total_chunks, max(self.groups, self.parallelism))
+            return chunked.repartition(parts, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
+        edges, per_group = self.exact
+        # Boundary p (from 1) opens group p - 1; rows before the first boundary or
+        # after the last planned row fall outside.
+        group = F.col("_group")
+        grouped = self.df.withColumn("_bucket", edges.column())
+        grouped = grouped.withColumn("_group", (F.floor(F.col("_bucket") / 2) - 1).cast("bigint"))
+        if only is None:
+            grouped = grouped.where((group >= 0) & (group < math.ceil(self.plan.total_chunks / per_group)))
+        else:
+            grouped = grouped.where(group.isin(sorted({c // per_group for c in only})))
+        window = Window.partitionBy("_group").orderBy(*[key.sort() for key in self.keys])
+        position = group * (per_group * self.plan.chunk_size) + F.row_number().over(window) - 1
+        placed = grouped.withColumn("_row_no", position).withColumn(
+            "chunk_id", F.floor(row_no / self.plan.chunk_size).cast("bigint")
+        )
+        if only is not None:
+            placed = placed.where(chunk.isin(sorted(only)))
+        placed = placed.withColumn("_row_no", row_no + F.lit(self.plan.start_offset).cast("bigint"))
+        return placed.drop("_bucket", "_group").sortWithinPartitions("chunk_id", "_row_no")
+
+
+def into_chunks(df: DataFrame, order_by, plan: ChunkPlan) -> DataFrame:
+    """All planned rows of :class:`ChunkLayout`."""
+    return ChunkLayout(df, order_by, plan).rows()

@@ -242,10 +242,13 @@ class ManagedTables:
         # executor can reach it.
         staged_path = scratch_path(self.spark, f"staged-{name}")
         self._aligned(source, current).write.parquet(staged_path)
-        staged = self.spark.read.schema(current.columns).parquet(staged_path)
-        if staged.isEmpty():
-            return current
-        return self._upsert_staged(name, current, staged, names, on_duplicate, newer_than, batch)
+        try:
+            staged = self.spark.read.schema(current.columns).parquet(staged_path)
+            if staged.isEmpty():
+                return current
+            return self._upsert_staged(name, current, staged, names, on_duplicate, newer_than, batch)
+        finally:
+            self.files.delete(staged_path)
 
     def _upsert_staged(self, name, current, staged, names, on_duplicate, newer_than, batch) -> Version:
         table = self._open(name, current.columns, current.files)
