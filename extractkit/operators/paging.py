@@ -22,7 +22,8 @@ from ..errors import DuplicateKeyError
 from ..functions.naming import check_identifier
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 32_768
+MAX_BUCKETS = 8_192
+MAX_COMPILED_BOUNDARIES = 63
 SAMPLES_PER_BUCKET = 20
 COPIES_PER_BLOCK = 10_000
 DEFAULT_CHUNK_ROWS = 10_000
@@ -153,19 +154,29 @@ def with_chunks(numbered: DataFrame, plan: ChunkPlan, row_column: str = "row_no"
 # --- distributed row numbers ------------------------------------------------------
 
 
-def _encoded(df: DataFrame, key: OrderKey) -> Column:
-    """The key in a form that survives the trip through Python literals."""
+def _encoded(df: DataFrame, key: OrderKey) -> str:
+    """SQL for the key in a form that survives the trip through Python literals."""
     kind = df.schema[key.name].dataType
-    column = F.col(key.name)
+    column = f"`{key.name}`"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp"))
+        return f"unix_micros(CAST({column} AS TIMESTAMP))"
     if isinstance(kind, T.DateType):
-        return F.unix_date(column)
+        return f"unix_date({column})"
     if isinstance(kind, (T.NumericType, T.StringType, T.BooleanType, T.BinaryType)):
         return column
     raise TypeError(f"Cannot order by {key.name}: {kind.simpleString()}")
 
 
+def sql_literal(value, kind: T.DataType) -> str:
+    """SQL text of one collected value."""
+    if isinstance(kind, T.StringType):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(kind, T.BinaryType):
+        return f"X'{bytes(value).hex()}'"
+    return f"CAST('{value}' AS {kind.simpleString()})"
+
+
 class Buckets:
     """Literal boundaries of an order key and the bucket expression they give.
 
@@ -178,58 +189,54 @@ class Buckets:
         self.keys = keys
         self.boundaries = boundaries
         self.frequent = frequent
-        encoded = [_encoded(df, key) for key in keys]
-        self._row = dict(zip((f"k{i}" for i in range(len(keys))), encoded))
-        self._kinds = [df.select(c).schema[0].dataType for c in encoded]
-
-    def _literals(self) -> Column:
-        structs = []
-        for values, hot in zip(self.boundaries, self.frequent):
-            fields = [
-                F.lit(value).cast(kind).alias(f"k{i}")
-                for i, (value, kind) in enumerate(zip(values, self._kinds))
-            ]
-            structs.append(F.struct(*fields, F.lit(hot).alias("hot")))
-        return F.array(*structs)
-
-    def _at_or_after(self, bound: Column) -> Column:
+        self._rows = [_encoded(df, key) for key in keys]
+        kinds = df.select(*[F.expr(row) for row in self._rows]).schema
+        self._kinds = [field.dataType for field in kinds.fields]
+
+    def _at_or_after(self, edge: tuple) -> str:
         """Is the row at or after one boundary, NULL being the largest value?"""
-        result = F.lit(True)
+        result = None
         for i in range(len(self.keys) - 1, -1, -1):
-            row, edge = self._row[f"k{i}"], bound.getField(f"k{i}")
-            high, low = (edge, row) if self.keys[i].descending else (row, edge)
-            beyond = (high.isNull() & low.isNotNull()) | F.coalesce(high > low, F.lit(False))
-            result = beyond | (row.eqNullSafe(edge) & result)
+            row, value, down = self._rows[i], edge[i], self.keys[i].descending
+            if value is None:
+                rest = "true" if result is None else result
+                result = f"({row} IS NOT NULL OR {rest})" if down else f"({row} IS NULL AND {rest})"
+                continue
+            bound, sign = sql_literal(value, self._kinds[i]), "<" if down else ">"
+            past = f"{row} {sign}= {bound}"
+            if result is not None:
+                past = f"{row} {sign} {bound} OR ({row} = {bound} AND {result})"
+            result = f"({past})" if down else f"({row} IS NULL OR {past})"
         return result
 
-    def _equals(self, bound: Column) -> Column:
-        same = F.lit(True)
-        for i in range(len(self.keys)):
-            same = same & self._row[f"k{i}"].eqNullSafe(bound.getField(f"k{i}"))
-        return same
+    def _equals(self, edge: tuple) -> str:
+        terms = []
+        for row, value, kind in zip(self._rows, edge, self._kinds):
+            terms.append(f"{row} <=> " + ("NULL" if value is None else sql_literal(value, kind)))
+        return " AND ".join(terms)
+
+    def _leaf(self, position: int) -> str:
+        if position and self.frequent[position - 1]:
+            hot = self._equals(self.boundaries[position - 1])
+            return f"CASE WHEN {hot} THEN {2 * position - 1} ELSE {2 * position} END"
+        return str(2 * position)
+
+    def _search(self, low: int, high: int) -> str:
+        """Decision tree over the boundaries numbered ``low + 1`` to ``high``."""
+        if low == high:
+            return self._leaf(low)
+        middle = (low + high + 1) // 2
+        passed = self._at_or_after(self.boundaries[middle - 1])
+        return f"CASE WHEN {passed} THEN {self._search(middle, high)} ELSE {self._search(low, middle - 1)} END"
 
     def column(self) -> Column:
-        """Bucket number of a row, by binary search over the boundaries."""
-        if not self.boundaries:
-            return F.lit(0)
-        edges = self._literals()
-        top = 1 << (len(self.boundaries).bit_length() - 1)
-        steps = F.array(*[F.lit(top >> i) for i in range(top.bit_length())])
-
-        def climb(position, step):
-            edge = F.get(edges, position + step - 1)
-            # A one-element transform binds the boundary once.
-            passed = F.transform(F.array(edge), lambda e: e.isNotNull() & self._at_or_after(e))
-            return F.when(F.get(passed, F.lit(0)), position + step).otherwise(position)
-
-        def settle(position):
-            edge = F.get(edges, position - 1)
-            odd = F.transform(F.array(edge), lambda e: F.coalesce(e.getField("hot") & self._equals(e), F.lit(False)))
-            return position * 2 - F.get(odd, F.lit(0)).cast("int")
-
-        if not any(self.frequent):
-            return F.aggregate(steps, F.lit(0), climb, lambda position: position * 2)
-        return F.aggregate(steps, F.lit(0), climb, settle)
+        """Bucket number of a row; a row meets only one path of the tree."""
+        tree = F.expr(self._search(0, len(self.boundaries)))
+        if len(self.boundaries) <= MAX_COMPILED_BOUNDARIES:
+            return tree
+        # A large tree does not fit into one generated method.  Lambda bodies are
+        # evaluated without code generation, which keeps the rest of the stage fast.
+        return F.get(F.transform(F.array(F.lit(0)), lambda _: tree), F.lit(0))
 
 
 def bucket_count(total_rows: int, parallelism: int) -> int:
@@ -249,7 +256,7 @@ def sample_buckets(df: DataFrame, order_by, buckets: int, total_rows: int) -> Bu
     if total_rows > wanted:
         narrow = narrow.sample(fraction=wanted / total_rows, seed=17)
     ordered = narrow.orderBy(*[key.sort() for key in keys])
-    rows = ordered.select(*[_encoded(df, key).alias(f"k{i}") for i, key in enumerate(keys)]).collect()
+    rows = ordered.select(*[F.expr(_encoded(df, key)).alias(f"k{i}") for i, key in enumerate(keys)]).collect()
     boundaries, frequent = [], []
     for step in range(1, buckets):
         position = len(rows) * step // buckets
@@ -277,7 +284,7 @@ def _starts(counts: list[tuple], width: int) -> list[int]:
 
 
 def _start_column(starts: list[int], bucket: Column) -> Column:
-    return F.get(F.array(*[F.lit(start).cast("bigint") for start in starts]), bucket)
+    return F.get(F.expr("array(" + ", ".join(f"{start}L" for start in starts) + ")"), bucket)
 
 
 def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFrame:
@@ -377,7 +384,7 @@ def chunk_boundaries(df: DataFrame, order_by, plan: ChunkPlan, groups: int) -> t
     stops = F.lit(plan.planned_rows)
     edge_rows = (
         ranked.where(((position >= 0) & (position < stops) & (position % rows_per_group == 0)) | (position == stops))
-        .select(F.col("_rank"), *[_encoded(df, key).alias(f"k{i}") for i, key in enumerate(keys)])
+        .select(F.col("_rank"), *[F.expr(_encoded(df, key)).alias(f"k{i}") for i, key in enumerate(keys)])
         .collect()
     )
     edges = [tuple(row)[1:] for row in sorted(edge_rows, key=lambda row: row["_rank"])]
