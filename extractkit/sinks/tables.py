@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..errors import ConcurrentCommitError, DuplicateKeyError, ToolkitError
 from ..functions.naming import check_identifier
 from ..operators.checks import require_same_columns
 from ..operators.filters import require_columns
+from ..operators.merge import MergeSpec, matched_rows, new_rows, require_single_match, touched_rows
 from ..operators.upsert import (
     ambiguous_source_keys,
     delete_where,
@@ -275,11 +277,31 @@ class ManagedTables:
             name, current.number, "upsert", current.columns, (*stay, *files), self._batches(current, batch)
         )
 
-    def merge(self, name: str, merged: DataFrame) -> Version:
-        """Publish the outcome of a general merge."""
+    def merge(self, name: str, source: DataFrame, spec: MergeSpec) -> Version:
+        """General merge; only files that hold a matched row are rewritten."""
         current = self._current(name)
-        files = self._write(name, self._aligned(merged, current))
-        return self._publish(name, current.number, "merge", current.columns, files, current.batches)
+        table = self._open(name, current.columns, current.files)
+        staged_path = scratch_path(self.spark, f"staged-{name}")
+        source.write.parquet(staged_path)
+        try:
+            staged = self.spark.read.schema(source.schema).parquet(staged_path)
+            touched: set[str] = set()
+            if current.files and spec.matched:
+                position = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+                require_single_match(table, staged, spec, position)
+                named = table.select("*", F.col("_metadata.file_name").alias("_file"))
+                found = touched_rows(named, staged, spec).select("_file").distinct().collect()
+                touched = {row["_file"] for row in found}
+            stay = [f for f in current.files if f.rsplit("/", 1)[-1] not in touched]
+            redo = [f for f in current.files if f.rsplit("/", 1)[-1] in touched]
+            parts = [matched_rows(self._open(name, current.columns, redo), staged, spec)] if redo else []
+            added = new_rows(table, staged, spec)
+            if added is not None:
+                parts.append(added)
+            files = self._write(name, reduce(DataFrame.unionByName, parts)) if parts else []
+            return self._publish(name, current.number, "merge", current.columns, (*stay, *files), current.batches)
+        finally:
+            self.files.delete(staged_path)
 
     # --- helpers --------------------------------------------------------------------
 
