@@ -38,8 +38,9 @@ LOCAL_QUERY = ("SELECT", "WITH", "SHOW", "DESCRIBE", "EXPLAIN")
 LOCAL_DESTRUCTIVE = ("DROP", "TRUNCATE")
 
 _COMMENT = r"--[^\r\n]*+|/\*(?s:.*?)(?:\*/|\z)"
-_SINGLE_QUOTED = r"'[^']*+(?:''[^']*+)*+(?:'|\z)"
-_DOUBLE_QUOTED = r"\"[^\"]*+(?:\"\"[^\"]*+)*+(?:\"|\z)"
+# A doubled quote ends one literal and opens the next, which masks the same text.
+_SINGLE_QUOTED = r"'[^']*+(?:'|\z)"
+_DOUBLE_QUOTED = r"\"[^\"]*+(?:\"|\z)"
 _BRACKET_QUOTED = "|".join(
     rf"[qQ]'\{opening}(?s:.*?)(?:\{closing}'|\z)" for opening, closing in ("[]", "{}", "()", "<>")
 )
