@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("extract",)
+MODULES = ("extract", "changes")
 
 
 def all_queries() -> dict:
