@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("extract", "changes")
+MODULES = ("extract", "changes", "metadata", "texts")
 
 
 def all_queries() -> dict:

@@ -46,6 +46,8 @@ _BRACKET_QUOTED = "|".join(
 )
 _CHAR_QUOTED = r"[qQ]'(?s:(.).*?)(?:\1'|\z)"
 _MASKED = "|".join((_COMMENT, _BRACKET_QUOTED, _CHAR_QUOTED, _SINGLE_QUOTED, _DOUBLE_QUOTED))
+# Without the open-ended forms: an unclosed quote hides no table.
+_CLOSED = "|".join((r"--[^\r\n]*+", r"/\*(?s:.*?)\*/", _BRACKET_QUOTED, _CHAR_QUOTED, r"'[^']*+'")).replace(r"|\z)", ")")
 
 _FENCE = r"(?is)```(?:sql|oracle|plsql)?\s*(.*?)```"
 _STATEMENT = (
@@ -189,6 +191,6 @@ def with_local_classification(df, sql_column: str, *, prefix: str = ""):
 
 def referenced_tables(text: Column) -> Column:
     """Distinct upper-case names after FROM and JOIN, in order of appearance."""
-    bare = F.regexp_replace(extract_sql(text), _COMMENT + "|" + _SINGLE_QUOTED, " ")
+    bare = F.regexp_replace(extract_sql(text), _CLOSED, " ")
     names = F.regexp_extract_all(bare, F.lit(_TABLE_REFERENCE), F.lit(1))
     return F.array_distinct(F.transform(names, F.upper))
