@@ -288,12 +288,12 @@ def dataset_diff_copies(spark, folder):
 
 @query(
     """
-    SELECT c_custkey AS custkey, 'only_left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)
+    SELECT c_custkey AS custkey, 'only_left' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)
     UNION ALL
-    SELECT DISTINCT o_custkey, 'only_right' FROM orders WHERE o_totalprice > 200000 AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+    SELECT DISTINCT o_custkey, 'only_right' FROM orders WHERE o_totalprice > 450000 AND o_custkey NOT IN (SELECT c_custkey FROM customer)
     """
 )
 def key_diff(spark, folder):
     left = load(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"))
-    right = load(spark, folder, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("custkey"))
+    right = load(spark, folder, "orders").where("o_totalprice > 450000").select(F.col("o_custkey").alias("custkey"))
     return checks.key_diff(left, right, "custkey")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from extractkit.session import configure, scratch_path
+from extractkit.session import configure, scratch_path, spread
 from extractkit.sinks.tables import ManagedTables
 from extractkit.sources.library import DataLibrary
 
@@ -14,9 +14,11 @@ TABLES = (
 )
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def load(spark: SparkSession, folder: str, table: str, spread_by: str | None = None) -> DataFrame:
+    """One given table; ``spread_by`` names its key where the work per row is heavy."""
     configure(spark)
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    df = spark.read.parquet(f"{folder}/{table}.parquet")
+    return spread(df, spread_by) if spread_by else df
 
 
 def library(spark: SparkSession, folder: str) -> DataLibrary:

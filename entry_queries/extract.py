@@ -227,7 +227,7 @@ def chunk_layout(spark, folder):
 _WRITTEN = "SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id, o_totalprice FROM orders"
 _COUNTS = f"""
     SELECT chunk_id, CAST(count(*) AS BIGINT) AS planned_rows,
-           CAST(count(*) FILTER (WHERE o_totalprice < 499900) AS BIGINT) AS written_rows
+           CAST(count(*) FILTER (WHERE o_totalprice < 495000) AS BIGINT) AS written_rows
     FROM ({_WRITTEN}) GROUP BY chunk_id
 """
 
@@ -237,7 +237,7 @@ def _reconciled(spark, folder):
     plan = paging.plan_chunks(orders.count(), 1000)
     numbered = paging.with_chunks(paging.number_rows(orders, "o_orderkey", buckets=8, total_rows=plan.total_rows), plan)
     planned = paging.chunk_table(spark, plan)
-    return planned, checks.reconcile(planned, numbered.where("o_totalprice < 499900"))
+    return planned, checks.reconcile(planned, numbered.where("o_totalprice < 495000"))
 
 
 @query(f"SELECT *, CASE WHEN written_rows < planned_rows THEN 'short' ELSE 'ok' END AS status FROM ({_COUNTS})")
@@ -336,13 +336,14 @@ def manifest(spark, folder):
 @query(
     """
     SELECT 'missing' AS status, CAST(1 AS BIGINT) AS parts UNION ALL SELECT 'changed', CAST(1 AS BIGINT)
-    UNION ALL SELECT 'ok', CAST((count(*) + 499) // 500 - 2 AS BIGINT) FROM customer
+    UNION ALL SELECT 'ok', CAST((count(*) + count(*) // 10 - 1) // (count(*) // 10) - 2 AS BIGINT) FROM orders
     """
 )
 def verify_parts(spark, folder):
     """One part deleted and one overwritten after publication."""
     target = scratch_path(spark, "parts")
-    write_parts(load(spark, folder, "customer"), target, "c_custkey", chunk_size=500)
+    orders = load(spark, folder, "orders")
+    write_parts(orders, target, "o_orderkey", chunk_size=orders.count() // 10)
     parts = [item["part"] for item in read_manifest(spark, target)["files"]]
     files = Files(spark)
     files.delete(f"{target}/{parts[0]}")

@@ -321,7 +321,7 @@ def protected_paths(spark, folder):
 
 
 def _xml_payloads(spark, folder):
-    orders = load(spark, folder, "orders")
+    orders = load(spark, folder, "orders", "o_orderkey")
     digit = F.col("o_orderkey") % 10
     row = F.format_string(
         "<G_1><KEY>%08d</KEY><STATUS>%s</STATUS><NOTE>a &amp; %s</NOTE></G_1>", "o_orderkey", "o_orderstatus", "o_orderpriority"
@@ -366,7 +366,7 @@ def xml_status(spark, folder):
 
 
 def _envelopes(spark, folder):
-    orders = load(spark, folder, "orders")
+    orders = load(spark, folder, "orders", "o_orderkey")
     digit = F.col("o_orderkey") % 8
     code = F.base64(F.encode(F.concat(F.lit("<A>"), "o_orderpriority", F.lit("</A>")), "UTF-8"))
     body = (
@@ -409,7 +409,7 @@ def soap_faults(spark, folder):
 
 def _job_responses(spark, folder):
     """Status as JSON text or object, CHILD as object, array or absent."""
-    events = load(spark, folder, "events")
+    events = load(spark, folder, "events", "event_id")
     digit = F.col("event_id") % 3
     state = (
         F.when(F.col("event_type") == "purchase", F.lit("SUCCEEDED"))
@@ -480,7 +480,7 @@ def _zip_documents(batches):
 
 
 def _archives(spark, folder):
-    docs = load(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("path"), "text", "lang")
+    docs = load(spark, folder, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("path"), "text", "lang")
     return docs.mapInPandas(_zip_documents, "path string, content binary")
 
 

@@ -45,7 +45,8 @@ def _query_log(spark, folder):
     text = F.lit(None).cast("string")
     for number, entry in enumerate(_LOG):
         text = F.when(kind == number, F.replace(F.lit(entry[0]), F.lit("{k}"), key)).otherwise(text)
-    return load(spark, folder, "orders").select(F.col("o_orderkey").alias("query_id"), text.alias("sql"))
+    orders = load(spark, folder, "orders", "o_orderkey")
+    return orders.select(F.col("o_orderkey").alias("query_id"), text.alias("sql"))
 
 
 def _constant(value) -> str:
@@ -147,7 +148,7 @@ def extract_sql_turns(spark, folder):
     """Turns with a fenced statement, or with one on a line of its own, after prose."""
     turns = load(spark, folder, "conversations")
     fenced = F.concat("text", F.lit("\n```sql\n  select "), F.col("turn").cast("string"), F.lit(" from t\n```\n"), "text")
-    line = F.concat(F.regexp_replace("text", r"\s+", " "), F.lit("\n  DELETE FROM t  "))
+    line = F.concat(F.lit("- "), F.regexp_replace("text", r"\s+", " "), F.lit("\n  DELETE FROM t  "))
     text = F.when(F.col("role") == "user", fenced).when(F.col("role") == "assistant", line).otherwise(F.lit("nothing"))
     return querylog.extract_statements(turns.select("conv_id", "turn", text.alias("text"))).select("conv_id", "turn", "sql")
 
@@ -171,12 +172,12 @@ def _redacted_sql(table: str, key: str, text: str) -> str:
 
 @query(_redacted_sql("documents", "doc_id", "text"))
 def redact_documents(spark, folder):
-    return querylog.redact_table(load(spark, folder, "documents").select("doc_id", "text"))
+    return querylog.redact_table(load(spark, folder, "documents", "doc_id").select("doc_id", "text"))
 
 
 @query(_redacted_sql("pages", "page_id", "html"))
 def redact_pages(spark, folder):
-    return querylog.redact_table(load(spark, folder, "pages").select("page_id", "html"), "html")
+    return querylog.redact_table(load(spark, folder, "pages", "page_id").select("page_id", "html"), "html")
 
 
 @query(
@@ -262,7 +263,7 @@ def _error_log(spark, folder):
     text = F.lit(None).cast("string")
     for number, entry in enumerate(_ERROR_TEXTS):
         text = F.when(kind == number, F.replace(F.lit(entry[0]), F.lit("{k}"), key)).otherwise(text)
-    return load(spark, folder, "events").select("event_id", text.alias("text"))
+    return load(spark, folder, "events", "event_id").select("event_id", text.alias("text"))
 
 
 def _error_case(position: int) -> str:

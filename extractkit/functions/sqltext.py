@@ -122,8 +122,9 @@ def with_classification(df, sql_column: str, *, read_only: bool = True, prefix:
     out = out.withColumn("_masked", mask_literals(col("_sql")))
     out = out.withColumn("_word", F.when(col("_sql").isNotNull(), first_word(col("_masked"))))
     out = out.withColumn("_kind", F.when(col("_word").isNotNull(), statement_class(col("_word"))))
+    any_unsafe = col("_masked").rlike("(?i)" + "|".join(pattern for pattern, _ in UNSAFE_CLAUSES))
     unsafe = [
-        F.when(col("_masked").rlike("(?i)" + pattern), F.lit(f"contains {label}"))
+        F.when(col("_any_unsafe") & col("_masked").rlike("(?i)" + pattern), F.lit(f"contains {label}"))
         for pattern, label in UNSAFE_CLAUSES
     ]
     # A WITH statement may still end in a data change.
@@ -133,6 +134,7 @@ def with_classification(df, sql_column: str, *, read_only: bool = True, prefix:
             F.lit("WITH statement changes data"),
         )
     )
+    out = out.withColumn("_any_unsafe", any_unsafe)
     out = out.withColumn("_unsafe", F.filter(F.array(*unsafe), lambda r: r.isNotNull()))
     out = out.withColumn("_many", has_several_statements(col("_masked")))
     out = out.withColumn(f"{prefix}statement_type", col("_kind"))
@@ -159,7 +161,7 @@ def with_classification(df, sql_column: str, *, read_only: bool = True, prefix:
         .when((col("_kind") == "QUERY") & ~col(f"{prefix}allowed"), F.lit("MEDIUM"))
         .when(col("_kind").isNotNull(), F.lit("HIGH")),
     )
-    return out.drop("_sql", "_masked", "_word", "_kind", "_unsafe", "_many")
+    return out.drop("_sql", "_masked", "_word", "_kind", "_any_unsafe", "_unsafe", "_many")
 
 
 def with_local_classification(df, sql_column: str, *, prefix: str = ""):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and splits skewed
 # partitions at run time; UTC keeps timestamp text stable.
@@ -37,6 +37,16 @@ def local_session(app_name: str = "extractkit", cores: int | str = "*", **conf:
     return configure(builder.getOrCreate())
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for expensive work on rows read from few files.
+
+    Only for a plain scan.  One that already has a partition per core, as any large
+    table does, is left alone; the keys make the new places repeatable.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

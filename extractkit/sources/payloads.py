@@ -125,34 +125,34 @@ def result_columns(df: DataFrame, xml: str, *, row_element: str = "G_1") -> list
     return [row["name"] for row in ordered.collect()]
 
 
-def _job_field(job: Column, name: str) -> Column:
-    return F.get_json_object(job, f"$.{name}")
-
-
 def with_job(df: DataFrame, response: str) -> DataFrame:
     """Parent columns of a job-status response; its children stay as ``_children``.
 
     The status document may be an object or a JSON text, its top key ``JOBS`` or
-    ``jobs``, and ``CHILD`` one object, an array, or absent.
+    ``jobs``, and ``CHILD`` one object, an array, or absent.  A nested object read
+    into a text field keeps its JSON, so each document is parsed once.
     """
-    body = F.get_json_object("_item", "$.RequestStatus")
+    col = F.col
+    item = F.from_json(response, "items array<struct<OperationName:string,ReqstId:string,RequestStatus:string>>")
     job = F.coalesce(F.get_json_object("_status", "$.JOBS"), F.get_json_object("_status", "$.jobs"), F.lit("{}"))
-    children = F.coalesce(_job_field(F.col("_job"), "CHILD"), _job_field(F.col("_job"), "child"))
-    out = df.withColumn("_item", F.get_json_object(response, "$.items[0]"))
-    out = out.withColumn("_status", body).withColumn("_job", job)
-    state = _job_field(F.col("_job"), "STATUS")
-    upper = F.upper(F.coalesce(state, F.lit("")))
+    out = df.withColumn("_item", F.get(item.getField("items"), F.lit(0)))
+    out = out.withColumn("_status", col("_item.RequestStatus")).withColumn("_text", job)
+    parsed = F.from_json("_text", "REQUESTID string, JOBNAME string, JOBPATH string, STATUS string, CHILD string")
+    out = out.withColumn("_job", parsed)
+    lower_child = F.when(col("_job.CHILD").isNull(), F.get_json_object("_text", "$.child"))
+    upper = F.upper(F.coalesce(col("_job.STATUS"), F.lit("")))
+    operation = F.coalesce(col("_item.OperationName"), F.lit("getESSExecutionDetails"))
     return out.select(
         *df.columns,
-        F.col("_item").isNotNull().alias("found"),
-        F.when(F.col("_item").isNotNull(), F.coalesce(F.get_json_object("_item", "$.OperationName"), F.lit("getESSExecutionDetails"))).alias("operation"),
-        F.coalesce(_job_field(F.col("_job"), "REQUESTID"), F.get_json_object("_item", "$.ReqstId")).alias("request_id"),
-        _job_field(F.col("_job"), "JOBNAME").alias("job_name"),
-        _job_field(F.col("_job"), "JOBPATH").alias("job_path"),
-        state.alias("status"),
+        col("_item").isNotNull().alias("found"),
+        F.when(col("_item").isNotNull(), operation).alias("operation"),
+        F.coalesce(col("_job.REQUESTID"), col("_item.ReqstId")).alias("request_id"),
+        col("_job.JOBNAME").alias("job_name"),
+        col("_job.JOBPATH").alias("job_path"),
+        col("_job.STATUS").alias("status"),
         upper.isin(*TERMINAL_STATES).alias("terminal"),
         (upper == "SUCCEEDED").alias("succeeded"),
-        F.from_json(children, _CHILD_TYPE).alias("_children"),
+        F.from_json(F.coalesce(col("_job.CHILD"), lower_child), _CHILD_TYPE).alias("_children"),
     )
 
 
