@@ -56,13 +56,16 @@ def _part_name(path: str):
 
 
 def part_hashes(spark: SparkSession, folder: str | list[str]) -> DataFrame:
-    """``part, bytes, sha256`` of every part file, hashed by the tasks that read it."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "part-*"
-    )
-    return found.load(folder).select(
-        _part_name("path").alias("part"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
+    """``part, bytes, sha256`` of every part file, hashed by the tasks that read it.
+
+    A file that is listed but cannot be read has the hash ``unreadable``.
+    """
+    found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="part-*")
+    listed = found.load(folder).select(_part_name("path").alias("part"), F.col("length").alias("bytes"))
+    hashed = found.option("ignoreCorruptFiles", "true").load(folder)
+    hashed = hashed.select(_part_name("path").alias("part"), F.sha2("content", 256).alias("_hash"))
+    both = listed.join(hashed, "part", "left")
+    return both.select("part", "bytes", F.coalesce("_hash", F.lit("unreadable")).alias("sha256"))
 
 
 def read_parts(spark: SparkSession, folder: str | list[str], columns: list[str] | None = None, output_format: str = "parquet",

@@ -56,3 +56,18 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", schema=
             for name, kind in types.items()
         ]
     )
+
+
+def read_checked(spark: SparkSession, path: str, schema: str, delimiter: str = ",") -> DataFrame:
+    """A delimited file with a header and a fixed schema, plus ``_malformed``.
+
+    Rows with too many or too few fields, or with a value that does not fit its
+    type, are kept and marked.  Column pruning is off: it would skip the check of
+    columns nobody asked for.
+    """
+    reader = spark.read.options(
+        header="true", sep=delimiter, quote='"', escape='"', multiLine="true", mode="PERMISSIVE",
+        columnNameOfCorruptRecord="_record", columnPruning="false",
+    )
+    rows = reader.schema(f"{schema}, _record string").csv(path)
+    return rows.withColumn("_malformed", F.col("_record").isNotNull()).drop("_record")
