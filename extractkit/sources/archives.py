@@ -27,9 +27,10 @@ def _member_rows(archive: str, content: bytes):
         yield archive, None, None, None, None, None, f"not a ZIP archive: {error}", None
         return
     with handle:
-        for item in handle.infolist():
-            if item.is_dir():
-                continue
+        items = [item for item in handle.infolist() if not item.is_dir()]
+        if not items:
+            yield archive, None, None, None, None, None, "archive is empty", None
+        for item in items:
             is_xml = posixpath.splitext(item.filename)[1].lower() in XML_EXTENSIONS
             unsafe = item.filename.startswith(("/", "\\")) or ".." in item.filename.replace("\\", "/").split("/")
             data = text = valid = error = None
@@ -88,7 +89,7 @@ def archive_report(members: DataFrame) -> DataFrame:
         F.count_if(F.col("is_xml")).alias("xml_members"),
         F.count_if(~F.col("xml_valid")).alias("invalid_xml"),
         F.count_if(F.col("unsafe_path")).alias("unsafe_paths"),
-        F.count_if(F.col("member").isNull()).alias("_broken"),
+        F.count_if(F.col("error").startswith("not a ZIP")).alias("_broken"),
         F.count_if(F.col("error").startswith("corrupt member")).alias("_corrupt"),
     )
     status = (
