@@ -28,3 +28,12 @@ def contains_any(value: Column, tokens) -> Column:
     for token in tokens:
         found = found | value.contains(token)
     return found
+
+
+def explode_filled(df, keep, array: Column, name: str):
+    """One row per non-NULL element of a costly array expression.
+
+    A plain ``explode`` makes the optimizer test the array for emptiness next to
+    the scan, which would compute it twice; the outer form does not.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

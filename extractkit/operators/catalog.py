@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.naming import archive_type, catalog_path
-from ..functions.text import null_if_empty, strip
+from ..functions.text import explode_filled, null_if_empty, strip
 
 # Listing elements and the columns they become.
 LISTING_FIELDS = {
@@ -27,7 +27,7 @@ def catalog_items(df: DataFrame, xml: str, *, keep=(), item_type: str | None = N
     """Distinct items of listing documents, optionally of one type."""
     schema = ", ".join(f"`{name}` string" for name in LISTING_FIELDS)
     bodies = F.regexp_extract_all(xml, F.lit(_ITEM), F.lit(2))
-    items = df.select(*keep, F.explode(bodies).alias("_body")).withColumn(
+    items = explode_filled(df, keep, bodies, "_body").withColumn(
         "_item",
         F.from_xml(
             F.concat(F.lit("<item>"), F.col("_body"), F.lit("</item>")),

@@ -23,9 +23,10 @@ from ..functions.naming import check_identifier
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8_192
-MAX_COMPILED_BOUNDARIES = 63
+MAX_COMPILED_TESTS = 12
 SAMPLES_PER_BUCKET = 20
 COPIES_PER_BLOCK = 10_000
+SHALLOW_ROWS = 100_000
 DEFAULT_CHUNK_ROWS = 10_000
 MAX_AUTO_CHUNKS = 50_000
 
@@ -77,10 +78,18 @@ def _whole_number(value, label: str, least: int) -> int:
 
 
 def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
-    """Rows ``[offset, offset + limit)``; planned as a top-k while it is shallow."""
+    """Rows ``[offset, offset + limit)``.
+
+    A shallow page is a top-k.  A top-k gathers everything before its end in one
+    place, so a deep page is cut out of the distributed row numbers instead.
+    """
     _whole_number(offset, "offset", 0)
     _whole_number(limit, "limit", 1)
-    return df.orderBy(*sort_columns(order_by)).offset(offset).limit(limit)
+    if offset + limit <= SHALLOW_ROWS:
+        return df.orderBy(*sort_columns(order_by)).offset(offset).limit(limit)
+    place = F.col("_page_row")
+    numbered = number_rows(df, order_by, column="_page_row", break_ties=True)
+    return numbered.where((place >= offset) & (place < offset + limit)).orderBy(place).drop(place)
 
 
 def row_cap(df: DataFrame, max_rows: int, order_by=None) -> DataFrame:
@@ -232,10 +241,11 @@ class Buckets:
     def column(self) -> Column:
         """Bucket number of a row; a row meets only one path of the tree."""
         tree = F.expr(self._search(0, len(self.boundaries)))
-        if len(self.boundaries) <= MAX_COMPILED_BOUNDARIES:
+        if len(self.boundaries) * len(self.keys) <= MAX_COMPILED_TESTS:
             return tree
-        # A large tree does not fit into one generated method.  Lambda bodies are
-        # evaluated without code generation, which keeps the rest of the stage fast.
+        # A large tree makes the generated method too long for the JIT compiler, or
+        # for the class file.  Lambda bodies are evaluated without code generation,
+        # which keeps the rest of the stage fast.
         return F.get(F.transform(F.array(F.lit(0)), lambda _: tree), F.lit(0))
 
 
@@ -287,6 +297,23 @@ def _start_column(starts: list[int], bucket: Column) -> Column:
     return F.get(F.expr("array(" + ", ".join(f"{start}L" for start in starts) + ")"), bucket)
 
 
+def _bucketed(df: DataFrame, edges: Buckets) -> tuple[DataFrame, Column]:
+    """Rows with their bucket, and the number of rows before it."""
+    bucketed = df.withColumn("_bucket", edges.column())
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
+    starts = _starts([(row["_bucket"], row["n"]) for row in counts], 2 * len(edges.boundaries) + 1)
+    return bucketed, _start_column(starts, F.col("_bucket"))
+
+
+def _one_task_each(bucketed: DataFrame, edges: Buckets) -> DataFrame:
+    """Send the rows between two boundaries to a task of their own, ``_place``.
+
+    Hashing the bucket number instead would put several buckets into some tasks.
+    """
+    placed = bucketed.withColumn("_place", F.floor(F.col("_bucket") / 2).cast("int"))
+    return placed.repartitionById(len(edges.boundaries) + 1, "_place")
+
+
 def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFrame:
     """Number the rows of frequent keys.
 
@@ -350,16 +377,13 @@ def number_rows(
     total = df.count() if total_rows is None else total_rows
     wanted = buckets or bucket_count(total, df.sparkSession.sparkContext.defaultParallelism)
     edges = sample_buckets(df, keys, wanted, total)
-    bucketed = df.withColumn("_bucket", edges.column())
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
-    starts = _starts([(row["_bucket"], row["n"]) for row in counts], 2 * len(edges.boundaries) + 1)
-    start = _start_column(starts, F.col("_bucket"))
+    bucketed, start = _bucketed(df, edges)
     sort = [key.sort() for key in keys]
     if break_ties:
         sort.append(F.xxhash64(*df.columns))
-    window = Window.partitionBy("_bucket").orderBy(*sort)
     even = bucketed if not any(edges.frequent) else bucketed.where(F.col("_bucket") % 2 == 0)
-    numbered = even.select(*df.columns, (start + F.row_number().over(window) - 1).alias(column))
+    window = Window.partitionBy("_place").orderBy(*sort)
+    numbered = _one_task_each(even, edges).select(*df.columns, (start + F.row_number().over(window) - 1).alias(column))
     if any(edges.frequent):
         odd = bucketed.where(F.col("_bucket") % 2 != 0)
         numbered = numbered.unionByName(_order_copies(odd, wanted, start).withColumnRenamed("_row_no", column))
@@ -374,21 +398,32 @@ def chunk_boundaries(df: DataFrame, order_by, plan: ChunkPlan, groups: int) -> t
     unique (chunk starts would then fall inside a tie).
     """
     keys = order_keys(order_by)
-    names = [key.name for key in keys]
-    if first_duplicate(df, names) is not None:
+    narrow = df.select(*[key.name for key in keys])
+    buckets = bucket_count(plan.total_rows, df.sparkSession.sparkContext.defaultParallelism)
+    edges = sample_buckets(narrow, keys, buckets, plan.total_rows)
+    if any(edges.frequent):
         return None
-    ranked = number_rows(df.select(*names), keys, column="_rank", total_rows=plan.total_rows)
+    bucketed, start = _bucketed(narrow, edges)
+    window = Window.partitionBy("_place").orderBy(*[key.sort() for key in keys])
+    row_key = F.struct(*[F.expr(_encoded(df, key)).alias(f"k{i}") for i, key in enumerate(keys)])
+    ranked = _one_task_each(bucketed, edges).select(
+        (start + F.row_number().over(window) - 1 - F.lit(plan.start_offset)).alias("_rank"),
+        row_key.alias("_key"),
+        F.lag(row_key).over(window).alias("_before"),
+    )
     chunks_per_group = max(1, math.ceil(plan.total_chunks / max(1, groups)))
     rows_per_group = chunks_per_group * plan.chunk_size
-    position = F.col("_rank") - F.lit(plan.start_offset)
-    stops = F.lit(plan.planned_rows)
-    edge_rows = (
-        ranked.where(((position >= 0) & (position < stops) & (position % rows_per_group == 0)) | (position == stops))
-        .select(F.col("_rank"), *[F.expr(_encoded(df, key)).alias(f"k{i}") for i, key in enumerate(keys)])
-        .collect()
-    )
-    edges = [tuple(row)[1:] for row in sorted(edge_rows, key=lambda row: row["_rank"])]
-    return Buckets(df, keys, edges, [False] * len(edges)), chunks_per_group
+    rank, stop = F.col("_rank"), F.lit(plan.planned_rows)
+    is_edge = ((rank >= 0) & (rank < stop) & (rank % rows_per_group == 0)) | (rank == stop)
+    # Edges are as few as the groups; ties are only counted.
+    found = ranked.agg(
+        F.collect_list(F.when(is_edge, F.struct("_rank", "_key"))).alias("edges"),
+        F.count_if(F.col("_key").eqNullSafe(F.col("_before")) & F.col("_before").isNotNull()).alias("ties"),
+    ).first()
+    if found["ties"]:
+        return None
+    exact = [tuple(edge["_key"]) for edge in sorted(found["edges"], key=lambda edge: edge["_rank"])]
+    return Buckets(df, keys, exact, [False] * len(exact)), chunks_per_group
 
 
 def first_duplicate(df: DataFrame, keys):
@@ -442,13 +477,15 @@ class ChunkLayout:
         # after the last planned row fall outside.
         group = F.col("_group")
         grouped = self.df.withColumn("_bucket", edges.column())
-        grouped = grouped.withColumn("_group", (F.floor(F.col("_bucket") / 2) - 1).cast("bigint"))
+        grouped = grouped.withColumn("_group", (F.floor(F.col("_bucket") / 2) - 1).cast("int"))
+        groups = math.ceil(self.plan.total_chunks / per_group)
         if only is None:
-            grouped = grouped.where((group >= 0) & (group < math.ceil(self.plan.total_chunks / per_group)))
+            grouped = grouped.where((group >= 0) & (group < groups))
         else:
             grouped = grouped.where(group.isin(sorted({c // per_group for c in only})))
+        grouped = grouped.repartitionById(groups, "_group")
         window = Window.partitionBy("_group").orderBy(*[key.sort() for key in self.keys])
-        position = group * (per_group * self.plan.chunk_size) + F.row_number().over(window) - 1
+        position = group.cast("bigint") * (per_group * self.plan.chunk_size) + F.row_number().over(window) - 1
         placed = grouped.withColumn("_row_no", position).withColumn(
             "chunk_id", F.floor(row_no / self.plan.chunk_size).cast("bigint")
         )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.redaction import count_secrets, redact_text
 from ..functions.sqltext import extract_sql, referenced_tables, with_classification, with_local_classification
 from ..functions.triage import error_code, error_message, is_missing_object, is_payload_failure, is_retryable
 
+POSITIONS_PER_RUN = 4_096
+
 
 def classify_log(log: DataFrame, sql: str = "sql", *, read_only: bool = True) -> DataFrame:
     """Statement class, permission, reasons and risk of every text."""
@@ -32,7 +34,9 @@ def risk_rollup(classified: DataFrame) -> DataFrame:
 def table_references(log: DataFrame, query_id: str = "query_id", sql: str = "sql") -> DataFrame:
     """One row per query and referenced table, with its place in the query."""
     names = referenced_tables(F.col(sql))
-    exploded = log.select(query_id, F.posexplode(names).alias("position", "table_name"))
+    # The outer form keeps the optimizer from computing the names twice.
+    exploded = log.select(query_id, F.posexplode_outer(names).alias("position", "table_name"))
+    exploded = exploded.where("position >= 0")
     return exploded.withColumn("position", F.col("position").cast("bigint"))
 
 
@@ -112,8 +116,9 @@ def triage_errors(log: DataFrame, text: str = "text", status: str | None = None)
 def assemble_stream(lines: DataFrame, response: str = "response_id", position: str = "seq", line: str = "line") -> DataFrame:
     """Text of each streamed answer from its ``data:`` lines.
 
-    Lines after the first ``[DONE]`` do not count.  One answer is one row of the
-    result, so its pieces meet in one group; only the pieces with text are moved.
+    Lines after the first ``[DONE]`` do not count.  Runs of positions are joined
+    first and the runs after that, so a very long answer is put together by many
+    tasks and only its finished runs meet in one row.
     """
     data = lines.where(F.col(line).startswith("data:")).select(
         response, position, F.btrim(F.substring(line, 6, 2**31 - 1), F.lit(" \t\r\n")).alias("_data")
@@ -122,8 +127,16 @@ def assemble_stream(lines: DataFrame, response: str = "response_id", position: s
     content = F.from_json("_data", "choices array<struct<delta:struct<content:string>>>")
     pieces = data.where("_data <> '[DONE]'").withColumn("_text", content.getField("choices")[0]["delta"]["content"])
     kept = pieces.join(ends, response, "left").where(F.col("_end").isNull() | (F.col(position) < F.col("_end")))
-    ordered = F.array_sort(F.collect_list(F.when(F.col("_text") != "", F.struct(position, "_text"))))
-    return kept.groupBy(response).agg(
-        F.array_join(F.transform(ordered, lambda p: p["_text"]), "").alias("text"),
-        F.count_if(F.col("_text") != "").alias("pieces"),
+    filled = F.col("_text") != ""
+    runs = kept.groupBy(response, F.floor(F.col(position) / POSITIONS_PER_RUN).alias("_run")).agg(
+        _joined(F.when(filled, F.struct(position, "_text"))).alias("_text"), F.count_if(filled).alias("_pieces")
+    )
+    return runs.groupBy(response).agg(
+        _joined(F.struct("_run", "_text")).alias("text"), F.sum("_pieces").alias("pieces")
     )
+
+
+def _joined(pairs: Column) -> Column:
+    """Texts of ``(place, text)`` pairs in the order of their places."""
+    ordered = F.array_sort(F.collect_list(pairs))
+    return F.array_join(F.transform(ordered, lambda pair: pair["_text"]), "")

@@ -168,7 +168,7 @@ def match_keys(registry: DataFrame, keep) -> DataFrame:
         F.flatten(F.transform("_tables", lambda t: entry(t, "interface_table"))),
     )
     # Two tables with one normal form are one way.
-    return keyed.select(*keep, F.inline(F.array_distinct(ways))).where("match_key <> ''")
+    return keyed.select(*keep, F.inline_outer(F.array_distinct(ways))).where("match_key <> ''")
 
 
 def match_selectors(selectors: DataFrame, registry: DataFrame, *, selector: str = "selector") -> DataFrame:
@@ -182,7 +182,7 @@ def match_selectors(selectors: DataFrame, registry: DataFrame, *, selector: str
     wanted = wanted.where("_key <> ''")
     asked = wanted.select(
         selector,
-        F.inline(
+        F.inline_outer(
             F.array(
                 F.struct(F.col("_key").alias("match_key"), F.lit("exact").alias("style")),
                 F.struct(singular_key(F.col("_key")).alias("match_key"), F.lit("friendly").alias("style")),
@@ -214,22 +214,24 @@ def resolve_requests(
     ``AMBIGUOUS`` (several).
     """
     asked = requests.select(request, selector, *([option] if option else [])).where(strip(F.col(selector)) != "")
-    asked = asked.dropDuplicates()
+    sizes = asked.groupBy(request).agg(F.count_distinct(selector).alias("selectors"))
+    # Spellings with one normal form match alike, so the work is done per form.
+    asked = asked.withColumn("_form", selector_key(F.col(selector))).drop(selector).dropDuplicates()
+    needed = asked.groupBy(request).agg(F.count_distinct("_form").alias("_needed"))
     configurations = (
-        match_selectors(asked, registry, selector=selector)
-        .groupBy(selector, *CONFIGURATION)
+        match_selectors(asked, registry, selector="_form")
+        .groupBy("_form", *CONFIGURATION)
         .agg(F.max("DOCUMENT_ACCOUNT").alias("DOCUMENT_ACCOUNT"))
     )
-    offered = asked.join(configurations, selector)
+    offered = asked.join(configurations, "_form")
     if option:
         wanted = strip(F.col(option).cast("string"))
         offered = offered.where(F.col(option).isNull() | (F.col("ERP_INTERFACE_OPTIONS_ID") == wanted))
-    sizes = asked.groupBy(request).agg(F.count(F.lit(1)).alias("selectors"))
-    matched = offered.groupBy(request).agg(F.count_distinct(selector).alias("matched_selectors"))
+    matched = offered.groupBy(request).agg(F.count_distinct("_form").alias("_matched"))
     shared = (
         offered.groupBy(request, *CONFIGURATION)
         .agg(F.count(F.lit(1)).alias("_votes"), F.max("DOCUMENT_ACCOUNT").alias("DOCUMENT_ACCOUNT"))
-        .join(sizes.withColumnRenamed("selectors", "_needed"), request)
+        .join(needed, request)
         .where("_votes = _needed")
         .groupBy(request)
         .agg(
@@ -237,10 +239,10 @@ def resolve_requests(
             F.min(F.struct(*CONFIGURATION, "DOCUMENT_ACCOUNT")).alias("_pick"),
         )
     )
-    out = sizes.join(matched, request, "left").join(shared, request, "left")
+    out = sizes.join(needed, request).join(matched, request, "left").join(shared, request, "left")
     common = F.coalesce("common_configurations", F.lit(0))
     status = (
-        F.when(F.coalesce("matched_selectors", F.lit(0)) < F.col("selectors"), F.lit("NO_MATCH"))
+        F.when(F.coalesce("_matched", F.lit(0)) < F.col("_needed"), F.lit("NO_MATCH"))
         .when(common == 0, F.lit("CONFLICT"))
         .when(common > 1, F.lit("AMBIGUOUS"))
         .otherwise(F.lit("RESOLVED"))

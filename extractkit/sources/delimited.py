@@ -16,11 +16,26 @@ TYPE_PATTERNS = (
 )
 
 
-def read_text_columns(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """A delimited file with a header, every column as text."""
-    return spark.read.options(
-        header="true", sep=delimiter, quote='"', escape='"', multiLine="true", encoding="UTF-8", nullValue=""
-    ).csv(path)
+SMALL_FILE_BYTES = 64 * 1024 * 1024
+
+
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Does any quoted field run over a line end?
+
+    Its first line then holds an odd number of quotes.  Lines are read in
+    parallel, whatever the size of the file.
+    """
+    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def reader_options(spark: SparkSession, path: str, delimiter: str, size: int | None = None) -> dict:
+    """Reader options; a large file stays splittable unless fields run over lines."""
+    multi_line = size is None or size <= SMALL_FILE_BYTES or has_broken_lines(spark, path)
+    return {
+        "header": "true", "sep": delimiter, "quote": '"', "escape": '"', "encoding": "UTF-8",
+        "multiLine": str(multi_line).lower(),
+    }
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
@@ -42,13 +57,14 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     return types
 
 
-def read_delimited(spark: SparkSession, path: str, delimiter: str = ",", schema=None) -> DataFrame:
+def read_delimited(
+    spark: SparkSession, path: str, delimiter: str = ",", schema=None, size: int | None = None
+) -> DataFrame:
     """A delimited file with a header; types from ``schema`` or from its content."""
+    reader = spark.read.options(**reader_options(spark, path, delimiter, size))
     if schema is not None:
-        return spark.read.options(
-            header="true", sep=delimiter, quote='"', escape='"', multiLine="true", encoding="UTF-8"
-        ).schema(schema).csv(path)
-    text = read_text_columns(spark, path, delimiter)
+        return reader.schema(schema).csv(path)
+    text = reader.option("nullValue", "").csv(path)
     types = infer_types(text)
     return text.select(
         *[

@@ -163,7 +163,7 @@ class DataLibrary:
             safe, exact = aliases[path]
             row, error = found[path], None
             try:
-                df = self._scan(safe, row["absolute_path"], row["file_type"])
+                df = self._scan(safe, row["absolute_path"], row["file_type"], row["size_bytes"])
                 self._register(safe, df)
                 if exact.lower() != safe:
                     if exact.lower() in reserved:
@@ -181,10 +181,11 @@ class DataLibrary:
         self.list_files().createOrReplaceTempView(LISTING)
         return self.list_files()
 
-    def _scan(self, alias: str, path: str, kind: str) -> DataFrame:
+    def _scan(self, alias: str, path: str, kind: str, size: int) -> DataFrame:
         if kind == "parquet":
             return self.spark.read.parquet(path)
-        return read_delimited(self.spark, path, "\t" if kind == "tsv" else ",", self.schemas.get(alias))
+        delimiter = "\t" if kind == "tsv" else ","
+        return read_delimited(self.spark, path, delimiter, self.schemas.get(alias), size)
 
     def _register(self, name: str, df: DataFrame) -> None:
         df.createOrReplaceTempView(_quoted(name))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import null_if_empty, strip
+from ..functions.text import explode_filled, null_if_empty, strip
 
 # States in which a job has ended.
 TERMINAL_STATES = ("SUCCEEDED", "ERROR", "WARNING", "CANCELLED", "EXPIRED")
@@ -109,7 +109,7 @@ def result_rows(df: DataFrame, xml: str, columns: list[str], *, keep=(), row_ele
     parsed = F.from_xml(
         F.col(xml), f"`{row_element}` array<struct<{fields}>>", {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
     )
-    exploded = df.select(*keep, F.explode(parsed.getField(row_element)).alias("_row"))
+    exploded = explode_filled(df, keep, parsed.getField(row_element), "_row")
     return exploded.select(*keep, *[null_if_empty(strip(F.col("_row").getField(n))).alias(n) for n in columns])
 
 
@@ -120,7 +120,7 @@ def result_columns(df: DataFrame, xml: str, *, row_element: str = "G_1") -> list
     """
     rows = F.regexp_extract_all(xml, F.lit(rf"(?s)<{row_element}(?:\s[^>]*)?>(.*?)</{row_element}>"), F.lit(1))
     names = F.regexp_extract_all(F.col("_row"), F.lit(r"<([A-Za-z_][\w.-]*)"), F.lit(1))
-    found = df.select(F.explode(rows).alias("_row")).select(F.posexplode(names).alias("at", "name"))
+    found = explode_filled(df, [], rows, "_row").select(F.posexplode_outer(names).alias("at", "name")).where("at >= 0")
     ordered = found.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
     return [row["name"] for row in ordered.collect()]
 
@@ -166,7 +166,8 @@ def job_status(df: DataFrame, response: str) -> DataFrame:
 def job_children(df: DataFrame, response: str, *, keep=()) -> DataFrame:
     """One row per child job."""
     out = with_job(df, response)
-    child = out.select(*keep, F.col("request_id").alias("parent_request_id"), F.explode("_children").alias("_child"))
+    kept = [*keep, F.col("request_id").alias("parent_request_id")]
+    child = explode_filled(out, kept, F.col("_children"), "_child")
     return child.select(
         *keep,
         "parent_request_id",

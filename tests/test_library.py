@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from extractkit.errors import FileFormatError, NameConflictError, ReadOnlyError, StatementError
 from extractkit.functions.naming import safe_alias, safe_name
-from extractkit.sources.delimited import infer_types, read_delimited
+from extractkit.sources.delimited import SMALL_FILE_BYTES, infer_types, read_delimited, reader_options
 from extractkit.sources.library import assign_aliases, open_data_library
 from extractkit.sources.statements import bind
 
@@ -127,6 +127,16 @@ def test_types_of_delimited_files(spark, tmp_path):
     assert infer_types(spark.createDataFrame([("99999999999999999999",)], "v string")) == {"v": "double"}
 
 
+def test_large_files_stay_splittable(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('a,b\n1,"x ""y"""\n')
+    (tmp_path / "broken.csv").write_text('a,b\n1,"x\ny"\n')
+    large = 2 * SMALL_FILE_BYTES
+    assert reader_options(spark, str(tmp_path / "plain.csv"), ",", large)["multiLine"] == "false"
+    assert reader_options(spark, str(tmp_path / "broken.csv"), ",", large)["multiLine"] == "true"
+    assert read_delimited(spark, str(tmp_path / "broken.csv"), size=large).first().b == "x\ny"
+    assert read_delimited(spark, str(tmp_path / "plain.csv"), size=large).first().b == 'x "y"'
+
+
 def test_parameters():
     assert bind("a = ? AND b = '?' -- ?\n AND c = ?", [1, "o'x"]) == "a = 1 AND b = '?' -- ?\n AND c = 'o\\'x'"
     for values in ([1, 2], []):

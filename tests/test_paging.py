@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from extractkit.errors import DuplicateKeyError
+from extractkit.operators import paging
 from extractkit.operators.paging import (
     into_chunks,
     number_rows,
@@ -51,6 +52,14 @@ def test_page_arguments(spark):
     assert row_cap(df, 4, "id").count() == 4
 
 
+def test_deep_page(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 7 % 501).alias("k"))
+    shallow = [r.k for r in page(df, "k desc", 333, 50).collect()]
+    monkeypatch.setattr(paging, "SHALLOW_ROWS", 10)
+    deep = page(df, "k desc", 333, 50)
+    assert [r.k for r in deep.collect()] == shallow and deep.columns == ["k"]
+
+
 def test_cap_is_the_smaller_limit(spark):
     assert row_cap(spark.range(100).limit(50), 10).count() == 10
     assert row_cap(spark.range(100).limit(5), 10).count() == 5
@@ -123,10 +132,10 @@ def test_row_numbers_repeat(spark):
 
 
 def test_no_single_partition_exchange(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    df = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
     plan = number_rows(df, "o_orderkey", buckets=8)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
-    plan = into_chunks(df, "o_orderkey", plan_chunks(1500, 100))._jdf.queryExecution().executedPlan().toString()
+    plan = into_chunks(df, "o_orderkey", plan_chunks(150_000, 1_000))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert plan.count("Exchange") == 1
 
