@@ -52,7 +52,7 @@ def fingerprint(query: str, order_by, plan: ChunkPlan, output_format: str) -> st
 
 def _part_name(path: str):
     """Part name relative to the dataset folder, from a full URI column."""
-    return F.regexp_extract(F.url_decode(path), r"(chunk_id=\d+/[^/]+)$", 1)
+    return F.regexp_extract(F.url_decode(path), r"((?:chunk_id=\d+/)?[^/]+)$", 1)
 
 
 def part_hashes(spark: SparkSession, folder: str | list[str]) -> DataFrame:
@@ -123,6 +123,30 @@ def read_manifest(spark: SparkSession, folder: str) -> dict:
     return Files(spark).read_json(f"{folder.rstrip('/')}/{MANIFEST}")
 
 
+def write_dataset_manifest(
+    spark: SparkSession, folder: str, output_format: str = "parquet", columns: list[str] | None = None, **text
+) -> dict:
+    """Record the files of a dataset written by other means, such as a stream.
+
+    Only files a read of the dataset sees are listed, so leftovers of failed
+    batches stay out.
+    """
+    names = columns or read_parts(spark, folder).columns
+    counted = part_rows(spark, folder, output_format, names, **text)
+    items = part_hashes(spark, folder).join(counted, "part").orderBy("part").collect()
+    unset = {"chunk_id": None, "row_offset": None, "row_limit": None}
+    found = [{**item.asDict(), **unset} for item in items]
+    manifest = {
+        "status": "complete",
+        "written_rows": sum(item["rows"] for item in found),
+        "columns": names,
+        "output_format": output_format,
+        "files": found,
+    }
+    Files(spark).write_json(f"{folder.rstrip('/')}/{MANIFEST}", manifest)
+    return manifest
+
+
 def compare_parts(recorded: DataFrame, found: DataFrame) -> DataFrame:
     """``part, status``: ok, missing, changed, or unexpected."""
     a = recorded.select("part", F.col("sha256").alias("recorded"))

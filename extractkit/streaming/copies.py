@@ -58,7 +58,10 @@ def stream_upsert(
 def stream_parts(
     stream: DataFrame, destination: str, checkpoint: str, *, output_format: str = "parquet", available_now: bool = True
 ) -> StreamingQuery:
-    """Append a stream to a dataset, each source row exactly once."""
+    """Append a stream to a dataset, each source row exactly once.
+
+    After the run, :func:`extractkit.sinks.parts.write_dataset_manifest` records it.
+    """
     writer = stream.writeStream.format(output_format).outputMode("append").option("checkpointLocation", checkpoint)
     if output_format == "parquet":
         writer = writer.option("compression", "zstd")

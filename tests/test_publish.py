@@ -10,8 +10,9 @@ from extractkit.plans.copy import copy_query
 from extractkit.sinks import parts
 from extractkit.sinks.delimited import write_single_csv
 from extractkit.sinks.load_files import load_file_name, write_load_files
-from extractkit.sources.delimited import read_checked
 from extractkit.sinks.parts import read_manifest, read_parts, verify_parts, write_parts
+from extractkit.sources.delimited import read_checked
+from extractkit.streaming.copies import read_folder_stream, stream_parts
 
 
 def status(spark, folder):
@@ -153,6 +154,20 @@ def test_load_files(spark, tmp_path):
         write_load_files(str(tmp_path), {"a/Gl.ctl": df, "b/Gl.ctl": df})
 
 
+def test_stream_with_manifest(spark, tmp_path):
+    spark.range(100).select("id").repartition(4, "id").write.parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = read_folder_stream(spark, str(tmp_path / "in"), "id bigint", max_files=2)
+        stream_parts(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+        return parts.write_dataset_manifest(spark, str(tmp_path / "out"))
+
+    assert run()["written_rows"] == 100 and status(spark, str(tmp_path / "out")).keys() == {"ok"}
+    spark.range(100, 150).select("id").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run()["written_rows"] == 150
+    assert spark.read.parquet(str(tmp_path / "out")).distinct().count() == 150
+
+
 def test_malformed_rows_of_a_csv(spark, tmp_path):
     (tmp_path / "in.csv").write_text("id,v\n1,a\n2,b,c\nx,d\n,e\n1,f\n")
     rows = read_checked(spark, str(tmp_path / "in.csv"), "id int, v string")

@@ -74,7 +74,7 @@ def test_extract_sql(spark, text, sql):
 
 
 @pytest.mark.parametrize("sql, tables", [
-    ("SELECT * FROM fusion.a p JOIN b t ON 1 = 1", ["FUSION.A", "B"]),
+    ("SELECT * FROM hr.a p JOIN b t ON 1 = 1", ["HR.A", "B"]),
     ("SELECT 'FROM x' FROM y -- JOIN z\nJOIN Y ON 1 = 1 /* FROM w */", ["Y"]),
     ("SELECT 1", []),
 ])
