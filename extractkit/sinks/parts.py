@@ -55,12 +55,16 @@ def _part_name(path: str):
     return F.regexp_extract(F.url_decode(path), r"((?:chunk_id=\d+/)?[^/]+)$", 1)
 
 
-def part_hashes(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+def part_hashes(spark: SparkSession, folder: str | list[str], *, tolerant: bool = True) -> DataFrame:
     """``part, bytes, sha256`` of every part file, hashed by the tasks that read it.
 
-    A file that is listed but cannot be read has the hash ``unreadable``.
+    A file that is listed but cannot be read has the hash ``unreadable``, unless
+    ``tolerant`` is off, as for files just written: then the job fails.
     """
     found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="part-*")
+    if not tolerant:
+        hashed = found.load(folder)
+        return hashed.select(_part_name("path").alias("part"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     listed = found.load(folder).select(_part_name("path").alias("part"), F.col("length").alias("bytes"))
     hashed = found.option("ignoreCorruptFiles", "true").load(folder)
     hashed = hashed.select(_part_name("path").alias("part"), F.sha2("content", 256).alias("_hash"))
@@ -171,16 +175,23 @@ def _describe(spark, folder: str, wave: set[int], plan: ChunkPlan, output_format
     folders = [f"{folder}/chunk_id={chunk}" for chunk in sorted(wave & present)]
     if not folders:
         return []
-    chunk = F.regexp_extract("part", r"^chunk_id=(\d+)/", 1).cast("bigint")
     counted = part_rows(spark, folders, output_format, columns, **text)
-    rows = (
-        part_hashes(spark, folders)
-        .join(counted, "part", "left")
-        .withColumn("chunk_id", chunk)
-        .join(chunk_table(spark, plan), "chunk_id", "left")
-    )
-    names = [field.split()[0] for field in PART_SCHEMA.split(", ")]
-    return [row.asDict() for row in rows.select(*names).fillna({"rows": 0}).orderBy("chunk_id", "part").collect()]
+    entries = part_hashes(spark, folders, tolerant=False).join(counted, "part", "left").collect()
+    described = []
+    for entry in entries:
+        done = chunk_of(entry["part"]) * plan.chunk_size
+        described.append(
+            {
+                "part": entry["part"],
+                "chunk_id": chunk_of(entry["part"]),
+                "rows": entry["rows"] or 0,
+                "row_offset": plan.start_offset + done,
+                "row_limit": min(plan.chunk_size, plan.planned_rows - done),
+                "bytes": entry["bytes"],
+                "sha256": entry["sha256"],
+            }
+        )
+    return described
 
 
 def write_parts(
