@@ -137,9 +137,13 @@ def write_dataset_manifest(
     """
     names = columns or read_parts(spark, folder).columns
     counted = part_rows(spark, folder, output_format, names, **text)
-    items = part_hashes(spark, folder).join(counted, "part").orderBy("part").collect()
+    counts = {row["part"]: row["rows"] for row in counted.collect()}
     unset = {"chunk_id": None, "row_offset": None, "row_limit": None}
-    found = [{**item.asDict(), **unset} for item in items]
+    found = [
+        {**item.asDict(), "rows": counts[item["part"]], **unset}
+        for item in part_hashes(spark, folder).orderBy("part").collect()
+        if item["part"] in counts
+    ]
     manifest = {
         "status": "complete",
         "written_rows": sum(item["rows"] for item in found),
@@ -175,16 +179,17 @@ def _describe(spark, folder: str, wave: set[int], plan: ChunkPlan, output_format
     folders = [f"{folder}/chunk_id={chunk}" for chunk in sorted(wave & present)]
     if not folders:
         return []
-    counted = part_rows(spark, folders, output_format, columns, **text)
-    entries = part_hashes(spark, folders, tolerant=False).join(counted, "part", "left").collect()
+    # Two small results, put together here: a join would have the optimizer test
+    # the part name of every row before they are counted.
+    counts = {row["part"]: row["rows"] for row in part_rows(spark, folders, output_format, columns, **text).collect()}
     described = []
-    for entry in entries:
+    for entry in part_hashes(spark, folders, tolerant=False).collect():
         done = chunk_of(entry["part"]) * plan.chunk_size
         described.append(
             {
                 "part": entry["part"],
                 "chunk_id": chunk_of(entry["part"]),
-                "rows": entry["rows"] or 0,
+                "rows": counts.get(entry["part"], 0),
                 "row_offset": plan.start_offset + done,
                 "row_limit": min(plan.chunk_size, plan.planned_rows - done),
                 "bytes": entry["bytes"],
