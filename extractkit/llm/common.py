@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from types import ModuleType
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,6 +38,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remembered(key: tuple, make: Callable):
+    """``make()``, once for each key in a Python worker, which keeps it from task to task."""
+    store = sys.modules.setdefault("extractkit_llm_remembered", ModuleType("extractkit_llm_remembered")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once for each row.
 

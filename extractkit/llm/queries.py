@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from extractkit.llm.common import load
 from extractkit.llm.minhash import near_duplicates
+from extractkit.llm.packing import pack_documents
+
+
+def op3_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,5 +20,6 @@ def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 #: name -> (function, SQL or None)
 QUERIES = {
+    "op3_best_two_fit": (op3_best_two_fit, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
 }
