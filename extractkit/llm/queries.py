@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from extractkit.llm.common import load
+from extractkit.llm import bpe, quality_rules
+from extractkit.llm.chat import ChatFormat
+from extractkit.llm.common import load, stored
 from extractkit.llm.minhash import near_duplicates
 from extractkit.llm.packing import pack_documents
 
@@ -14,12 +17,51 @@ def op3_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    counted = stored(quality_rules.with_counts(load(spark, folder, "documents").select("doc_id", "text")).drop("text"), "counts")
+    model = quality_rules.fit(counted)
+    return counted.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", quality_rules.base_failed().alias("base_failed"),
+        model.posterior().alias("quality"), model.kept().alias("kept"),
+    )
+
+
+def op8_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = bpe.decode(bpe.encode(load(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(load(spark, folder, "documents"), width=4, percent=80)
 
 
+#: A conversation whose texts look like the template's own strings.
+CONTROL_CONVERSATION = """SELECT CAST(-1 AS BIGINT) AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+    FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"""
+
+
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    chat = ChatFormat()
+    rows = load(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(CONTROL_CONVERSATION))
+    out = chat.format(rows)
+    read = out.select("conv_id", "formatted", "error_turn", chat.read(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(told, "").cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), F.col("error_turn").cast("long").alias("error_turn"),
+    )
+
+
 #: name -> (function, SQL or None)
 QUERIES = {
     "op3_best_two_fit": (op3_best_two_fit, None),
+    "op4_quality_rules": (op4_quality_rules, None),
+    "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
+    "op10_chat_format": (op10_chat_format, None),
 }
