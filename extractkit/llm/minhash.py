@@ -197,22 +197,19 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
         own.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")), "bands"
     )
 
+    # Buckets of several documents; most rows are alone in theirs and end here.
     star = banded.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("p"), F.max("rep").alias("most")).where("p.rep < most")
-    tested = stored(
-        banded.join(star.select("bucket", F.col("p.rep").alias("a"), F.col("p.n").alias("na")), "bucket")
-        .where("a < rep").select("a", F.col("rep").alias("b"), "na", F.col("n").alias("nb")).distinct(),
-        "pairs",
-    )
+    hits = stored(banded.join(star.select("bucket", F.col("p.rep").alias("pivot"), F.col("p.n").alias("np")), "bucket").where("rep <> pivot"), "hits")
+    tested = stored(hits.select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct(), "pairs")
     similar_size = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     ids = tested.select(F.col("a").alias("doc_id")).unionByName(tested.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "sets")
+    sets = stored(texts.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "sets")
     same_id = members.withColumnRenamed("rep", "b").join(by_id.where("rep < other"), "doc_id").where("b <> rep").select(F.col("rep").alias("a"), "b")
     links = stored(_linked(tested.where(similar_size).select("a", "b"), sets, percent).unionByName(same_id), "links")
     found = stored(connected_components(links), "components")
 
     # What no test has covered: pairs of different components in a bucket, without its pivot.
-    rest = banded.join(star.select("bucket", F.col("p.rep").alias("pivot")), "bucket").where("rep <> pivot").select("bucket", "rep", "n")
-    rest = stored(_unsettled(rest, found), "rest")
+    rest = stored(_unsettled(hits.select("bucket", "rep", "n"), found), "rest")
     small = rest.where(F.col("size") <= SMALL_BUCKET)
     other = small.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     pairs = small.select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "bucket")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from extractkit.llm import bpe, quality_rules
+from extractkit.llm import bpe, quality_classifier, quality_rules
 from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
 from extractkit.llm.minhash import near_duplicates
@@ -26,6 +26,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    model = quality_classifier.fit(docs, load(spark, folder, "labels"))
+    return quality_classifier.score(docs, model).drop("text")
+
+
 def op8_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = bpe.decode(bpe.encode(load(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
@@ -61,6 +67,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_best_two_fit": (op3_best_two_fit, None),
     "op4_quality_rules": (op4_quality_rules, None),
+    "op6_cotrained_quality": (op6_cotrained_quality, None),
     "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_chat_format": (op10_chat_format, None),
