@@ -11,6 +11,7 @@ from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
 from extractkit.llm.minhash import near_duplicates
 from extractkit.llm.packing import pack_documents
+from extractkit.llm.topk import quantised, top_k
 
 
 def op3_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +27,23 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_branch_and_bound_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = load(spark, folder, "embeddings").select("vec_id", quantised(F.col("embedding"), 1024).alias("values"))
+    return top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10
+"""
+
+
 def op6_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text", "source", "lang", "n_chars")
     model = quality_classifier.fit(docs, load(spark, folder, "labels"))
@@ -63,12 +81,35 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP10_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS n,
+        lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+        length(text) + len(regexp_extract_all(text, '\[\\*/?INST\]|<\\*(<SYS>>|</SYS>>|/?s>|\|role\|>|\|text\|>|\|end\|>)')) AS escaped
+    FROM c
+), f AS (
+    SELECT *, CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before = 'system' THEN role = 'user'
+        WHEN before = 'user' THEN role = 'assistant' WHEN before = 'assistant' THEN role = 'user' ELSE false END AS fits
+    FROM e
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(escaped + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 23 + length(role) END) AS BIGINT) AS formatted_chars,
+    CAST(coalesce(min(n) FILTER (WHERE NOT fits), CASE WHEN arg_max(role, n) <> 'assistant' THEN count(*) END) AS BIGINT) AS error_turn
+FROM f GROUP BY conv_id
+"""
+
 #: name -> (function, SQL or None)
 QUERIES = {
     "op3_best_two_fit": (op3_best_two_fit, None),
     "op4_quality_rules": (op4_quality_rules, None),
+    "op5_branch_and_bound_topk": (op5_branch_and_bound_topk, OP5_SQL),
     "op6_cotrained_quality": (op6_cotrained_quality, None),
     "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
-    "op10_chat_format": (op10_chat_format, None),
+    "op10_chat_format": (op10_chat_format, OP10_SQL),
 }
