@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from extractkit.llm import bpe, quality_classifier, quality_rules
+from extractkit.llm import bpe, quality_classifier, quality_rules, urls
 from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
 from extractkit.llm.minhash import near_duplicates
@@ -14,6 +14,28 @@ from extractkit.llm.packing import pack_documents
 from extractkit.llm.topk import quantised, top_k
 
 
+#: (verdict, host, path)
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+#: A small table of URLs labelled by hand.
+LABELLED_URLS = {
+    1: ("http://spam-farm.example.org/en/728", "https://casino-win.example.net/en/12", "http://cheap-pills.example.net/de/45", "http://free-bets.example.net/en/9",
+        "https://adult-x.example.com/fr/77", "http://ads-track.example.com/en/31?utm_source=feed", "http://www.online-casino.example.org/play", "http://buy-pills.example.org/order",
+        "http://spam-links.example.com/es/5", "https://adult-cams.example.net/en/88", "http://bets-free.example.org/win", "http://track-ads.example.net/click?id=1"),
+    0: ("https://www.ththes.example.net/en/410", "http://blog.ththre.example.org/en/393", "https://m.tiontion.example.com/de/120", "http://therer.example.net/en/555",
+        "https://ththing.example.com/en/676", "http://news.example.org/en/2024/report.html", "https://docs.example.com/en/guide/", "http://www.city-library.example.org/de/books",
+        "https://thertion.example.com/en/825?page=2&ref=x", "http://school.example.net/en/lessons/3", "https://wiki.example.org/en/Main_Page", "http://theran.example.org/de/174#top",
+        "https://blog.tionsh.example.net/en/533/", "http://m.ththth.example.org/en/25"),
+}
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    values = ", ".join(f"('{url}', {block})" for block, found in LABELLED_URLS.items() for url in found)
+    weights = urls.train(spark.sql(f"SELECT * FROM VALUES {values} AS t(url, block)"))
+    return urls.judged(load(spark, folder, "pages").select("page_id", "url"), URL_RULES, weights).drop("url")
+
+
 def op3_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(load(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,8 +56,8 @@ def op5_branch_and_bound_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 OP5_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS w FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
     FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
@@ -105,6 +127,7 @@ FROM f GROUP BY conv_id
 
 #: name -> (function, SQL or None)
 QUERIES = {
+    "op2_url_filter": (op2_url_filter, None),
     "op3_best_two_fit": (op3_best_two_fit, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op5_branch_and_bound_topk": (op5_branch_and_bound_topk, OP5_SQL),
