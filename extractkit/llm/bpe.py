@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from xxhash import xxh3_64_intdigest
 
 from extractkit.llm.common import remembered, small_batches
@@ -190,3 +191,28 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
+def count_tokens(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``documents`` without ``text``, with ``n_tokens`` (long) of it; a null text has none.
+
+    A column ``n_tokens`` is replaced; others pass through.  Ids are counted in the tasks and
+    never leave them.
+    """
+    small_batches(documents.sparkSession)
+    tokens = read_ranks(ranks_path)
+    packed, table = _packed(tokens), perfect_hash(tokens)
+    del tokens
+    key = ("bpe", zlib.crc32(packed[0]), zlib.crc32(packed[1]))
+    documents = documents.drop("n_tokens")
+    others = [c for c in documents.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = remembered(key, lambda: WordIds(_vocabulary(*packed), *table))
+        split = regex.compile(pattern).findall
+        for batch in batches:
+            counts = [sum(map(len, map(words.__getitem__, split(text)))) if text else 0 for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(counts, pa.int64())], [*others, "n_tokens"])
+
+    schema = StructType([documents.schema[c] for c in others]).add("n_tokens", "long")
+    return spread(documents, others[0]).mapInArrow(run, schema)

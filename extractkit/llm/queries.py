@@ -9,9 +9,27 @@ from pyspark.sql import functions as F
 from extractkit.llm import bpe, quality_classifier, quality_rules, urls
 from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
+from extractkit.llm.licenses import scan_licenses
 from extractkit.llm.minhash import near_duplicates
 from extractkit.llm.packing import pack_documents
+from extractkit.llm.token_counts import TokenRollup, deleted, inserted, revised
 from extractkit.llm.topk import quantised, top_k
+from extractkit.session import scratch_path
+
+
+def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents come in; all counts are revised to take in the end-of-text token; toxic documents go; the first batch comes again."""
+    docs = load(spark, folder, "documents").select("doc_id", "source", "lang", F.length("text").cast("long").alias("n_chars"), "text")
+    counted = bpe.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    counts = stored(counted.withColumn("tokenizer", F.lit("byte_bpe_50k")), "token-counts")
+    ended = counts.withColumns({"n_tokens": F.col("n_tokens") + 1, "tokenizer": F.lit("byte_bpe_50k+end")})
+    toxic = load(spark, folder, "labels").where("toxic = 1").select("doc_id").distinct()
+    rollup = TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.commit("load", inserted(counts))
+    rollup.commit("revise", revised(counts, ended))
+    rollup.commit("takedown", deleted(ended.join(toxic, "doc_id", "left_semi")))
+    rollup.commit("load", inserted(counts))
+    return rollup.totals()
 
 
 #: (verdict, host, path)
@@ -72,6 +90,10 @@ def op6_cotrained_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(docs, model).drop("text")
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(load(spark, folder, "documents"))
+
+
 def op8_two_tier_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     decoded = bpe.decode(bpe.encode(load(spark, folder, "documents"), ranks, public_tokenizers.PATTERN), ranks)
@@ -127,11 +149,13 @@ FROM f GROUP BY conv_id
 
 #: name -> (function, SQL or None)
 QUERIES = {
+    "op1_token_rollup": (op1_token_rollup, None),
     "op2_url_filter": (op2_url_filter, None),
     "op3_best_two_fit": (op3_best_two_fit, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op5_branch_and_bound_topk": (op5_branch_and_bound_topk, OP5_SQL),
     "op6_cotrained_quality": (op6_cotrained_quality, None),
+    "op7_license_scan": (op7_license_scan, None),
     "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
