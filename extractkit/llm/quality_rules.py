@@ -62,6 +62,7 @@ def _repeat_words(windows: Column) -> Column:
 
 def counts(text: Column) -> Column:
     """A struct of :data:`FEATURES` (long) of a whole text; a null text is an empty one."""
+    text = F.coalesce(text, F.lit(""))
 
     def removed(characters: str) -> Column:
         return F.length(F.translate(text, characters, ""))
@@ -83,8 +84,7 @@ def counts(text: Column) -> Column:
             (x["d"] if name == "n_dup_lines" else x["n"] if name == "n_lines" else values[name]).cast("long").alias(name) for name in FEATURES
         ]))
 
-    none = F.struct(*[F.lit(0).cast("long").alias(name) for name in FEATURES])
-    return F.coalesce(let(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), of), none)
+    return let(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), of)
 
 
 def with_counts(documents: DataFrame) -> DataFrame:
