@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.operators import checks, filters, paging, profile
@@ -158,6 +161,15 @@ def page_orders(spark, folder):
     return paging.page(rows, "o_totalprice desc, o_orderkey", 1000, 500)
 
 
+@query("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS orders FROM orders")
+def page_through_ties(spark, folder):
+    """All pages of an order with few distinct values hold every order once."""
+    orders = load(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    size = max(1, orders.count() // 4)
+    pages = [paging.page(orders, "o_orderstatus", start, size) for start in range(0, 5 * size, size)]
+    return reduce(DataFrame.unionByName, pages).agg(F.count("*").alias("rows"), F.countDistinct("o_orderkey").alias("orders"))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 def top_orders(spark, folder):
     rows = load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
@@ -183,7 +195,7 @@ def chunk_plan(spark, folder):
 )
 def chunk_rows(spark, folder):
     orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    numbered = paging.number_rows(orders, "o_totalprice desc, o_orderkey", buckets=16)
+    numbered = paging.number_rows(orders, "o_totalprice desc, o_orderkey")
     plan = paging.plan_chunks(orders.count(), 1000)
     return paging.with_chunks(numbered, plan).select("o_orderkey", "row_no", "chunk_id")
 
@@ -199,7 +211,7 @@ def chunk_rows(spark, folder):
 def number_frequent_keys(spark, folder):
     """Three key values hold all rows; each is split over many tasks."""
     rows = load(spark, folder, "lineitem").select("l_returnflag", "l_quantity")
-    numbered = paging.number_rows(rows, "l_returnflag", buckets=16)
+    numbered = paging.number_rows(rows, "l_returnflag")
     return numbered.groupBy("l_returnflag").agg(
         F.min("row_no").alias("first_row"),
         F.max("row_no").alias("last_row"),
@@ -235,7 +247,7 @@ _COUNTS = f"""
 def _reconciled(spark, folder):
     orders = load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     plan = paging.plan_chunks(orders.count(), 1000)
-    numbered = paging.with_chunks(paging.number_rows(orders, "o_orderkey", buckets=8, total_rows=plan.total_rows), plan)
+    numbered = paging.with_chunks(paging.number_rows(orders, "o_orderkey", total_rows=plan.total_rows), plan)
     planned = paging.chunk_table(spark, plan)
     return planned, checks.reconcile(planned, numbered.where("o_totalprice < 495000"))
 
@@ -266,7 +278,7 @@ def validate_extract(spark, folder):
     rows = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     plan = paging.plan_chunks(rows.count(), 5000)
     numbered = paging.number_rows(
-        rows, "l_orderkey, l_linenumber, l_partkey", buckets=8, total_rows=plan.total_rows, break_ties=True
+        rows, "l_orderkey, l_linenumber, l_partkey", total_rows=plan.total_rows, break_ties=True
     )
     return checks.validate_extract(paging.with_chunks(numbered, plan), ["l_orderkey", "l_linenumber"])
 
@@ -282,7 +294,7 @@ def validate_disorder(spark, folder):
     """Rows in date order, checked against another key: violations inside and between chunks."""
     rows = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     plan = paging.plan_chunks(rows.count(), 700)
-    numbered = paging.number_rows(rows, "o_orderdate, o_orderkey", buckets=8, total_rows=plan.total_rows)
+    numbered = paging.number_rows(rows, "o_orderdate, o_orderkey", total_rows=plan.total_rows)
     report = checks.validate_extract(paging.with_chunks(numbered, plan), "o_custkey")
     return report.select("rows", "order_violations", "adjacent_duplicates")
 

@@ -374,7 +374,7 @@ def _envelopes(spark, folder):
         .when(digit == 1, F.concat(F.lit("<ns:reportBytes>\n "), code, F.lit("\n</ns:reportBytes>")))
         .when(digit == 2, F.lit("<reportBytes>#</reportBytes>"))
         .when(digit == 3, F.lit("<ns:other>1</ns:other>"))
-        .when(digit == 4, F.format_string("<s:Fault><faultcode>x</faultcode><faultstring> order %d &lt;bad&gt; </faultstring></s:Fault>", "o_orderkey"))
+        .when(digit == 4, F.format_string("<!-- <faultstring>no</faultstring> --><s:Fault><faultcode>x</faultcode><faultstring> order %d &lt;bad&gt; <![CDATA[<&>]]>&#169;</faultstring></s:Fault>", "o_orderkey"))
         .when(digit == 5, F.format_string('<s:Fault><s:Reason><s:Text xml:lang="en">text %d</s:Text></s:Reason></s:Fault>', "o_orderkey"))
         .otherwise(F.concat(F.lit("<ReportBytes>"), code, F.lit("</ReportBytes>")))
     )
@@ -398,7 +398,7 @@ def soap_payload_status(spark, folder):
 
 @query(
     """
-    SELECT o_orderkey, CASE o_orderkey % 8 WHEN 4 THEN 'order ' || CAST(o_orderkey AS VARCHAR) || ' <bad>'
+    SELECT o_orderkey, CASE o_orderkey % 8 WHEN 4 THEN 'order ' || CAST(o_orderkey AS VARCHAR) || ' <bad> <&>©'
                                            WHEN 5 THEN 'text ' || CAST(o_orderkey AS VARCHAR) END AS fault FROM orders
     """
 )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from datetime import date, datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +20,18 @@ def all_string(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
 
 
-def normalised_instant(value) -> str:
-    """``YYYY-MM-DD HH:MM:SS`` in UTC, or ``ValueError`` for a bad date."""
-    try:
-        parsed = pd.to_datetime(value, errors="raise", utc=True)
-        if pd.isna(parsed):
-            raise ValueError(value)
-        return parsed.strftime("%Y-%m-%d %H:%M:%S")
-    except Exception as error:
-        raise ValueError(f"Invalid change date {value!r}. Use YYYY-MM-DD or YYYY-MM-DD HH:MM:SS.") from error
+def change_bound(value) -> datetime:
+    """The lower bound as an instant, to the microsecond; without a zone it is UTC."""
+    if isinstance(value, datetime):
+        moment = value
+    elif isinstance(value, date):
+        moment = datetime(value.year, value.month, value.day)
+    else:
+        try:
+            moment = datetime.fromisoformat(str(value).strip())
+        except ValueError as error:
+            raise ValueError(f"{value!r} is no date such as 2024-01-31 or 2024-01-31 13:45:00.5") from error
+    return moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
 
 
 def check_predicate(predicate: str | None) -> str | None:
@@ -47,16 +51,20 @@ def incremental(
     """Rows changed at or after ``since`` that also meet the ``extra`` condition.
 
     The bound takes the column's own type, so the comparison stays bare and
-    reaches the Parquet reader as a pushed filter.
+    reaches the Parquet reader as a pushed filter.  A text that is no timestamp
+    fails the query: leaving its row out would lose it unseen.
     """
     if since is not None:
         name = check_identifier(column, "change column")
         kind = df.schema[name].dataType if name in df.columns else T.TimestampType()
-        bound = F.lit(normalised_instant(since))
+        bound = F.lit(change_bound(since).strftime("%Y-%m-%d %H:%M:%S.%f"))
         if isinstance(kind, T.TimestampNTZType):
             df = df.where(F.col(name) >= bound.cast("timestamp_ntz"))
         elif isinstance(kind, T.StringType):
-            df = df.where(F.try_to_timestamp(F.col(name)) >= bound.cast("timestamp"))
+            read = F.try_to_timestamp(F.col(name))
+            message = F.concat(F.lit(f"{name} holds a text that is no timestamp: "), F.col(name))
+            unread = F.col(name).isNotNull() & read.isNull()
+            df = df.where(F.when(unread, F.raise_error(message).cast("boolean")).otherwise(read >= bound.cast("timestamp")))
         else:
             df = df.where(F.col(name) >= bound.cast("timestamp"))
     condition = check_predicate(extra)

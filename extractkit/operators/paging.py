@@ -77,16 +77,24 @@ def _whole_number(value, label: str, least: int) -> int:
 # --- pages and caps -------------------------------------------------------------
 
 
+def _content_hashes(columns) -> list[Column]:
+    """What orders tied rows: rows that agree in both are equal, for all practical purposes."""
+    names = [F.col(f"`{name}`") for name in columns]
+    return [F.xxhash64(*names), F.xxhash64(F.lit("second"), *names)]
+
+
 def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
     """Rows ``[offset, offset + limit)``.
 
-    A shallow page is a top-k.  A top-k gathers everything before its end in one
-    place, so a deep page is cut out of the distributed row numbers instead.
+    Tied rows follow a content hash, so pages of one order neither lose nor repeat
+    rows.  A shallow page is a top-k.  A top-k gathers everything before its end in
+    one place, so a deep page is cut out of the distributed row numbers, which have
+    the same order.
     """
     _whole_number(offset, "offset", 0)
     _whole_number(limit, "limit", 1)
     if offset + limit <= SHALLOW_ROWS:
-        return df.orderBy(*sort_columns(order_by)).offset(offset).limit(limit)
+        return df.orderBy(*sort_columns(order_by), *_content_hashes(df.columns)).offset(offset).limit(limit)
     place = F.col("_page_row")
     numbered = number_rows(df, order_by, column="_page_row", break_ties=True)
     return numbered.where((place >= offset) & (place < offset + limit)).orderBy(place).drop(place)
@@ -325,12 +333,10 @@ def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFram
     grouped = (
         df.groupBy("_bucket", *columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_hash", F.xxhash64(*columns))
-        .withColumn("_slot", F.pmod(F.col("_hash"), F.lit(spread)))
+        .withColumns(dict(zip(("_hash", "_second"), _content_hashes(columns))))
+        # Slots are ranges of the hash, so slot after slot is hash order.
+        .withColumn("_slot", F.floor((F.shiftright("_hash", 32) + F.lit(1 << 31)) * F.lit(spread) / F.lit(1 << 32)))
     )
-    # Numbers must not depend on how often the plan runs, so ties on the hash
-    # fall back to the whole row.
-    text = F.to_json(F.struct(*columns))
     slots = grouped.groupBy("_bucket", "_slot").agg(F.sum("_copies").alias("_rows"))
     slot_start = slots.select(
         "_bucket",
@@ -342,7 +348,7 @@ def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFram
             - F.col("_rows")
         ).alias("_before_slot"),
     )
-    within = Window.partitionBy("_bucket", "_slot").orderBy("_hash", text)
+    within = Window.partitionBy("_bucket", "_slot").orderBy("_hash", "_second")
     before = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies")
     placed = (
         grouped.withColumn("_before", before)
@@ -380,7 +386,7 @@ def number_rows(
     bucketed, start = _bucketed(df, edges)
     sort = [key.sort() for key in keys]
     if break_ties:
-        sort.append(F.xxhash64(*df.columns))
+        sort += _content_hashes(df.columns)
     even = bucketed if not any(edges.frequent) else bucketed.where(F.col("_bucket") % 2 == 0)
     window = Window.partitionBy("_place").orderBy(*sort)
     numbered = _one_task_each(even, edges).select(*df.columns, (start + F.row_number().over(window) - 1).alias(column))

@@ -46,9 +46,13 @@ def table_usage(log: DataFrame, query_id: str = "query_id", sql: str = "sql") ->
     return references.groupBy("table_name").agg(F.count(F.lit(1)).alias("queries"))
 
 
-def check_allowlist(references: DataFrame, allowlist: DataFrame, query_id: str = "query_id") -> DataFrame:
+def check_allowlist(
+    references: DataFrame, allowlist: DataFrame, query_id: str = "query_id", *, log: DataFrame | None = None
+) -> DataFrame:
     """Unknown tables per query; ``valid`` when there are none.
 
+    With ``log``, its queries without any reference are in the report too, as valid.
+
     A table is allowed when the list holds it exactly, or when exactly one entry
     has its unqualified name.
     """
@@ -68,11 +72,14 @@ def check_allowlist(references: DataFrame, allowlist: DataFrame, query_id: str =
             (F.coalesce("_exact", F.lit(False)) | (F.coalesce("_entries", F.lit(0)) == 1)).alias("_allowed"),
         )
     )
+    found = references.join(judged, "table_name").select(query_id, "table_name", "_allowed")
+    if log is not None:
+        # One row more for each query, which counts as no table.
+        found = found.unionByName(log.select(query_id).distinct(), allowMissingColumns=True)
     return (
-        references.join(judged, "table_name")
-        .groupBy(query_id)
+        found.groupBy(query_id)
         .agg(
-            F.count(F.lit(1)).alias("referenced_tables"),
+            F.count("table_name").alias("referenced_tables"),
             F.array_sort(F.collect_set(F.when(~F.col("_allowed"), F.col("table_name")))).alias("unknown_tables"),
         )
         .withColumn("valid", F.size("unknown_tables") == 0)

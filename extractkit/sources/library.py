@@ -7,6 +7,7 @@ Statements are told apart by Spark's own parser, never by their first word.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import asdict, dataclass
 
@@ -59,11 +60,12 @@ class StatementResult:
         }
 
 
-def discover_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
+def discover_files(spark: SparkSession, folder: str, recursive: bool = True, without: str | None = None) -> DataFrame:
     """``relative_path, absolute_path, file_type, size_bytes`` of the data files.
 
     A folder named like a file (``orders.parquet/part-…``) counts as one dataset.
-    Only names and sizes are listed; no content is read.
+    Only names and sizes are listed; no content is read.  What lies below ``without``,
+    the library's own tables, is left out.
     """
     root = Files(spark).qualified(folder).rstrip("/")
     listing = spark.read.format("binaryFile")
@@ -75,6 +77,9 @@ def discover_files(spark: SparkSession, folder: str, recursive: bool = True) ->
     base = "/" + base.lstrip("/") if root.startswith("file:") else base
     relative = F.expr(f"substring(_plain, {len(base) + 2})")
     found = listing.load(folder).select(plain.alias("_plain"), "length").withColumn("_relative", relative)
+    if without:
+        own = re.sub(r"^file:/+", "/", Files(spark).qualified(without)).rstrip("/") + "/"
+        found = found.where(~F.col("_plain").startswith(own))
     entry = F.regexp_extract("_relative", r"(?i)^(.*?\.(?:csv|tsv|parquet))(?:/.*)?$", 1)
     return (
         found.withColumn("relative_path", entry)
@@ -155,7 +160,7 @@ class DataLibrary:
         for name in self._views | self._managed:
             self.spark.sql(f"DROP VIEW IF EXISTS {_quoted(name)}")
         self._views, self._managed, self.clashes = set(), set(), []
-        found = {r["relative_path"]: r for r in discover_files(self.spark, self.folder, self.recursive).collect()}
+        found = {r["relative_path"]: r for r in discover_files(self.spark, self.folder, self.recursive, self.tables.root).collect()}
         aliases = assign_aliases(list(found))
         reserved = {safe for safe, _ in aliases.values()}
         records = []

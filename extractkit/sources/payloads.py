@@ -14,7 +14,6 @@ from ..functions.text import explode_filled, null_if_empty, strip
 TERMINAL_STATES = ("SUCCEEDED", "ERROR", "WARNING", "CANCELLED", "EXPIRED")
 
 _CORRUPT = "_corrupt_record"
-_TEXT_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&"))
 _CHILD_TYPE = "array<struct<REQUESTID:string,JOBNAME:string,JOBPATH:string,STATUS:string>>"
 
 
@@ -24,12 +23,6 @@ def decode_base64(text: Column) -> Column:
     return F.when(shaped, F.unbase64(text))
 
 
-def _unescape(text: Column) -> Column:
-    for entity, char in _TEXT_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
 def _is_well_formed(xml: Column) -> Column:
     """Does the parser accept the whole document?"""
     parsed = F.from_xml(
@@ -40,15 +33,20 @@ def _is_well_formed(xml: Column) -> Column:
     return xml.isNotNull() & parsed.getField(_CORRUPT).isNull()
 
 
-def element_text(xml: Column, name: str) -> Column:
-    """Raw text of the first element of that local name, any prefix and letter case.
+def _named(name: str) -> str:
+    """XPath of the elements of a local name, any prefix and letter case."""
+    return f"//*[translate(local-name(), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') = '{name.lower()}']"
+
+
+def element_text(xml: Column, name: str, inside: str | None = None) -> Column:
+    """Text of the first element of that local name, perhaps only below one named ``inside``.
 
-    ``''`` for an element without content, NULL when it is absent.
+    The document is parsed, so comments do not count and entities and CDATA are read.
+    ``''`` for an element without content, NULL when it is absent or the document is broken.
     """
-    opening = rf"(?is)<(?:[\w.-]+:)?{name}(?:\s[^>]*?)?"
-    filled = F.regexp_extract(xml, opening + rf"(?<!/)>(.*?)</(?:[\w.-]+:)?{name}\s*>", 1)
-    present = xml.rlike(opening + r"/?>")
-    return F.when(present, filled)
+    path = (_named(inside) if inside else "") + _named(name)
+    present = F.xpath_boolean(xml, F.lit(path))
+    return F.when(_is_well_formed(xml), F.when(present, F.xpath_string(xml, F.lit(f"({path})[1]"))))
 
 
 def with_report_bytes(df: DataFrame, envelope: str, *, column: str = "report_base64", status: str = "status") -> DataFrame:
@@ -73,8 +71,8 @@ def with_report_bytes(df: DataFrame, envelope: str, *, column: str = "report_bas
 def soap_fault(envelope: Column) -> Column:
     """Fault message: ``faultstring``, else the ``Text`` inside ``Fault``."""
     direct = null_if_empty(strip(element_text(envelope, "faultstring")))
-    inner = null_if_empty(strip(element_text(element_text(envelope, "Fault"), "Text")))
-    return F.when(_is_well_formed(envelope), _unescape(F.coalesce(direct, inner)))
+    inner = null_if_empty(strip(element_text(envelope, "Text", inside="Fault")))
+    return F.coalesce(direct, inner)
 
 
 def with_result_xml(df: DataFrame, payload: str, *, column: str = "xml", status: str = "status") -> DataFrame:

@@ -17,10 +17,6 @@ from pyspark.sql import types as T
 from ..errors import StatementError
 from ..operators.merge import MergeAction, MergeSpec
 
-# Administrative words that are never allowed.
-BLOCKED_WORDS = ("INSTALL", "LOAD", "ATTACH", "DETACH", "IMPORT", "EXPORT", "PRAGMA")
-
-_COMMENT = re.compile(r"(?s)/\*.*?\*/|--[^\r\n]*")
 _TOKEN = re.compile(r"(?s)'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|/\*.*?\*/|--[^\r\n]*|\?")
 _SHOWING = (
     "ShowTables", "ShowViews", "ShowColumns", "ShowFunctions", "ShowNamespaces", "ShowCreateTable",
@@ -50,11 +46,6 @@ class Statement:
     merge: MergeSpec | None = None
 
 
-def _first_word(sql: str) -> str:
-    found = re.match(r"\s*([A-Za-z]+)", _COMMENT.sub(" ", sql))
-    return found.group(1).upper() if found else ""
-
-
 def _literal(value) -> str:
     if value is None:
         return "NULL"
@@ -145,10 +136,7 @@ def parse_statement(spark: SparkSession, sql: str, parameters=None) -> Statement
     """Parse exactly one statement; anything not known to be harmless is BLOCKED."""
     if not isinstance(sql, str) or not sql.strip():
         raise StatementError("SQL cannot be empty.")
-    word = _first_word(sql)
-    if word in BLOCKED_WORDS:
-        return Statement(sql, "BLOCKED")
-    summarize = re.fullmatch(r"\s*SUMMARIZE\s+(?:`([^`]+)`|\"([^\"]+)\"|([^\s;]+))\s*;?\s*", _COMMENT.sub(" ", sql), re.I)
+    summarize = re.fullmatch(r"\s*SUMMARIZE\s+(?:`([^`]+)`|\"([^\"]+)\"|([^\s;]+))\s*;?\s*", sql, re.I)
     if summarize:
         return Statement(sql, "SUMMARIZE", target=next(g for g in summarize.groups() if g))
     sql = bind(sql, parameters)
@@ -156,14 +144,16 @@ def parse_statement(spark: SparkSession, sql: str, parameters=None) -> Statement
         plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
     except Exception as error:
         raise StatementError(str(error)) from error
-    return _describe(spark, sql, word, plan)
+    return _describe(spark, sql, plan)
 
 
-def _describe(spark: SparkSession, sql: str, word: str, plan) -> Statement:
+def _describe(spark: SparkSession, sql: str, plan) -> Statement:
     kind = plan.getClass().getSimpleName()
     if kind == "UnresolvedWith" and "Insert" not in (inner := plan.child().getClass().getSimpleName()):
         if inner in {"DeleteFromTable", "UpdateTable", "MergeIntoTable"}:
             raise StatementError("A WITH clause in front of a change is not supported.")
+        if _acts(spark, plan):
+            return Statement(sql, "BLOCKED")
         return Statement(sql, "WITH", is_query=True)
     if kind == "UnresolvedWith":
         raise StatementError("Put the WITH clause after INSERT INTO.")
@@ -213,9 +203,15 @@ def _describe(spark: SparkSession, sql: str, word: str, plan) -> Statement:
         return Statement(sql, "DROP", target=_name(plan.child().nameParts()), if_exists=plan.ifExists())
     if kind in {"AddColumns", "DropColumns", "RenameColumn"}:
         return _alter(sql, kind, plan)
-    if word in {"SELECT", "WITH", "FROM", "VALUES", "TABLE", ""}:
-        return Statement(sql, "SELECT", is_query=True)
-    return Statement(sql, "BLOCKED")
+    return Statement(sql, "BLOCKED") if _acts(spark, plan) else Statement(sql, "SELECT", is_query=True)
+
+
+def _acts(spark: SparkSession, plan) -> bool:
+    """Is there a command or an insert anywhere in the plan?  Only plans without one are queries."""
+    command = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst.plans.logical.Command")
+    if command.isInstance(plan) or plan.getClass().getSimpleName().startswith("Insert"):
+        return True
+    return any(_acts(spark, child) for child in _items(plan.children()))
 
 
 def _alter(sql: str, kind: str, plan) -> Statement:

@@ -35,7 +35,7 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert every micro-batch of a stream.
 
-    The table records the last batch of each stream next to its files, in one
+    The table records the last batch of each stream and checkpoint next to its files, in one
     commit; a batch that Spark replays after a failure is therefore skipped.  With
     ``order_col`` the latest row of a key wins within a batch.  A late row still
     overwrites unless ``newer_than`` names a column to compare.
@@ -44,11 +44,13 @@ def stream_upsert(
     duplicates = {"on_duplicate": "latest", "order_col": order_col} if order_col else {}
 
     def apply(batch: DataFrame, number: int) -> None:
+        # Batch numbers count from 0 in each checkpoint, so they are kept by its query id.
+        query = tables.files.read_json(f"{checkpoint}/metadata")["id"]
         rows = all_string(batch) if all_varchar else batch
         if rows.isEmpty():
             return
         tables.upsert(
-            target_table, rows, names, newer_than=newer_than, batch=(stream_name, number), **duplicates
+            target_table, rows, names, newer_than=newer_than, batch=(f"{stream_name}:{query}", number), **duplicates
         )
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

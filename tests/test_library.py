@@ -55,6 +55,27 @@ def test_refused_statements(spark, folder, sql):
         lib.query("DELETE FROM orders")
 
 
+@pytest.mark.parametrize("sql", [
+    "FROM orders INSERT OVERWRITE DIRECTORY '{0}' USING parquet SELECT *",
+    "FROM orders INSERT INTO a SELECT * INSERT INTO b SELECT *",
+    "WITH x AS (SELECT 1 AS id) FROM x INSERT OVERWRITE DIRECTORY '{0}' USING parquet SELECT *",
+    "CREATE VIEW v AS SELECT 1", "SET a = 1", "CACHE TABLE orders",
+])
+@pytest.mark.parametrize("read_only", [True, False])
+def test_a_query_never_writes(spark, folder, tmp_path, sql, read_only):
+    lib = open_data_library(spark, str(folder), read_only=read_only)
+    with pytest.raises(StatementError):
+        lib.query(sql.format(tmp_path / "written"))
+    assert not (tmp_path / "written").exists()
+
+
+def test_own_tables_are_not_data_files(spark, folder):
+    lib = open_data_library(spark, str(folder), str(folder / "managed"))
+    before = lib.list_files().count()
+    lib.materialize("orders")
+    assert lib.refresh().count() == before
+
+
 def test_managed_tables(spark, folder):
     lib = open_data_library(spark, str(folder))
     assert lib.materialize("Sales Data") == "managed_sales_data"

@@ -167,12 +167,15 @@ def test_envelopes(spark):
         ("ok", wrap("<n:reportBytes> QUJD\n RA== </n:reportBytes>")), ("self", wrap("<reportBytes/>")), ("none", wrap("<n:reportBytes></n:reportBytes>")),
         ("bad", wrap("<reportBytes>@</reportBytes>")), ("miss", wrap("<a/>")), ("cut", "<a><b>"), ("fault", wrap("<s:Fault><faultstring> a &lt; b </faultstring></s:Fault>")),
         ("text", wrap("<s:Fault><s:Text xml:lang='en'>why</s:Text></s:Fault>")),
+        ("comment", wrap("<!-- <faultstring>no</faultstring><reportBytes>bm8=</reportBytes> --><s:Fault><faultstring>yes</faultstring></s:Fault>")),
+        ("cdata", wrap("<s:Fault><faultstring><![CDATA[a <b> & c]]></faultstring></s:Fault>")), ("number", wrap("<faultstring>&#169;&#xE9; &amp;lt;</faultstring>")),
     ]
     df = with_report_bytes(spark.createDataFrame(rows, "id string, e string"), "e").withColumn("fault", soap_fault(F.col("e")))
     got = {r.id: (r.status, r.report_base64, r.fault) for r in df.collect()}
     assert got["ok"] == ("ok", "QUJDRA==", None) and got["self"][:2] == got["none"][:2] == ("empty", "")
     assert (got["bad"][0], got["miss"][0], got["cut"][0]) == ("invalid_base64", "missing", "invalid_xml")
     assert (got["fault"][2], got["text"][2]) == ("a < b", "why")
+    assert got["comment"] == ("missing", None, "yes") and (got["cdata"][2], got["number"][2]) == ("a <b> & c", "©é &lt;")
 
 
 def test_job_documents(spark):
@@ -236,5 +239,5 @@ def test_stream_restarts_and_replays(spark, tmp_path):
     assert run() == [(1, 0, "late"), (2, 1, "x"), (3, 1, "n")]
     version = tables.version("t").number
     assert run() and tables.version("t").number == version
-    # A lost checkpoint replays batch 0 under the same stream name: it is skipped.
-    assert run("c2") == [(1, 0, "late"), (2, 1, "x"), (3, 1, "n")] and tables.version("t").number == version
+    # A new checkpoint counts its batches from 0 again; its rows are applied, not taken for old ones.
+    assert run("c2") == [(1, 2, "b"), (2, 1, "x"), (3, 1, "n")] and tables.version("t").number == version + 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from extractkit.errors import DuplicateKeyError
 from extractkit.operators import paging
+from extractkit.operators.filters import incremental
 from extractkit.operators.paging import (
     into_chunks,
     number_rows,
@@ -60,6 +61,22 @@ def test_deep_page(spark, monkeypatch):
     assert [r.k for r in deep.collect()] == shallow and deep.columns == ["k"]
 
 
+def test_pages_of_ties_are_whole_across_both_plans(spark, monkeypatch):
+    df = spark.range(400).select(F.col("id"), (F.col("id") % 3).alias("k"))
+    monkeypatch.setattr(paging, "SHALLOW_ROWS", 150)
+    monkeypatch.setattr(paging, "bucket_count", lambda total, cores: 8)
+    pages = [r.id for start in range(0, 400, 50) for r in page(df, "k", start, 50).collect()]
+    assert sorted(pages) == list(range(400))
+
+
+def test_change_bound_keeps_microseconds_and_odd_text_fails(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00.2",), ("2024-01-01 00:00:00.5",), (None,)], "at string")
+    assert [r.at for r in incremental(df, "2024-01-01T00:00:00.5Z", "at").collect()] == ["2024-01-01 00:00:00.5"]
+    assert incremental(df.selectExpr("CAST(at AS timestamp) AS at"), "2024-01-01 00:00:00.5", "at").count() == 1
+    with pytest.raises(Exception, match="no timestamp"):
+        incremental(df.unionByName(spark.createDataFrame([("02-JAN-2024",)], "at string")), "2024-01-01", "at").collect()
+
+
 def test_cap_is_the_smaller_limit(spark):
     assert row_cap(spark.range(100).limit(50), 10).count() == 10
     assert row_cap(spark.range(100).limit(5), 10).count() == 5

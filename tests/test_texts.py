@@ -83,10 +83,12 @@ def test_referenced_tables(spark, sql, tables):
 
 
 def test_allowlist(spark):
-    log = spark.createDataFrame([(1, "SELECT * FROM a.t JOIN u ON 1=1"), (2, "SELECT * FROM x.only JOIN nope ON 1=1"), (3, "SELECT * FROM dup"), (4, "SELECT * FROM A.dup")], "query_id int, sql string")
+    log = spark.createDataFrame([(1, "SELECT * FROM a.t JOIN u ON 1=1"), (2, "SELECT * FROM x.only JOIN nope ON 1=1"), (3, "SELECT * FROM dup"), (4, "SELECT * FROM A.dup"), (5, "SELECT 1")], "query_id int, sql string")
     allowed = spark.createDataFrame([("A.T",), ("B.U",), ("only",), ("A.DUP",), ("B.DUP",), ("a.t",)], "table_name string")
     report = {r.query_id: (r.valid, r.unknown_tables) for r in check_allowlist(table_references(log), allowed).collect()}
     assert report == {1: (True, []), 2: (False, ["NOPE"]), 3: (False, ["DUP"]), 4: (True, [])}
+    whole = {r.query_id: (r.valid, r.referenced_tables) for r in check_allowlist(table_references(log), allowed, log=log).collect()}
+    assert whole == {1: (True, 2), 2: (False, 2), 3: (False, 1), 4: (True, 1), 5: (True, 0)}
 
 
 @pytest.mark.parametrize("text, clean", [
