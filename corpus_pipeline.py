@@ -28,8 +28,8 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model is fitted over all documents in one pass and applied in a second, so no text is shuffled.
     """
     model = quality_rules.fit(quality_rules.with_counts(docs.select("text")))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), quality_rules.counts(F.col("text")).alias("_counts"))
-    return rows.select("_doc", "_counts.*").where(model.kept()).select("_doc.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), quality_rules.count_columns(F.col("text")))
+    return rows.where(model.kept()).select("_doc.*")
 
 
 def classifier_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

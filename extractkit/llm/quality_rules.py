@@ -89,8 +89,13 @@ def counts(text: Column) -> Column:
 
 def with_counts(documents: DataFrame) -> DataFrame:
     """``documents`` with the counts of :func:`counts` as columns (clashing names are replaced)."""
-    kept = [c for c in documents.columns if c.lower() not in FEATURES and c != "_counts"]
-    return documents.select(*kept, counts(F.col("text")).alias("_counts")).select(*kept, "_counts.*")
+    kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() not in FEATURES]
+    return documents.select(*kept, count_columns(F.col("text")))
+
+
+def count_columns(text: Column) -> Column:
+    """The counts as columns of a generator of one row: a filter on them is not moved below it, which would compute them for each use."""
+    return F.inline(F.array(counts(text)))
 
 
 def base_failed() -> Column:
