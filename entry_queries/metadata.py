@@ -458,6 +458,28 @@ def job_children(spark, folder):
     return payloads.job_children(_job_responses(spark, folder), "response", keep=["event_id"])
 
 
+@query(
+    """
+    SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'invalid_json' WHEN 1 THEN 'no_items' WHEN 2 THEN 'no_status' WHEN 3 THEN 'no_status'
+                                       WHEN 4 THEN 'invalid_json' ELSE 'ok' END AS answer,
+           CASE WHEN event_id % 6 = 5 THEN CAST(event_id AS VARCHAR) WHEN event_id % 6 IN (2, 3) THEN '9' END AS request_id
+    FROM events
+    """
+)
+def job_answers(spark, folder):
+    """Damaged and empty answers are told from good ones."""
+    rows, kind = _job_responses(spark, folder), F.col("event_id") % 6
+    damaged = (
+        F.when(kind == 0, F.concat(F.lit("Service unavailable "), F.col("event_id").cast("string")))
+        .when(kind == 1, F.lit('{"items":[]}'))
+        .when(kind == 2, F.lit('{"items":[{"ReqstId":9}]}'))
+        .when(kind == 3, F.lit('{"items":[{"ReqstId":9,"RequestStatus":"{oops"}]}'))
+        .when(kind == 4, F.lit(None).cast("string"))
+        .otherwise(F.col("response"))
+    )
+    return payloads.job_status(rows.withColumn("response", damaged), "response").select("event_id", "answer", "request_id")
+
+
 def _zip_documents(batches):
     """Each document as a ZIP: its text, an XML note that is broken for short texts, a folder."""
     import io

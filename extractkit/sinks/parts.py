@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 import time
 from dataclasses import asdict, dataclass
 
@@ -43,11 +42,20 @@ class PartsResult:
         return asdict(self)
 
 
-def fingerprint(query: str, order_by, plan: ChunkPlan, output_format: str) -> str:
-    """What a resumed run must share with the run that left the work folder."""
-    terms = [f"{k.name} {'desc' if k.descending else 'asc'}" for k in order_keys(order_by)]
-    value = {"query": query.strip(), "order_by": terms, "format": output_format, **plan.to_dict()}
-    return hashlib.sha256(json.dumps(value, sort_keys=True).encode("utf-8")).hexdigest()
+def content_digest(df: DataFrame) -> tuple[int, str]:
+    """Rows, and a digest of schema and contents that does not depend on their order, in one scan."""
+    # Maps cannot be hashed; their JSON can.
+    values = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    one, two = F.xxhash64(*values), F.xxhash64(F.lit("second"), *values)
+    total = df.agg(F.count(F.lit(1)), F.sum(one.cast("decimal(38,0)")), F.sum(two.cast("decimal(38,0)"))).first()
+    return total[0], f"{df.schema.json()} {total[1]} {total[2]}"
+
+
+def fingerprint(query: str, contents: str, order_by, plan: ChunkPlan, **options) -> str:
+    """What a resumed run must share with the run that left the work folder: input, order, plan and writer options."""
+    terms = [(key.name, key.descending) for key in order_keys(order_by)]
+    parts = [query.strip(), contents, repr(terms), repr(plan), repr(sorted(options.items()))]
+    return hashlib.sha256("\0".join(parts).encode("utf-8")).hexdigest()
 
 
 def _part_name(path: str):
@@ -235,13 +243,14 @@ def write_parts(
         raise FileExistsError(f"Destination already exists: {output_directory}")
     text = {"delimiter": delimiter, "include_header": include_header}
     columns = df.columns
+    rows, contents = content_digest(df)
     plan = plan_chunks(
-        df.count(), chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
+        rows, chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
     )
     folder, _, name = target.rpartition("/")
     work = f"{folder}/.{name}.extract-work"
     parts, checkpoint = f"{work}/parts", f"{work}/checkpoint.json"
-    mark = fingerprint(query, order_by, plan, output_format)
+    mark = fingerprint(query, contents, order_by, plan, format=output_format, encoding=encoding, all_varchar=all_varchar, **text)
 
     done: list[dict] = []
     if files.exists(checkpoint):

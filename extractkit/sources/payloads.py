@@ -128,7 +128,9 @@ def with_job(df: DataFrame, response: str) -> DataFrame:
 
     The status document may be an object or a JSON text, its top key ``JOBS`` or
     ``jobs``, and ``CHILD`` one object, an array, or absent.  A nested object read
-    into a text field keeps its JSON, so each document is parsed once.
+    into a text field keeps its JSON, so each document is parsed once.  ``answer`` says
+    what came: ``ok``, ``invalid_json`` (of the response), ``no_items`` or ``no_status``
+    (absent, or no JSON).
     """
     col = F.col
     item = F.from_json(response, "items array<struct<OperationName:string,ReqstId:string,RequestStatus:string>>")
@@ -143,6 +145,8 @@ def with_job(df: DataFrame, response: str) -> DataFrame:
     return out.select(
         *df.columns,
         col("_item").isNotNull().alias("found"),
+        F.when(F.try_parse_json(response).isNull(), F.lit("invalid_json")).when(col("_item").isNull(), F.lit("no_items"))
+        .when(F.try_parse_json("_status").isNull(), F.lit("no_status")).otherwise(F.lit("ok")).alias("answer"),
         F.when(col("_item").isNotNull(), operation).alias("operation"),
         F.coalesce(col("_job.REQUESTID"), col("_item.ReqstId")).alias("request_id"),
         col("_job.JOBNAME").alias("job_name"),

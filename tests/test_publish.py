@@ -64,6 +64,9 @@ def test_resume_keeps_verified_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(parts, "_write", real)
     with pytest.raises(FingerprintError):
         write_parts(df, out, "id", chunk_size=10, query="another")
+    for other in ({"df": df.select((F.col("id") + 1).alias("id"))}, {"df": df, "output_format": "csv"}, {"df": df, "all_varchar": False}):
+        with pytest.raises(FingerprintError):
+            write_parts(**{"output_directory": out, "order_by": "id", "chunk_size": 10, "query": "q", **other})
     # A damaged part is written again, the other one is kept.
     (work / "parts" / state["files"][0]["part"]).write_bytes(b"broken")
     result = write_parts(df, out, "id", chunk_size=10, query="q")
