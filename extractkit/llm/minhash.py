@@ -203,6 +203,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     tested = stored(hits.select(F.col("pivot").alias("a"), F.col("rep").alias("b"), F.col("np").alias("na"), F.col("n").alias("nb")).distinct(), "pairs")
     similar_size = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     ids = tested.select(F.col("a").alias("doc_id")).unionByName(tested.select(F.col("b").alias("doc_id"))).distinct()
+    # The ids grow with the data, so the same shuffle join at every size.
     sets = stored(texts.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(width), "doc_id long, shingles array<long>"), "sets")
     same_id = members.withColumnRenamed("rep", "b").join(by_id.where("rep < other"), "doc_id").where("b <> rep").select(F.col("rep").alias("a"), "b")
     links = stored(_linked(tested.where(similar_size).select("a", "b"), sets, percent).unionByName(same_id), "links")
