@@ -8,7 +8,8 @@ result.  A notice counts if at most a fifth of the template's words differ and n
 words that name the license and its version does.
 
 Any such notice of a template of five words or more keeps two neighbouring words, so the
-search for blocks loses none.  Texts without any such pair are passed over before Python.
+search for blocks loses none.  It also keeps all naming words, and one of any k + 1 others if
+k may differ; a text without these is passed over before Python, by plain substring search.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.llm.common import small_batches
@@ -132,8 +134,13 @@ def scan_licenses(documents: DataFrame, templates: dict = TEMPLATES) -> DataFram
     a null ``doc_id`` stays null; other columns are ignored.
     """
     small_batches(documents.sparkSession)
-    pairs = sorted(LicenseScanner(templates).pairs)
-    hint = "|".join(f"{re.escape(a)}[^a-z0-9]+{re.escape(b)}" for a, b in pairs)
+    low, possible = F.lower("text"), F.lit(False)
+    for words, names in LicenseScanner(templates).templates.values():
+        least = int(SHARE * len(words)) + 1
+        others = sorted(set(words) - names, key=lambda w: (-len(w), w))[:least]
+        kept = reduce(Column.__and__, [low.contains(w) for w in sorted(names, key=lambda w: (-len(w), w))], F.lit(True))
+        some = reduce(Column.__or__, [low.contains(w) for w in others], F.lit(len(others) < least))
+        possible = possible | (kept & some)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = LicenseScanner(templates)
@@ -144,4 +151,4 @@ def scan_licenses(documents: DataFrame, templates: dict = TEMPLATES) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], [f.split()[0] for f in OUTPUT.split(", ")])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return spread(docs, "doc_id").where(F.lower("text").rlike(hint)).mapInArrow(run, OUTPUT)
+    return spread(docs, "doc_id").where(possible).mapInArrow(run, OUTPUT)
