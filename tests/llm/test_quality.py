@@ -91,3 +91,23 @@ def test_classifier_takes_odd_rows_and_too_few_labels(spark, docs, no_docs):
     found = qc.score(docs, qc.fit(docs, labels))
     assert found.count() == docs.count() and found.where("not kept").count() == 0 and dict(found.dtypes)["kept"] == "boolean"
     assert qc.score(no_docs, qc.fit(no_docs, labels.where("false"))).count() == 0
+
+
+def test_toxic_words_of_a_rare_language_count_at_a_few_hundred_labels():
+    rng = random.Random(8)
+    words = {g: [f"{g}{i}" for i in range(600)] for g in ("en", "de")}
+    bad = {g: [f"{g}bad{i}" for i in range(6)] for g in words}
+
+    def document(lang, toxic):
+        return " ".join(rng.choices(words[lang], k=40) + (rng.sample(bad[lang], 3) if toxic else []))
+
+    rows = [("en", 0)] * 220 + [("de", 0)] * 40 + [("en", 1)] * 36 + [("de", 1)] * 8
+    rng.shuffle(rows)
+    text = qc.Examples([qc.text_slots(document(*x).encode()) for x in rows])
+    page = qc.Examples([qc.page_slots("s", x[0], 400) for x in rows])
+    model = qc.cotrain(text, page, np.array([2 if toxic else 1 for _, toxic in rows]))
+    for lang in words:
+        for toxic in (0, 1):
+            held = qc.Examples([qc.text_slots(document(lang, toxic).encode()) for _ in range(100)])
+            kept = model.scores(held, qc.Examples([qc.page_slots("s", lang, 400)] * 100))[2] >= qc.THRESHOLD
+            assert kept.mean() < 0.2 if toxic else kept.mean() > 0.95, (lang, toxic)
