@@ -111,3 +111,29 @@ def test_toxic_words_of_a_rare_language_count_at_a_few_hundred_labels():
             held = qc.Examples([qc.text_slots(document(lang, toxic).encode()) for _ in range(100)])
             kept = model.scores(held, qc.Examples([qc.page_slots("s", lang, 400)] * 100))[2] >= qc.THRESHOLD
             assert kept.mean() < 0.2 if toxic else kept.mean() > 0.95, (lang, toxic)
+
+
+def test_words_of_unlabelled_documents_only_get_weight(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(6000):
+        bad, known = i % 4 == 0, i < 600
+        text = rng.choices(words, k=25) + (["nasty"] if bad and known else ["vile"] if bad else [])
+        # Documents of one source and language are all bad, so the page view is sure of them.
+        rows.append((i, " ".join(text), "de" if bad else "en", "bad" if bad else "good", 150))
+        if known:
+            labels.append((i, 1, int(bad)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = qc.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    weight = {w: model.text[qc.text_slots(w.encode())].min() for w in ("vile", "nasty", "w1")}
+    assert weight["vile"] < -0.5 and weight["nasty"] < -0.5 and abs(weight["w1"]) < 0.3
+
+
+def test_one_row_of_a_repeated_id_counts(spark):
+    frame, labels = labelled(spark, 300)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    first = frame.where("doc_id = 0")
+    again = first.crossJoin(spark.range(400).select("id")).drop("id")
+    once, many = qc.fit(frame, known), qc.fit(frame.unionByName(again), known)
+    assert np.allclose(once.text, many.text) and np.allclose(once.both, many.both)
