@@ -5,7 +5,8 @@ as that template and a fifth more on either side.  It is compressed by zstandard
 dictionary; templates rank by how much smaller they make it.  Of the best ones, the wording is
 then compared word by word, and the differences (substituted, added or left-out words) are the
 result.  A notice counts if at most a fifth of the template's words differ and none of the
-words that name the license and its version does.
+words that name the license and its version does.  Of overlapping notices the one with most
+words as in its template stays.  SPDX lines name their licenses themselves and are read by a pattern.
 
 Any such notice of a template of five words or more keeps two neighbouring words, so the
 search for blocks loses none.  It also keeps all naming words, and one of any k + 1 others if
@@ -39,6 +40,58 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", {"cc", "by-nc", "4.0"}),
     "CC0-1.0": ("Released into the public domain under CC0 1.0 Universal.", {"cc0", "1.0"}),
 }
+_GNU = (
+    "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} as published by the Free Software Foundation; "
+    "either version {2} of the License, or (at your option) any later version."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+    "in the documentation and/or other materials provided with the distribution."
+)
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+#: Further wordings, as (license, wording, the words that must be there): headers and short texts as they are in use.
+WORDINGS = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the "
+     "Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+     "permit persons to whom the Software is furnished to do so, subject to the following conditions:", {"permission", "granted", "charge", "sublicense"}),
+    ("MIT", "This project is licensed under the MIT License.", {"mit"}),
+    ("MIT", "Licensed under the MIT license.", {"mit"}),
+    ("MIT", "Distributed under the MIT License.", {"mit"}),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.", {"mit-style"}),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+     "permission notice appear in all copies.", {"permission", "fee", "granted", "purpose"}),
+    ("BSD-2-Clause", _BSD, {"redistribution", "source", "binary", "forms"}),
+    ("BSD-3-Clause", _BSD + " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+     "specific prior written permission.", {"redistribution", "source", "binary", "neither", "endorse", "promote"}),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License.", {"bsd", "2-clause"}),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License.", {"bsd", "3-clause"}),
+    ("BSD-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", {"bsd-style"}),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", {"apache", "2.0"}),
+    ("Apache-2.0", "This project is licensed under the Apache License 2.0.", {"apache", "2.0"}),
+    ("Apache-2.0", "Released under the Apache 2.0 License.", {"apache", "2.0"}),
+    *[(f"{short}-{version}.{minor}-or-later", _GNU.format(noun, name, number), words | {number})
+      for noun, short, name, words, versions in (
+          ("program", "GPL", "General Public License", {"gnu", "general", "public"}, ("2", "3")),
+          ("library", "LGPL", "Lesser General Public License", {"gnu", "lesser"}, ("2.1", "3")),
+          ("program", "AGPL", "Affero General Public License", {"gnu", "affero"}, ("3",)),
+      ) for number in versions for version, minor in [(number + ".0").split(".")[:2]]],
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mozilla", "public", "2.0"}),
+    ("CC-BY-4.0", _CC.format("Attribution"), {"creative", "commons", "attribution", "4.0"}),
+    ("CC-BY-SA-4.0", _CC.format("Attribution-ShareAlike"), {"creative", "commons", "attribution-sharealike", "4.0"}),
+    ("CC-BY-NC-4.0", _CC.format("Attribution-NonCommercial"), {"creative", "commons", "attribution-noncommercial", "4.0"}),
+    ("CC-BY-ND-4.0", _CC.format("Attribution-NoDerivatives"), {"creative", "commons", "attribution-noderivatives", "4.0"}),
+    ("CC-BY-NC-SA-4.0", _CC.format("Attribution-NonCommercial-ShareAlike"), {"creative", "commons", "attribution-noncommercial-sharealike", "4.0"}),
+    ("CC-BY-NC-ND-4.0", _CC.format("Attribution-NonCommercial-NoDerivatives"), {"creative", "commons", "attribution-noncommercial-noderivatives", "4.0"}),
+    *[(f"CC-{x.upper()}-4.0", f"Licensed under CC {x.upper()} 4.0.", {"cc", x, "4.0"}) for x in ("by-nd", "by-nc-sa")],
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", {"waived", "copyright", "neighboring"}),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", {"unencumbered", "public", "domain"}),
+]
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)", re.IGNORECASE)
+#: An id, not an operator nor the exception after WITH.
+_SPDX_ID = re.compile(r"\bWITH[ \t]+\S+|\b(?:AND|OR)\b|([A-Za-z0-9][A-Za-z0-9.+-]*)")
 #: Templates within so many bytes of the best are compared word by word.
 MARGIN = 4
 SHARE = 0.2
@@ -79,71 +132,103 @@ def differences(template: list[str], block: list[str]) -> tuple[int, int, list[s
     return j, end, changes[::-1]
 
 
+def _spdx(text: str) -> list[tuple]:
+    """The licenses of the SPDX lines, each at its id; an expression may go over the whole line."""
+    found = []
+    for line in _SPDX.finditer(text):
+        behind = line.start(1)
+        for m in _SPDX_ID.finditer(line[1]):
+            # Words after a whole expression are no part of it.
+            if m[1] and found and found[-1][1] >= line.start(1) and not re.search(r"\b(AND|OR)\b", text[behind : line.start(1) + m.start()]):
+                break
+            if m[1]:
+                behind = line.start(1) + m.end()
+                found.append((m[1].rstrip("."), line.start(1) + m.start(1), line.start(1) + m.start(1) + len(m[1].rstrip(".")), 0, (), 1.0))
+    return found
+
+
 class LicenseScanner:
-    def __init__(self, templates: dict[str, tuple[str, set[str]]]):
-        self.templates = {name: ([w for w, _, _ in words_of(text)], names) for name, (text, names) in templates.items()}
-        if any(len(words) < 5 for words, _ in self.templates.values()):
+    """``templates``: license -> (wording, words that must be there); ``wordings``: further ones of any license."""
+
+    def __init__(self, templates: dict[str, tuple[str, set[str]]], wordings: list[tuple[str, str, set[str]]] = ()):
+        every = [(name, *x) for name, x in templates.items()] + list(wordings)
+        self.licenses = [name for name, _, _ in every]
+        self.templates = [([w for w, _, _ in words_of(text)], names) for _, text, names in every]
+        if any(len(words) < 5 for words, _ in self.templates):
             raise ValueError("a template needs five words")
         self.pairs = defaultdict(set)
-        for words, _ in self.templates.values():
+        for k, (words, _) in enumerate(self.templates):
             for at, pair in enumerate(zip(words, words[1:])):
-                self.pairs[pair].add((at, len(words)))
+                self.pairs[pair].add((k, at))
         self.plain = zstandard.ZstdCompressor(level=3)
-        self.given = {
-            name: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-            for name, (text, _) in templates.items()
-        }
+        self.given = [
+            zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, text, _ in every
+        ]
 
     def scan(self, text: str) -> list[tuple]:
         """``(license, start, end, n_changes, changes, saved)`` of the notices of a whole text, in order, none overlapping."""
         words = words_of(text)
         plain = [w for w, _, _ in words]
+        there = set(plain)
+        live = {k for k, (_, names) in enumerate(self.templates) if names <= there}
         blocks = set()
-        for i, pair in enumerate(zip(plain, plain[1:])):
-            for at, n in self.pairs.get(pair, ()):
-                slack = int(SHARE * n)
-                blocks.add((max(0, i - at - slack), min(len(words), i - at + n + slack)))
-        found = [notice for low, high in sorted(blocks) for notice in self._best(text, words, plain, low, high)]
-        out, behind = [], -1
-        for notice in sorted(set(found), key=lambda x: (x[3], -(x[2] - x[1]), x[1], x[0])):
+        for i, pair in enumerate(zip(plain, plain[1:]) if live else ()):
+            for k, at in self.pairs.get(pair, ()):
+                if k in live:
+                    n = len(self.templates[k][0])
+                    slack = int(SHARE * n)
+                    blocks.add((max(0, i - at - slack), min(len(words), i - at + n + slack)))
+        found = [notice for low, high in sorted(blocks) for notice in self._best(text, words, plain, low, high, live)]
+        out = _spdx(text)
+        for _, notice in sorted(set(found), key=lambda x: (-x[0], x[1][3], -(x[1][2] - x[1][1]), x[1][1], x[1][0])):
             if all(notice[2] <= o[1] or notice[1] >= o[2] for o in out):
                 out.append(notice)
         return sorted(out, key=lambda x: x[1])
 
-    def _best(self, text: str, words: list, plain: list[str], low: int, high: int) -> list[tuple]:
+    def _best(self, text: str, words: list, plain: list[str], low: int, high: int, live: set[int]) -> list[tuple]:
+        """Notices of a block, each after the number of words that are as in its template."""
+        names_here = set(plain[low:high])
+        live = [k for k in sorted(live) if self.templates[k][1] <= names_here]
+        if not live:
+            return []
         block = text[words[low][1] : words[high - 1][2]].lower().encode()
         alone = len(self.plain.compress(block))
-        sizes = {name: len(given.compress(block)) for name, given in self.given.items()}
+        sizes = {k: len(self.given[k].compress(block)) for k in live}
         best = min(sizes.values())
         out = []
-        for name, size in sizes.items():
-            template, names = self.templates[name]
+        for k, size in sizes.items():
+            template, names = self.templates[k]
             if size > best + MARGIN or size >= alone:
                 continue
             first, end, changes = differences(template, plain[low:high])
             lost = {c.split(">")[0].lstrip("-") for c in changes if not c.startswith("+")}
             if len(changes) <= SHARE * len(template) and not lost & names:
-                out.append((name, words[low + first][1], words[low + end - 1][2], len(changes), tuple(changes), round(1 - size / alone, 6)))
+                out.append((len(template) - len(changes), (self.licenses[k], words[low + first][1], words[low + end - 1][2], len(changes), tuple(changes), round(1 - size / alone, 6))))
         return out
 
 
-def scan_licenses(documents: DataFrame, templates: dict = TEMPLATES) -> DataFrame:
+def scan_licenses(documents: DataFrame, templates: dict = TEMPLATES, wordings: list = WORDINGS) -> DataFrame:
     """A row for each notice: document, license, place (characters from 0), changed words, share of bytes saved.
 
     Null, empty and other texts without a notice give no rows; repeated rows give theirs each;
     a null ``doc_id`` stays null; other columns are ignored.
     """
     small_batches(documents.sparkSession)
-    low, possible = F.lower("text"), F.lit(False)
-    for words, names in LicenseScanner(templates).templates.values():
+    low = F.lower("text")
+    groups = defaultdict(lambda: F.lit(False))
+    for words, names in LicenseScanner(templates, wordings).templates:
         least = int(SHARE * len(words)) + 1
         others = sorted(set(words) - names, key=lambda w: (-len(w), w))[:least]
-        kept = reduce(Column.__and__, [low.contains(w) for w in sorted(names, key=lambda w: (-len(w), w))], F.lit(True))
+        first, *rest = sorted(names, key=lambda w: (-len(w), w))
+        kept = reduce(Column.__and__, [low.contains(w) for w in rest], F.lit(True))
         some = reduce(Column.__or__, [low.contains(w) for w in others], F.lit(len(others) < least))
-        possible = possible | (kept & some)
+        groups[first] = groups[first] | (kept & some)
+    possible = low.contains("spdx-license-identifier:")
+    for first, found in groups.items():
+        possible = possible | (low.contains(first) & found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = LicenseScanner(templates)
+        scanner = LicenseScanner(templates, wordings)
         for batch in batches:
             rows = [(d, *n) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for n in scanner.scan(t)]
             columns = list(zip(*rows)) or [()] * 7

@@ -85,6 +85,31 @@ def test_license_notices(spark, docs, no_docs):
     assert scan_licenses(docs).count() == scan_licenses(no_docs).count() == 0
 
 
+def test_license_notices_as_in_use(spark):
+    bsd = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+# 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+# 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+#    disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+    gnu = "This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU {} as published by\n * the Free Software Foundation, either version {} of the License, or\n * (at your option) any later version."
+    rows = {
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis software and associated documentation files (the 'Software'), to deal in\nthe Software without restriction, including without limitation the rights to\nuse, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of\nthe Software, and to permit persons to whom the Software is furnished to do so,\nsubject to the following conditions:",
+        "BSD-2-Clause": bsd,
+        "BSD-3-Clause": bsd + "# 3. Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "BSD-style": "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.",
+        "GPL-3.0-or-later": gnu.format("General Public License", 3), "GPL-2.0-or-later": gnu.format("General Public License", 2),
+        "LGPL-2.1-or-later": gnu.format("Lesser General Public License", "2.1"), "AGPL-3.0-or-later": gnu.format("Affero General Public License", 3),
+        "ISC": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "CC-BY-SA-4.0": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Zlib": "/* SPDX-License-Identifier: Zlib */",
+    }
+    frame = spark.createDataFrame([(i, f"Some words before.\n{text}\nAnd after.") for i, text in enumerate(rows.values())], "doc_id long, text string")
+    assert [(r.doc_id, r.license) for r in scan_licenses(frame).orderBy("doc_id", "start").collect()] == list(enumerate(rows))
+    lines = spark.createDataFrame([(1, "# SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 import os"), (2, "Permission to use this is granted.")], "doc_id long, text string")
+    assert [r.license for r in scan_licenses(lines).orderBy("start").collect()] == ["MIT", "Apache-2.0", "GPL-2.0-only"]
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(11)
     parts = ["<", "s>", "/s>", "[", "INST]", "/INST]", "\\", "<<SYS>>", "<</SYS>>", "<|role|>", "<|text|>", "|end|>", "é\n", " ", "$1", ""]
