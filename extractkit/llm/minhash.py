@@ -43,6 +43,8 @@ from extractkit.session import spread
 COORDINATES, BAND = 128, 4
 SMALL_BUCKET, BLOCK = 64, 1024
 MOST_DIFFERENT = 53
+#: The least similarity that the bands and MOST_DIFFERENT are made for.
+LEAST_PERCENT = 80
 _ROUNDS = odd_words(2 * COORDINATES, 1)
 _PLACES = odd_words(64, 2)
 _BANDS = odd_words(COORDINATES, 3)
@@ -180,8 +182,10 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     Null and wordless texts: 0 shingles, linked with nothing.  Rows that repeat a ``doc_id``
     count as one document that is linked if any of its texts is.  A null ``doc_id`` is linked
     with nothing: its component is null and it is kept.  No rows give no rows; other columns
-    are ignored.
+    are ignored.  A ``percent`` below 80 is refused: bands and signature test would miss pairs.
     """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST_PERCENT} to 100")
     spark = documents.sparkSession
     small_batches(spark)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))

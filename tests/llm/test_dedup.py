@@ -3,6 +3,8 @@
 import random
 from itertools import combinations
 
+import pytest
+
 from extractkit.llm import minhash
 from extractkit.llm.components import connected_components
 from extractkit.llm.minhash import near_duplicates, shingle_set, sketch
@@ -88,3 +90,9 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (7, 7)], "a long, b long")
     found = {r.id: r.component for r in connected_components(links).collect()}
     assert found == {**dict.fromkeys(range(41), 0), 90: 90, 100: 90}
+
+
+def test_a_percent_that_the_bands_do_not_cover_is_refused(docs):
+    for percent in (50, 79, 101):
+        with pytest.raises(ValueError, match="percent"):
+            near_duplicates(docs, 5, percent)
