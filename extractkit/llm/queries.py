@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from extractkit.llm import bpe, quality_classifier, quality_rules, urls
+from extractkit.llm import bpe, exact_dedup, quality_classifier, quality_rules, urls
 from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
 from extractkit.llm.licenses import scan_licenses
@@ -147,6 +147,19 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
+def op12_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    recipes = exact_dedup.as_recipes(docs, exact_dedup.verified_seed(docs))
+    told = recipes.select("doc_id", "recipe", F.sha2("text", 256).alias("text_sha256"))
+    return exact_dedup.equal_recipes(told).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents),
+g AS (SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, sha256(text) AS text_sha256 FROM t WINDOW w AS (PARTITION BY text))
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
 #: name -> (function, SQL or None)
 QUERIES = {
     "op1_token_rollup": (op1_token_rollup, None),
@@ -159,4 +172,5 @@ QUERIES = {
     "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
+    "op12_chunk_recipes": (op12_chunk_recipes, OP12_SQL),
 }
