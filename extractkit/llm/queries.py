@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from extractkit.llm import bpe, exact_dedup, quality_classifier, quality_rules, urls
+from extractkit.llm import bpe, exact_dedup, merkle, quality_classifier, quality_rules, urls
 from extractkit.llm.chat import ChatFormat
 from extractkit.llm.common import load, stored
 from extractkit.llm.licenses import scan_licenses
@@ -147,6 +147,77 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM f GROUP BY conv_id
 """
 
+def merkle_report(docs: DataFrame) -> DataFrame:
+    """Each row with its digests and proof, and what a check of its leaf finds; every fifth document or so is checked with a changed text.
+
+    A row without an id is not changed.
+    """
+    told = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf(*told, lowered))
+    leaves = docs.select("doc_id", "source", merkle.leaf(*told, F.col("text")).alias("leaf"), F.unhex(changed).alias("changed"))
+    found = merkle.manifest(leaves, "source", "doc_id", carry=("doc_id", "changed"))
+    checked = found.withColumn("folded_root", merkle.fold(F.coalesce(F.lower(F.hex("changed")), "leaf"), F.col("path")))
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("path", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_report(load(spark, folder, "documents"))
+
+
+#: Unsigned CRC-32 of a text of ASCII characters: each byte goes in, then eight shifts of the reversed polynomial.
+CRC32_SQL = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+        flatten(list_transform(string_split({0}, ''), lambda c: [CAST(ascii(c) AS BIGINT), 256, 256, 256, 256, 256, 256, 256, 256]))),
+        lambda a, e: CASE WHEN e < 256 THEN xor(a, e) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+
+def _node_sql(name: str, first: str) -> str:
+    """Common table expressions: ``{name}`` with the nodes of all levels, ``{name}_beside`` with what stands left and right of each."""
+    return f"""{name}(level, tree, pos, size, digest) AS (
+    {first}
+    UNION ALL SELECT level + 1, tree, pos // 16, (size + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM {name}
+    WHERE size > 1 GROUP BY level, tree, pos // 16, size
+), {name}_beside AS (
+    SELECT level, tree, pos, coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {name} WHERE size > 1 WINDOW w AS (PARTITION BY level, tree, pos // 16 ORDER BY pos)
+)"""
+
+
+def _path_sql(name: str, nodes: str, first: str) -> str:
+    """A common table expression that climbs ``nodes`` from ``first`` (row, level, tree, pos, proof, folded)."""
+    return f"""{name}(row, level, tree, pos, proof, folded) AS (
+    {first}
+    UNION ALL SELECT p.row, p.level + 1, p.tree, p.pos // 16, p.proof || b.l || b.r, sha256(b.l || p.folded || b.r)
+    FROM {name} p JOIN {nodes}_beside b USING (level, tree, pos)
+)"""
+
+
+_FIELDS_SQL = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, sha256({_FIELDS_SQL} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN {CRC32_SQL.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS found,
+        lang, n_chars FROM documents
+), e AS (
+    SELECT doc_id, leaf, sha256({_FIELDS_SQL} || coalesce(strlen(found) || ':' || found, '-')) AS checked,
+        dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY source) AS size, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS row FROM d
+), {_node_sql("node", "SELECT CAST(0 AS BIGINT), tree, pos, size, leaf FROM e")},
+sub AS (SELECT tree, digest FROM node WHERE size = 1),
+{_node_sql("top", "SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), tree, count(*) OVER (), digest FROM sub")},
+{_path_sql("low", "node", "SELECT row, CAST(0 AS BIGINT), tree, pos, '', checked FROM e")},
+{_path_sql("high", "top", "SELECT row, CAST(0 AS BIGINT), CAST(0 AS BIGINT), tree, proof, folded FROM (SELECT *, max(level) OVER (PARTITION BY row) AS last FROM low) WHERE level = last")},
+ended AS (SELECT row, proof, folded FROM (SELECT *, max(level) OVER (PARTITION BY row) AS last FROM high) WHERE level = last)
+SELECT e.doc_id, e.leaf, sub.digest AS subroot, root.digest AS root, sha256(ended.proof) AS proof_sha256, ended.folded AS folded_root,
+    ended.folded = root.digest AS verified
+FROM e JOIN sub USING (tree) JOIN ended USING (row) CROSS JOIN (SELECT digest FROM top WHERE size = 1) root
+"""
+
+
 def op12_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     recipes = exact_dedup.as_recipes(docs, exact_dedup.verified_seed(docs))
@@ -172,5 +243,6 @@ QUERIES = {
     "op8_two_tier_bpe": (op8_two_tier_bpe, None),
     "op9_minhash_dedup": (op9_minhash_dedup, None),
     "op10_chat_format": (op10_chat_format, OP10_SQL),
+    "op11_merkle_manifest": (op11_merkle_manifest, OP11_SQL),
     "op12_chunk_recipes": (op12_chunk_recipes, OP12_SQL),
 }
