@@ -12,6 +12,7 @@ from extractkit.llm.common import load, stored
 from extractkit.llm.licenses import scan_licenses
 from extractkit.llm.minhash import near_duplicates
 from extractkit.llm.packing import pack_documents
+from extractkit.llm.prefix_trie import assembled, prefix_trie, with_shared_heads
 from extractkit.llm.token_counts import TokenRollup, deleted, inserted, revised
 from extractkit.llm.topk import quantised, top_k
 from extractkit.session import scratch_path
@@ -231,6 +232,39 @@ g AS (SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_siz
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = stored(assembled(load(spark, folder, "conversations")), "assembled")
+    return prefix_trie(with_shared_heads(conversations))
+
+
+OP13_SQL = f"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+), c AS (SELECT DISTINCT conv_id, {CRC32_SQL.format("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t
+), r AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY part, n) AS n FROM (
+        SELECT c.conv_id, 0 AS part, n, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND n <= h
+        UNION ALL SELECT c.conv_id, 1, n, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND n > h)
+), m AS (
+    SELECT conv_id, n AS depth, length(text) AS chars,
+        sha256(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '' ORDER BY n) OVER (PARTITION BY conv_id ORDER BY n ROWS UNBOUNDED PRECEDING)) AS key
+    FROM r UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), k AS (SELECT *, lag(key) OVER w AS up, lead(key) OVER w IS NULL AS ends FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), node AS (
+    SELECT key, depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+        sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM k GROUP BY key, depth
+), kids AS (SELECT up AS key, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up
+), sums AS (
+    SELECT k.key, count(*) FILTER (WHERE kids.key IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * node.chars) AS BIGINT) AS saved_tokens
+    FROM node JOIN k ON k.conv_id = node.conv_id AND k.depth <= node.depth LEFT JOIN kids ON kids.key = node.key GROUP BY k.key
+)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN sums ON sums.key = node.key LEFT JOIN kids ON kids.key = node.key LEFT JOIN node parent ON parent.key = node.up
+"""
+
 #: name -> (function, SQL or None)
 QUERIES = {
     "op1_token_rollup": (op1_token_rollup, None),
@@ -245,4 +279,5 @@ QUERIES = {
     "op10_chat_format": (op10_chat_format, OP10_SQL),
     "op11_merkle_manifest": (op11_merkle_manifest, OP11_SQL),
     "op12_chunk_recipes": (op12_chunk_recipes, OP12_SQL),
+    "op13_prefix_trie": (op13_prefix_trie, OP13_SQL),
 }
