@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from extractkit.errors import FingerprintError
 from extractkit.operators import checks, filters, paging, profile
 from extractkit.session import scratch_path
 from extractkit.sinks.delimited import csv_options, write_single_csv
@@ -416,6 +418,79 @@ def export_roundtrip(spark, folder):
     )
 
 
+@query("SELECT doc_id, nullif(text, '') AS text, lang, lpad(CAST(n_chars % 1000 AS VARCHAR), 3, '0') AS code, n_chars FROM documents")
+def lib_csv_scan(spark, folder):
+    """Whole texts with quotes, line breaks and empty lines, and numbers with leading zeros, from a CSV file by alias."""
+    docs = load(spark, folder, "documents").withColumn("code", F.lpad((F.col("n_chars") % 1000).cast("string"), 3, "0"))
+    base = scratch_path(spark, "csv-library")
+    write_single_csv(docs.select("doc_id", "text", "lang", "code", "n_chars"), f"{base}/North/Docs Export.csv", "doc_id", chunk_size=200)
+    return library(spark, base).query("SELECT doc_id, text, lang, code, n_chars FROM `Docs Export`")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, round(o_totalprice, 2) AS o_totalprice FROM orders")
+def lib_tsv_scan(spark, folder):
+    """Numbers and times from a TSV file by its safe alias, types inferred."""
+    orders = load(spark, folder, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    base = scratch_path(spark, "tsv-library")
+    write_single_csv(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"), f"{base}/2024 orders.TSV", "o_orderkey", delimiter="\t", chunk_size=2000)
+    return library(spark, base).query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, round(o_totalprice, 2) AS o_totalprice FROM t_2024_orders")
+
+
+@query("SELECT alias, rows FROM (VALUES ('sales_data', 'North/Sales Data'), ('sales_data_2', 'South/sales_data')) t(alias, path), (SELECT count(*) AS rows FROM nation)")
+def lib_aliases(spark, folder):
+    """Two files of one stem: both get safe aliases of their own, and the exact name is each one's path."""
+    nation = load(spark, folder, "nation")
+    base = scratch_path(spark, "alias-library")
+    for path in ("North/Sales Data.csv", "South/sales_data.csv"):
+        write_single_csv(nation, f"{base}/{path}", "n_nationkey", chunk_size=10)
+    lib = library(spark, base)
+    return lib.query("SELECT 'sales_data' AS alias, count(*) AS rows FROM sales_data UNION ALL SELECT 'sales_data_2', count(*) FROM sales_data_2")
+
+
+@query(_ORDER_TOTALS.replace("FROM orders", "FROM orders WHERE o_orderstatus = 'F'"))
+def publish_failure_keeps_old(spark, folder):
+    """A run that fails half way leaves the dataset that was there, and readers see that one."""
+    orders = load(spark, folder, "orders")
+    target = scratch_path(spark, "publish")
+    write_parts(orders.where("o_orderstatus = 'F'"), target, "o_orderkey", chunk_size=2000, all_varchar=False)
+    broken = orders.withColumn("o_orderpriority", F.expr("if(o_orderkey % 1000 = 999, raise_error('unreadable'), o_orderpriority)"))
+    try:
+        write_parts(broken, target, "o_orderkey", chunk_size=2000, all_varchar=False)
+    except PySparkException:
+        return _order_totals(read_parts(spark, target, orders.columns))
+    raise AssertionError("the run should have failed")
+
+
+@query("SELECT CAST((count(*) + 999) // 1000 AS BIGINT) AS parts, CAST(((count(*) + 999) // 1000) // 2 AS BIGINT) AS kept, true AS other_input_refused, true AS overwrite_refused, CAST(count(*) AS BIGINT) AS rows FROM orders")
+def publish_resume(spark, folder):
+    """A run that stopped half way is resumed with its own input only; a finished dataset is not overwritten unasked."""
+    orders = load(spark, folder, "orders")
+    target = scratch_path(spark, "publish")
+    files = Files(spark)
+    write_parts(orders, target, "o_orderkey", chunk_size=1000)
+    whole = read_manifest(spark, target)
+    base, _, name = files.qualified(target).rpartition("/")
+    work = f"{base}/.{name}.extract-work"
+    files.make_folder(work)
+    files.rename(files.qualified(target), f"{work}/parts")  # as if the run had stopped after half of its parts
+    half = whole["files"][: len(whole["files"]) // 2]
+    files.write_json(f"{work}/checkpoint.json", {"status": "failed", "fingerprint": whole["fingerprint"], "plan": whole["plan"], "files": half})
+    refused = []
+    for error, changed in ((FingerprintError, orders.where("o_orderkey <> 7")), (FileExistsError, None)):
+        if changed is None:
+            result = write_parts(orders, target, "o_orderkey", chunk_size=1000)
+        try:
+            write_parts(orders if changed is None else changed, target, "o_orderkey", chunk_size=1000, overwrite=False)
+            refused.append(False)
+        except error:
+            refused.append(True)
+    found = read_parts(spark, target).select(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys")).where("rows = keys")
+    return found.select(
+        F.lit(result.part_count).cast("bigint").alias("parts"), F.lit(result.resumed_parts).cast("bigint").alias("kept"),
+        F.lit(refused[0]).alias("other_input_refused"), F.lit(refused[1]).alias("overwrite_refused"), "rows",
+    )
+
+
 @query(_ORDER_TOTALS)
 def stream_copy(spark, folder):
     orders = load(spark, folder, "orders")

@@ -49,3 +49,7 @@ class ConcurrentCommitError(ToolkitError):
 
 class ResolutionError(ToolkitError):
     """Registry selectors do not resolve to one configuration."""
+
+
+class SourceChangedError(ToolkitError):
+    """A source that is read twice gave different rows."""

@@ -13,7 +13,7 @@ import math
 import re
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -77,10 +77,14 @@ def _whole_number(value, label: str, least: int) -> int:
 # --- pages and caps -------------------------------------------------------------
 
 
-def _content_hashes(columns) -> list[Column]:
-    """What orders tied rows: rows that agree in both are equal, for all practical purposes."""
-    names = [F.col(f"`{name}`") for name in columns]
-    return [F.xxhash64(*names), F.xxhash64(F.lit("second"), *names)]
+def content_hashes(df: DataFrame, columns=None) -> list[Column]:
+    """Two hashes of a row's columns, all of them by default: rows that agree in both are equal, for all practical purposes.
+
+    Maps cannot be hashed; their JSON can.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    values = [F.to_json(F.struct(f"`{n}`")) if "map<" in kinds[n] else F.col(f"`{n}`") for n in (kinds if columns is None else columns)]
+    return [F.xxhash64(*values), F.xxhash64(F.lit("second"), *values)]
 
 
 def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
@@ -94,7 +98,7 @@ def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
     _whole_number(offset, "offset", 0)
     _whole_number(limit, "limit", 1)
     if offset + limit <= SHALLOW_ROWS:
-        return df.orderBy(*sort_columns(order_by), *_content_hashes(df.columns)).offset(offset).limit(limit)
+        return df.orderBy(*sort_columns(order_by), *content_hashes(df)).offset(offset).limit(limit)
     place = F.col("_page_row")
     numbered = number_rows(df, order_by, column="_page_row", break_ties=True)
     return numbered.where((place >= offset) & (place < offset + limit)).orderBy(place).drop(place)
@@ -113,6 +117,22 @@ def count_query(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def digest_terms(df: DataFrame) -> list[Column]:
+    """Aggregates that tell a table's contents whatever the order of its rows: a count and two sums of hashes."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.sum(h.cast("decimal(38,0)")).alias(n) for h, n in zip(content_hashes(df), ("one", "two"))]]
+
+
+def survey(df: DataFrame, order_by, folder: str) -> tuple[dict, DataFrame]:
+    """Count and digest of the source, and its order key alone, from one evaluation.
+
+    The totals are observed while the narrow key is written; whatever else a plan needs is read from there.
+    """
+    seen = Observation()
+    names = list(dict.fromkeys(key.name for key in order_keys(order_by)))
+    df.observe(seen, *digest_terms(df)).select(*[F.col(n) for n in names]).write.mode("overwrite").parquet(folder)
+    return seen.get, df.sparkSession.read.schema(df.select(*names).schema).parquet(folder)
+
+
 # --- chunk plan -----------------------------------------------------------------
 
 
@@ -333,7 +353,7 @@ def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFram
     grouped = (
         df.groupBy("_bucket", *columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumns(dict(zip(("_hash", "_second"), _content_hashes(columns))))
+        .withColumns(dict(zip(("_hash", "_second"), content_hashes(df, columns))))
         # Slots are ranges of the hash, so slot after slot is hash order.
         .withColumn("_slot", F.floor((F.shiftright("_hash", 32) + F.lit(1 << 31)) * F.lit(spread) / F.lit(1 << 32)))
     )
@@ -386,7 +406,7 @@ def number_rows(
     bucketed, start = _bucketed(df, edges)
     sort = [key.sort() for key in keys]
     if break_ties:
-        sort += _content_hashes(df.columns)
+        sort += content_hashes(df)
     even = bucketed if not any(edges.frequent) else bucketed.where(F.col("_bucket") % 2 == 0)
     window = Window.partitionBy("_place").orderBy(*sort)
     numbered = _one_task_each(even, edges).select(*df.columns, (start + F.row_number().over(window) - 1).alias(column))
@@ -399,7 +419,7 @@ def number_rows(
 def chunk_boundaries(df: DataFrame, order_by, plan: ChunkPlan, groups: int) -> tuple[Buckets, int] | None:
     """Exact key of every ``m``-th chunk start, so that buckets hold whole chunks.
 
-    Ranks the order key alone, so the wide rows need only one shuffle afterwards.
+    Ranks the order key alone (``df`` may hold nothing else), so the wide rows need only one shuffle afterwards.
     Returns the buckets and the chunks per bucket, or None when the key is not
     unique (chunk starts would then fall inside a tie).
     """
@@ -447,21 +467,26 @@ def require_unique_order(df: DataFrame, order_by) -> None:
 
 
 class ChunkLayout:
-    """Where the rows of a chunk plan belong; worked out once, used per wave.
+    """Where the rows of a chunk plan belong; worked out once, used for any of its chunks.
 
     Unique key: exact chunk-aligned boundaries, so wide rows are shuffled once.
-    Otherwise the rows are numbered first and then moved to their chunk.
+    Otherwise the rows are numbered first and then moved to their chunk.  ``key_rows``, if given,
+    holds the order key of all rows, which saves evaluations of ``df``; for the same reason rows that have to be
+    numbered are first put ``aside``, a folder.
     """
 
-    def __init__(self, df: DataFrame, order_by, plan: ChunkPlan):
+    def __init__(self, df: DataFrame, order_by, plan: ChunkPlan, key_rows: DataFrame | None = None, aside: str | None = None):
         self.df, self.plan = df, plan
         self.keys = order_keys(order_by)
         self.parallelism = df.sparkSession.sparkContext.defaultParallelism
         self.groups = bucket_count(plan.planned_rows, self.parallelism)
         self.exact = self.numbered = None
         if plan.total_chunks:
-            self.exact = chunk_boundaries(df, self.keys, plan, self.groups)
+            self.exact = chunk_boundaries(df if key_rows is None else key_rows, self.keys, plan, self.groups)
         if plan.total_chunks and self.exact is None:
+            if aside is not None:
+                df.write.mode("overwrite").parquet(aside)
+                df = df.sparkSession.read.schema(df.schema).parquet(aside)
             numbered = number_rows(df, self.keys, column="_row_no", total_rows=plan.total_rows, break_ties=True)
             self.numbered = with_chunks(numbered, plan, "_row_no")
 

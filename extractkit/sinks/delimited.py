@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import all_string
-from ..operators.paging import into_chunks, plan_chunks
+from ..operators.paging import ChunkLayout, plan_chunks, survey
 from ..session import scratch_path
 from .filesystem import Files
 
@@ -97,6 +97,8 @@ def join_files(spark: SparkSession, pieces: list[tuple[str, int]], target: str,
         return
     scheme = files.scheme(target)
     if scheme == "file":
+        if not spark.sparkContext.master.startswith("local") and not files.on_shared_mount(target):
+            raise NotImplementedError("A machine-local path is not seen by all executors; name a shared one in extractkit.sharedMounts.")
         offsets, at = [], len(head)
         for path, size in pieces:
             offsets.append((_local(path), at))
@@ -161,12 +163,15 @@ def write_single_csv(
         plan = None
         (all_string(rows) if all_varchar else rows).write.options(**options).csv(pieces_path)
     else:
+        aside = scratch_path(spark, "single-file-rows")
+        totals, keys = survey(df, order_by, f"{aside}/keys")
         plan = plan_chunks(
-            df.count(), chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
+            totals["rows"], chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
         )
-        chunks = into_chunks(df, order_by, plan)
+        chunks = ChunkLayout(df, order_by, plan, keys, aside=f"{aside}/rows").rows()
         body = with_chunk_column(chunks, df.columns, all_varchar)
         body.write.options(**options).partitionBy("chunk_id").csv(pieces_path)
+        files.delete(aside)
     pieces = files.walk(pieces_path)
     pieces.sort(key=lambda p: (chunk_of(p[0]), p[0]))
     head = BOM if encoding.lower() == "utf-8-sig" else b""
@@ -177,9 +182,7 @@ def write_single_csv(
     files.make_folder(folder)
     try:
         join_files(spark, [(f"{pieces_path}/{path}", size) for path, size in pieces], temporary, head)
-        if files.exists(target):
-            files.delete(target)
-        files.rename(temporary, target)
+        files.replace(temporary, target)
     finally:
         if files.exists(temporary):
             files.delete(temporary)

@@ -36,6 +36,16 @@ class Files:
     def is_folder(self, path: str) -> bool:
         return self.exists(path) and self.system(path).getFileStatus(self._path(path)).isDirectory()
 
+    def on_shared_mount(self, path: str) -> bool:
+        """Is a ``file:`` path below a mount that all machines share?
+
+        Those are named, with commas between, by ``extractkit.sharedMounts``; the scratch folder is shared by contract.
+        """
+        named = self.spark.conf.get("extractkit.sharedMounts", "").split(",")
+        named += [self.spark.conf.get("spark.checkpoint.dir", "") or "", self.spark.sparkContext.getCheckpointDir() or ""]
+        place = self.qualified(path)
+        return any(place.startswith(self.qualified(mount.strip()).rstrip("/") + "/") for mount in named if mount.strip())
+
     def make_folder(self, path: str) -> None:
         self.system(path).mkdirs(self._path(path))
 
@@ -62,6 +72,14 @@ class Files:
         if not self.system(source).rename(self._path(source), self._path(target)):
             raise OSError(f"Cannot rename {source} to {target}")
 
+    def replace(self, source: str, target: str) -> None:
+        """Rename a file over another, which readers see either whole or not at all."""
+        option = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(option, 1)
+        options[0] = option.OVERWRITE
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(target).toUri(), self._conf)
+        context.rename(self._path(source), self._path(target), options)
+
     def delete(self, path: str) -> None:
         self.system(path).delete(self._path(path), True)
 
@@ -81,10 +99,11 @@ class Files:
             stream.write(bytearray((json.dumps(value, indent=1) + "\n").encode("utf-8")))
         finally:
             stream.close()
+        if overwrite:
+            self.replace(temporary, path)
+            return True
         if self.exists(path):
-            if not overwrite:
-                self.delete(temporary)
-                return False
-            self.delete(path)
+            self.delete(temporary)
+            return False
         self.rename(temporary, path)
         return True

@@ -7,18 +7,17 @@ import time
 from dataclasses import asdict, dataclass
 
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import FingerprintError, RowCountError
+from ..errors import FingerprintError, RowCountError, SourceChangedError
 from ..operators.checks import remaining
-from ..operators.paging import ChunkLayout, ChunkPlan, chunk_table, order_keys, plan_chunks
+from ..operators.paging import ChunkLayout, ChunkPlan, chunk_table, digest_terms, order_keys, plan_chunks, survey
 from .delimited import chunk_of, csv_options, with_chunk_column
 from .filesystem import Files
 
 FORMATS = ("parquet", "csv")
 MANIFEST = "manifest.json"
-CHUNKS_PER_WAVE = 4_096
 PART_SCHEMA = (
     "part string, chunk_id bigint, rows bigint, row_offset bigint, row_limit bigint, "
     "bytes bigint, sha256 string"
@@ -42,15 +41,6 @@ class PartsResult:
         return asdict(self)
 
 
-def content_digest(df: DataFrame) -> tuple[int, str]:
-    """Rows, and a digest of schema and contents that does not depend on their order, in one scan."""
-    # Maps cannot be hashed; their JSON can.
-    values = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
-    one, two = F.xxhash64(*values), F.xxhash64(F.lit("second"), *values)
-    total = df.agg(F.count(F.lit(1)), F.sum(one.cast("decimal(38,0)")), F.sum(two.cast("decimal(38,0)"))).first()
-    return total[0], f"{df.schema.json()} {total[1]} {total[2]}"
-
-
 def fingerprint(query: str, contents: str, order_by, plan: ChunkPlan, **options) -> str:
     """What a resumed run must share with the run that left the work folder: input, order, plan and writer options."""
     terms = [(key.name, key.descending) for key in order_keys(order_by)]
@@ -100,7 +90,10 @@ def part_rows(spark: SparkSession, folder: str | list[str], output_format: str,
 
 
 def part_columns(spark: SparkSession, folder: str, delimiter: str = ",") -> DataFrame:
-    """``part, columns array<string>`` taken from each file itself."""
+    """``part, columns array<string>`` taken from each file itself.
+
+    Only a Parquet file's footer or a text file's first line goes to Python.
+    """
 
     def names(batches):
         import csv
@@ -108,18 +101,22 @@ def part_columns(spark: SparkSession, folder: str, delimiter: str = ",") -> Data
 
         for batch in batches:
             out = []
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, head in zip(batch["path"], batch["head"]):
                 if path.endswith(".parquet"):
-                    out.append(pq.read_schema(io.BytesIO(content)).names)
+                    out.append(pq.read_schema(io.BytesIO(b"PAR1" + head)).names)
                 else:
-                    line = content.split(b"\n", 1)[0].decode("utf-8-sig")
-                    out.append(next(csv.reader([line], delimiter=delimiter)))
+                    out.append(next(csv.reader([head.decode("utf-8-sig")], delimiter=delimiter)))
             yield batch[["path"]].assign(columns=out)
 
+    content = F.col("content")
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    # The four bytes before the closing mark hold the footer's length, lowest byte first.
+    size = F.conv(F.hex(F.reverse(F.substring(content, -8, 4))), 16, 10).cast("int")
+    footer = F.substring(content, -(size + 8), size + 8)
+    line = F.substring_index(content.cast("string"), "\n", 1).cast("binary")
     return (
         found.option("pathGlobFilter", "part-*").load(folder)
-        .select(F.url_decode("path").alias("path"), "content")
+        .select(F.url_decode("path").alias("path"), F.when(F.col("path").endswith(".parquet"), footer).otherwise(line).alias("head"))
         .mapInPandas(names, "path string, columns array<string>")
         .select(F.col("path").alias("part"), "columns")
     )
@@ -132,7 +129,10 @@ def manifest_parts(spark: SparkSession, manifest: dict) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, folder: str) -> dict:
-    return Files(spark).read_json(f"{folder.rstrip('/')}/{MANIFEST}")
+    files = Files(spark)
+    target = files.qualified(folder).rstrip("/")
+    restore(files, target)
+    return files.read_json(f"{target}/{MANIFEST}")
 
 
 def write_dataset_manifest(
@@ -224,14 +224,16 @@ def write_parts(
     all_varchar: bool = True,
     overwrite: bool = True,
     resume: bool = True,
-    chunks_per_wave: int = CHUNKS_PER_WAVE,
+    chunks_per_wave: int | None = None,
 ) -> PartsResult:
     """Publish an ordered result as one file per chunk with a manifest.
 
-    Chunks are written in waves, each an all-or-nothing job whose parts are hashed
-    and recorded before the next begins.  A later run with the same fingerprint
-    keeps the parts that still verify and writes the others.  The old destination
-    stays in place until everything has been counted and checked.
+    The source is evaluated twice: once for its count, digest and order key, once for the rows,
+    which are shuffled to their chunks and written by one job.  What the second evaluation gives is
+    observed as it is written and must be what the first one saw.  A later run with the same fingerprint keeps the parts that still
+    verify and writes the others.  ``chunks_per_wave`` makes what is finished safe more
+    often: rows are then put aside in their chunks first, and each wave of parts is hashed and recorded
+    before the next begins.  The old destination stays in place until everything has been counted and checked.
     """
     spark = df.sparkSession
     started = time.perf_counter()
@@ -239,28 +241,29 @@ def write_parts(
     if output_format not in FORMATS:
         raise ValueError("output_format must be 'csv' or 'parquet'.")
     target = files.qualified(output_directory).rstrip("/")
+    restore(files, target)
     if files.exists(target) and not overwrite:
         raise FileExistsError(f"Destination already exists: {output_directory}")
     text = {"delimiter": delimiter, "include_header": include_header}
     columns = df.columns
-    rows, contents = content_digest(df)
-    plan = plan_chunks(
-        rows, chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
-    )
     folder, _, name = target.rpartition("/")
     work = f"{folder}/.{name}.extract-work"
     parts, checkpoint = f"{work}/parts", f"{work}/checkpoint.json"
+    if files.exists(work) and not (resume and files.exists(checkpoint)):
+        files.delete(work)  # parts that no checkpoint knows cannot be told from whole ones
+    totals, keys = survey(df, order_by, f"{work}/keys")
+    plan = plan_chunks(
+        totals["rows"], chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
+    )
+    contents = f"{df.schema.json()} {totals['one']} {totals['two']}"
     mark = fingerprint(query, contents, order_by, plan, format=output_format, encoding=encoding, all_varchar=all_varchar, **text)
 
     done: list[dict] = []
     if files.exists(checkpoint):
         state = files.read_json(checkpoint)
-        if not resume:
-            files.delete(work)
-        elif state["fingerprint"] != mark:
+        if state["fingerprint"] != mark:
             raise FingerprintError("The work folder belongs to another query or plan.")
-        else:
-            done = _verified(spark, files, parts, state)
+        done = _verified(spark, files, parts, state)
     files.make_folder(parts)
     resumed = len(done)
 
@@ -271,10 +274,7 @@ def write_parts(
     try:
         recorded = manifest_parts(spark, {"files": done})
         todo = sorted(row["chunk_id"] for row in remaining(chunk_table(spark, plan), recorded).select("chunk_id").collect())
-        layout = ChunkLayout(df, order_by, plan) if todo else None
-        for start in range(0, len(todo), chunks_per_wave):
-            wave = set(todo[start : start + chunks_per_wave])
-            chunks = layout.rows(None if len(wave) == plan.total_chunks else wave)
+        for wave, chunks in _waves(df, order_by, plan, keys, todo, chunks_per_wave, totals, work):
             _write(with_chunk_column(chunks, columns, all_varchar), parts, output_format, text, encoding)
             done.extend(_describe(spark, parts, wave, plan, output_format, columns, text))
             save("running")
@@ -306,6 +306,32 @@ def write_parts(
     )
 
 
+def _waves(df, order_by, plan: ChunkPlan, keys: DataFrame, todo: list[int], size: int | None, totals: dict, work: str):
+    """``(chunks, their rows)`` of each job; whoever takes them writes the rows before asking for more."""
+    if not todo:
+        return
+    spark, wanted = df.sparkSession, set(todo)
+    only = None if len(todo) == plan.total_chunks else wanted
+    layout = ChunkLayout(df, order_by, plan, keys, aside=f"{work}/rows")
+    seen = Observation()
+    rows = layout.rows(only)
+    rows = rows.observe(seen, *digest_terms(rows.select(*df.columns)))
+    if size is None or size >= len(todo):
+        yield wanted, rows
+    else:
+        rows.write.mode("overwrite").partitionBy("chunk_id").parquet(f"{work}/chunks")
+        staged = spark.read.schema(rows.schema).parquet(f"{work}/chunks")
+        for start in range(0, len(todo), size):
+            wave = todo[start : start + size]
+            tasks = min(len(wave), 4 * spark.sparkContext.defaultParallelism)
+            yield set(wave), staged.where(F.col("chunk_id").isin(wave)).repartition(tasks, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
+    again = seen.get
+    expected = sum(min(plan.chunk_size, plan.planned_rows - c * plan.chunk_size) for c in todo)
+    whole = only is None and plan.planned_rows == plan.total_rows
+    if again["rows"] != expected or (whole and again != totals):
+        raise SourceChangedError("The source gave other rows when it was read again; write it to a table first.")
+
+
 def _write(body: DataFrame, parts: str, output_format: str, text: dict, encoding: str) -> None:
     writer = body.write.mode("append").partitionBy("chunk_id")
     if output_format == "parquet":
@@ -337,12 +363,16 @@ def _check_counts(done: list[dict], plan: ChunkPlan) -> None:
 
 
 def swap_in(files: Files, source: str, target: str) -> None:
-    """Put a finished folder in the place of the old one by renames alone."""
+    """Put a finished folder in the place of the old one by renames alone.
+
+    A folder cannot be renamed over another, so for a moment the old one stands aside;
+    :func:`restore` puts it back if the process dies just then.
+    """
+    restore(files, target)
     folder, _, name = target.rpartition("/")
     old = f"{folder}/.{name}.old"
+    files.make_folder(folder)
     if files.exists(target):
-        if files.exists(old):
-            files.delete(old)
         files.rename(target, old)
         try:
             files.rename(source, target)
@@ -351,5 +381,15 @@ def swap_in(files: Files, source: str, target: str) -> None:
             raise
         files.delete(old)
     else:
-        files.make_folder(folder)
         files.rename(source, target)
+
+
+def restore(files: Files, target: str) -> None:
+    """Undo a swap that was cut off: the old folder comes back if nothing has taken its place."""
+    folder, _, name = target.rpartition("/")
+    old = f"{folder}/.{name}.old"
+    if files.exists(old):
+        if files.exists(target):
+            files.delete(old)
+        else:
+            files.rename(old, target)

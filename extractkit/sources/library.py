@@ -168,7 +168,7 @@ class DataLibrary:
             safe, exact = aliases[path]
             row, error = found[path], None
             try:
-                df = self._scan(safe, row["absolute_path"], row["file_type"], row["size_bytes"])
+                df = self._scan(safe, row["absolute_path"], row["file_type"])
                 self._register(safe, df)
                 if exact.lower() != safe:
                     if exact.lower() in reserved:
@@ -186,11 +186,11 @@ class DataLibrary:
         self.list_files().createOrReplaceTempView(LISTING)
         return self.list_files()
 
-    def _scan(self, alias: str, path: str, kind: str, size: int) -> DataFrame:
+    def _scan(self, alias: str, path: str, kind: str) -> DataFrame:
         if kind == "parquet":
             return self.spark.read.parquet(path)
         delimiter = "\t" if kind == "tsv" else ","
-        return read_delimited(self.spark, path, delimiter, self.schemas.get(alias), size)
+        return read_delimited(self.spark, path, delimiter, self.schemas.get(alias))
 
     def _register(self, name: str, df: DataFrame) -> None:
         df.createOrReplaceTempView(_quoted(name))

@@ -1,9 +1,12 @@
+import csv
+import io
+import random
 import pytest
 from pyspark.sql import functions as F
 
 from extractkit.errors import FileFormatError, NameConflictError, ReadOnlyError, StatementError
 from extractkit.functions.naming import safe_alias, safe_name
-from extractkit.sources.delimited import SMALL_FILE_BYTES, infer_types, read_delimited, reader_options
+from extractkit.sources.delimited import infer_types, line_end, quote_blocks, read_checked, read_delimited, records, text_columns
 from extractkit.sources.library import assign_aliases, open_data_library
 from extractkit.sources.statements import bind
 
@@ -148,14 +151,83 @@ def test_types_of_delimited_files(spark, tmp_path):
     assert infer_types(spark.createDataFrame([("99999999999999999999",)], "v string")) == {"v": "double"}
 
 
-def test_large_files_stay_splittable(spark, tmp_path):
-    (tmp_path / "plain.csv").write_text('a,b\n1,"x ""y"""\n')
-    (tmp_path / "broken.csv").write_text('a,b\n1,"x\ny"\n')
-    large = 2 * SMALL_FILE_BYTES
-    assert reader_options(spark, str(tmp_path / "plain.csv"), ",", large)["multiLine"] == "false"
-    assert reader_options(spark, str(tmp_path / "broken.csv"), ",", large)["multiLine"] == "true"
-    assert read_delimited(spark, str(tmp_path / "broken.csv"), size=large).first().b == "x\ny"
-    assert read_delimited(spark, str(tmp_path / "plain.csv"), size=large).first().b == 'x "y"'
+@pytest.fixture
+def tiny_blocks(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "100b", "spark.sql.files.openCostInBytes": "1b"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def python_rows(text, delimiter):
+    return [r for r in csv.reader(io.StringIO(text, newline=""), delimiter=delimiter) if r]
+
+
+@pytest.mark.parametrize("delimiter", [",", "\t"])
+def test_records_over_blocks(spark, tmp_path, tiny_blocks, delimiter):
+    rng = random.Random(ord(delimiter))
+    values = ["007", "x", "", 'a "quoted" word', "two\nlines", "\n\n", f"a{delimiter}b", 'ends with "', '"', "é" * 20, "long\n" * 60, " "]
+    rows = [[str(i), rng.choice(values), rng.choice(values), "end"] for i in range(70)]
+    text = io.StringIO(newline="")
+    csv.writer(text, delimiter=delimiter, lineterminator="\n").writerows([["id", "a\nb", "c", "d"], *rows])
+    path = tmp_path / "in.csv"
+    path.write_text(text.getvalue(), newline="")
+    assert len(next(iter(quote_blocks(spark, str(path), delimiter).values()))) > 30
+    got = text_columns(spark, str(path), delimiter)
+    assert got.columns == ["id", "a\nb", "c", "d"] and got.rdd.getNumPartitions() > 10
+    assert sorted(map(list, got.fillna("").collect()), key=lambda r: int(r[0])) == rows
+    bare = records(spark, str(path), delimiter, header=False)
+    found = [next(csv.reader(io.StringIO(r.record, newline=""), delimiter=delimiter)) for r in bare.collect()]
+    assert sorted(found) == sorted([["id", "a\nb", "c", "d"], *rows])
+
+
+def test_quotes_inside_plain_fields_and_files_that_end_inside_quotes(spark, tmp_path, tiny_blocks):
+    text = 'a,b\r\n5" pipe,"x\ny"\r\n\r\n7" pipe,"it ""is"" so\n' + "more\n" * 40 + '"\r\nlast,"no end\nhere'
+    path = tmp_path / "in.csv"
+    path.write_text(text, newline="")
+    assert [r.record.split(",")[0] for r in records(spark, str(path)).collect()].count("last") == 1
+    got = {r.a: r.b for r in read_delimited(spark, str(path)).collect()}
+    assert got['5" pipe'] == "x\ny" and got['7" pipe'] == 'it "is" so\n' + "more\n" * 40 and len(got) == 3
+
+
+def test_the_state_behind_a_line():
+    for line, outside, inside in [
+        ("a,b", False, True), ('"a', True, False), ('a,"b', True, False), ('a"b', False, False), ('""', False, True), ('"a""b', True, False), ('"', True, False),
+        ('x","y', True, True), ('"a"b,"', True, False), ("", False, True), ('a,""', False, True), ('"""', True, False),
+    ]:
+        by_csv = []
+        for before in ("", '"'):
+            closed = list(csv.reader(io.StringIO(before + line + "\nZ\n", newline="")))
+            by_csv.append(len(closed) < 2)
+        assert line_end(line, False, ",") == by_csv[0] == outside, line
+        assert line_end(line, True, ",") == by_csv[1], line
+
+
+def test_a_changed_block_size_is_noticed(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("a,b\n" + '1,"x\ny"\n' * 200)
+    frame = text_columns(spark, str(path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        with pytest.raises(Exception, match="size of its blocks"):
+            frame.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_plain_and_broken_lines_give_the_same_types(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('a,b\n1,"x ""y"""\n007,\n')
+    (tmp_path / "broken.csv").write_text('a,b\n1,"x\ny"\n007,\n')
+    (tmp_path / "typed.csv").write_text('a,b\n1,"x\ny"\nx,z\n')
+    plain, broken = (read_delimited(spark, str(tmp_path / f"{n}.csv")) for n in ("plain", "broken"))
+    assert plain.schema == broken.schema and [tuple(r) for r in plain.collect()] == [("1", 'x "y"'), ("007", None)]
+    assert [tuple(r) for r in broken.collect()] == [("1", "x\ny"), ("007", None)]
+    assert {tuple(r) for r in read_delimited(spark, str(tmp_path / "typed.csv"), schema="n int, s string").collect()} == {(1, "x\ny"), (None, "z")}
+    assert {(r.n, r._malformed) for r in read_checked(spark, str(tmp_path / "typed.csv"), "n int, s string").collect()} == {(1, False), (None, True)}
 
 
 def test_parameters():

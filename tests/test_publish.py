@@ -3,8 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from extractkit.errors import FingerprintError, NameConflictError, RowCountError
-from extractkit.operators import checks
+from extractkit.errors import FingerprintError, NameConflictError, RowCountError, SourceChangedError
+from extractkit.operators import checks, paging
 from extractkit.operators.paging import plan_chunks
 from extractkit.plans.copy import copy_query
 from extractkit.sinks import parts
@@ -75,6 +75,61 @@ def test_resume_keeps_verified_parts(spark, tmp_path, monkeypatch):
     assert read_parts(spark, out).select("id").distinct().count() == 40
 
 
+def counted(spark, df):
+    """``df`` and a counter of the rows that evaluations of it give."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), reads
+
+
+@pytest.mark.parametrize("waves", [None, 2])
+@pytest.mark.parametrize("key", ["id", "id % 7"])
+def test_the_source_is_evaluated_twice(spark, tmp_path, key, waves):
+    rows = spark.range(600).select(F.expr(key).alias("k"), F.col("id").alias("v"))
+    source, reads = counted(spark, rows)
+    out = str(tmp_path / "out")
+    assert write_parts(source, out, "k", chunk_size=50, chunks_per_wave=waves).part_count == 12
+    assert reads.value <= 2 * 600
+    assert status(spark, out) == {"ok": 12} and read_parts(spark, out).select("v").distinct().count() == 600
+
+
+def test_a_source_that_changes_is_not_published(spark, tmp_path):
+    changing = spark.range(100).select("id", F.expr("uuid()").alias("v"))
+    other = changing.withColumn("v", F.udf(lambda: __import__("uuid").uuid4().hex).asNondeterministic()())
+    with pytest.raises(SourceChangedError):
+        write_parts(other, str(tmp_path / "out"), "id", chunk_size=10)
+    assert not (tmp_path / "out").exists()
+
+
+def test_parts_without_a_checkpoint_are_cleared(spark, tmp_path):
+    out, work = str(tmp_path / "out"), tmp_path / ".out.extract-work"
+    (work / "parts" / "chunk_id=0").mkdir(parents=True)
+    (work / "parts" / "chunk_id=0" / "part-left.parquet").write_bytes(b"left over")
+    assert write_parts(spark.range(10).select("id"), out, "id", chunk_size=5).part_count == 2
+    assert status(spark, out) == {"ok": 2}
+
+
+def test_a_swap_that_was_cut_off_is_undone(spark, tmp_path):
+    out = tmp_path / "out"
+    write_parts(spark.range(10).select("id"), str(out), "id", chunk_size=5)
+    out.rename(tmp_path / ".out.old")  # the process died between the two renames
+    assert status(spark, str(out)) == {"ok": 2} and not (tmp_path / ".out.old").exists()
+    (tmp_path / ".out.old").mkdir()  # it died before the old folder was deleted
+    assert write_parts(spark.range(20).select("id"), str(out), "id", chunk_size=5).part_count == 4
+    assert not (tmp_path / ".out.old").exists() and status(spark, str(out)) == {"ok": 4}
+
+
+def test_map_columns(spark, tmp_path):
+    rows = spark.range(10).select("id", F.create_map(F.lit("a"), "id").alias("m"))
+    assert write_parts(rows, str(tmp_path / "out"), "id", chunk_size=4, all_varchar=False).rows == 10
+    assert paging.page(rows, "id", 3, 2).count() == 2
+
+
 def test_resume_off_starts_again(spark, tmp_path, monkeypatch):
     df = spark.range(10).select("id")
     monkeypatch.setattr(parts, "_check_counts", lambda *a: (_ for _ in ()).throw(RowCountError("short")))
