@@ -168,7 +168,8 @@ def page_through_ties(spark, folder):
     """All pages of an order with few distinct values hold every order once."""
     orders = load(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     size = max(1, orders.count() // 4)
-    pages = [paging.page(orders, "o_orderstatus", start, size) for start in range(0, 5 * size, size)]
+    # The first two pages are top-k queries, the later ones are cut out of numbered rows.
+    pages = [paging.page(orders, "o_orderstatus", start, size, shallow=2 * size) for start in range(0, 5 * size, size)]
     return reduce(DataFrame.unionByName, pages).agg(F.count("*").alias("rows"), F.countDistinct("o_orderkey").alias("orders"))
 
 
@@ -178,6 +179,24 @@ def top_orders(spark, folder):
     return paging.row_cap(rows, 100, "o_totalprice desc, o_orderkey")
 
 
+@query("SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n <= (SELECT count(*) FROM orders) * 2 // 3")
+def top_orders_deep(spark, folder):
+    """Two thirds of all rows, the first by price: cut at a boundary range, without one task for all of them."""
+    rows = load(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return paging.row_cap(rows, rows.count() * 2 // 3, "o_totalprice desc, o_orderkey", shallow=1000)
+
+
+@query("SELECT status, least(n, 1) * (SELECT count(*) FROM orders) // 2 AS rows, true AS all_known FROM (SELECT 'capped' AS status, count(*) AS n FROM orders)")
+def cap_orders(spark, folder):
+    """Half of all rows, any of them, without an order: exactly so many, and none that is not there."""
+    rows = load(spark, folder, "orders").select("o_orderstatus", "o_orderpriority")
+    capped = paging.row_cap(rows, rows.count() // 2, shallow=1000)
+    counts = capped.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("got"))
+    there = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("had"))
+    known = counts.join(there, rows.columns, "left")
+    return known.agg(F.sum("got").alias("rows"), F.bool_and(F.col("got") <= F.coalesce("had", F.lit(0))).alias("all_known")).select(F.lit("capped").alias("status"), "rows", "all_known")
+
+
 @query(
     """
     SELECT i AS chunk_id, i * 1000 + 500 AS row_offset, least(1000, n - i * 1000) AS row_limit

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..errors import RowCountError, SchemaMismatchError
+from ..session import stored
 from .filters import require_columns
 
 
@@ -52,6 +53,33 @@ def _empty_key(df: DataFrame, keys: list[str]) -> Column:
     return empty
 
 
+_SUMS = ("rows", "empty_keys", "malformed_rows", "adjacent_duplicates", "order_violations", "chunks")
+#: Neighbouring segments that one task puts together.
+SEGMENTS_AT_ONCE = 1_024
+
+
+def _merged(segments: DataFrame) -> DataFrame:
+    """Neighbouring segments put together: sums, and what their seams add, with the outer first and last key.
+
+    Associative, so it can be done in any number of steps as long as the order is kept.
+    """
+    place = F.expr(f"_segment DIV {SEGMENTS_AT_ONCE}")
+    runs = segments.groupBy(place.alias("_segment")).agg(
+        *[F.sum(name).alias(name) for name in _SUMS],
+        F.array_sort(F.collect_list(F.struct("_segment", "first_key", "last_key"))).alias("_run"),
+    )
+    pairs = F.zip_with(F.slice("_run", F.lit(1), F.size("_run") - 1), F.slice("_run", F.lit(2), F.size("_run")), lambda a, b: F.struct(a["last_key"].alias("a"), b["first_key"].alias("b")))
+    count = lambda test: F.size(F.filter("_pairs", test))
+    return runs.withColumn("_pairs", pairs).select(
+        "_segment",
+        *[F.col(name) for name in _SUMS if name not in ("adjacent_duplicates", "order_violations")],
+        (F.col("adjacent_duplicates") + count(lambda p: p["a"] == p["b"])).alias("adjacent_duplicates"),
+        (F.col("order_violations") + count(lambda p: p["a"] > p["b"])).alias("order_violations"),
+        F.get("_run", F.lit(0))["first_key"].alias("first_key"),
+        F.element_at("_run", -1)["last_key"].alias("last_key"),
+    )
+
+
 def validate_extract(
     df: DataFrame,
     keys,
@@ -62,17 +90,18 @@ def validate_extract(
 ) -> DataFrame:
     """One row of counts about a chunked extract.
 
-    Order is checked inside each chunk by the previous row, and between chunks by
-    their first and last rows only, so no task sees more than one chunk.
+    ``df`` is evaluated once: its keys and places are put aside.  A chunk is summed up in one task
+    by comparing each row with the one before, and sums of neighbouring chunks are put together by their
+    first and last keys, some at a time, so no task sees more than one chunk or a run of chunk sums.
     """
     names = require_columns(df, keys)
+    bad = malformed if malformed is not None else F.lit(False)
+    rows = stored(df.select(*dict.fromkeys([*names, chunk_column, row_column]), bad.alias("_bad")), "validate")
     key = F.struct(*[F.struct(F.col(n).isNull().alias("n"), F.col(n).alias("v")).alias(n) for n in names])
-    rows = df.withColumn("_key", key).withColumn("_empty", _empty_key(df, names))
-    rows = rows.withColumn("_bad", malformed if malformed is not None else F.lit(False))
+    marked = rows.withColumn("_key", key).withColumn("_empty", _empty_key(rows, names))
     window = Window.partitionBy(chunk_column).orderBy(row_column)
-    rows = rows.withColumn("_previous", F.lag("_key").over(window))
-
-    per_chunk = rows.groupBy(chunk_column).agg(
+    marked = marked.withColumn("_previous", F.lag("_key").over(window))
+    segments = marked.groupBy(F.col(chunk_column).alias("_segment")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if("_empty").alias("empty_keys"),
         F.count_if("_bad").alias("malformed_rows"),
@@ -80,27 +109,11 @@ def validate_extract(
         F.count_if(F.col("_previous") > F.col("_key")).alias("order_violations"),
         F.min_by("_key", row_column).alias("first_key"),
         F.max_by("_key", row_column).alias("last_key"),
+        F.lit(1).cast("bigint").alias("chunks"),
     )
-    before = per_chunk.select(
-        (F.col(chunk_column) + 1).alias(chunk_column), F.col("last_key").alias("key_before")
-    )
-    seams = (
-        per_chunk.join(before, chunk_column, "left")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.count(F.lit(1)).alias("chunks"),
-            F.sum("empty_keys").alias("empty_keys"),
-            F.sum("malformed_rows").alias("malformed_rows"),
-            (F.sum("adjacent_duplicates") + F.count_if(F.col("key_before") == F.col("first_key"))).alias(
-                "adjacent_duplicates"
-            ),
-            (F.sum("order_violations") + F.count_if(F.col("key_before") > F.col("first_key"))).alias(
-                "order_violations"
-            ),
-        )
-    )
+    whole = _merged(_merged(_merged(segments)))  # one row for up to 2 ** 30 chunks
     repeated = (
-        df.groupBy(*names)
+        rows.groupBy(*names)
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .agg(
@@ -108,8 +121,9 @@ def validate_extract(
             F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("surplus_rows"),
         )
     )
+    total = whole.select("rows", "chunks", "empty_keys", "malformed_rows", "adjacent_duplicates", "order_violations")
     # Two aggregate rows become one.
-    both = seams.unionByName(repeated, allowMissingColumns=True)
+    both = total.unionByName(repeated, allowMissingColumns=True)
     return both.agg(*[F.max(name).alias(name) for name in both.columns])
 
 
@@ -148,6 +162,7 @@ def compare_part_schemas(columns: DataFrame, part_column: str = "part") -> DataF
 
     ``columns`` holds one row per part with ``columns array<string>``.
     """
+    columns = stored(columns, "part-columns")  # the files are looked at once
     expected = columns.agg(F.min_by("columns", part_column)).scalar()
     return columns.withColumn("_expected", expected).select(
         part_column,

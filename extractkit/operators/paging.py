@@ -87,7 +87,7 @@ def content_hashes(df: DataFrame, columns=None) -> list[Column]:
     return [F.xxhash64(*values), F.xxhash64(F.lit("second"), *values)]
 
 
-def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
+def page(df: DataFrame, order_by, offset: int, limit: int, *, shallow: int | None = None) -> DataFrame:
     """Rows ``[offset, offset + limit)``.
 
     Tied rows follow a content hash, so pages of one order neither lose nor repeat
@@ -97,19 +97,71 @@ def page(df: DataFrame, order_by, offset: int, limit: int) -> DataFrame:
     """
     _whole_number(offset, "offset", 0)
     _whole_number(limit, "limit", 1)
-    if offset + limit <= SHALLOW_ROWS:
+    if offset + limit <= (SHALLOW_ROWS if shallow is None else shallow):
         return df.orderBy(*sort_columns(order_by), *content_hashes(df)).offset(offset).limit(limit)
     place = F.col("_page_row")
     numbered = number_rows(df, order_by, column="_page_row", break_ties=True)
     return numbered.where((place >= offset) & (place < offset + limit)).orderBy(place).drop(place)
 
 
-def row_cap(df: DataFrame, max_rows: int, order_by=None) -> DataFrame:
-    """At most ``max_rows`` rows; the first ones when an order is given."""
+def row_cap(df: DataFrame, max_rows: int, order_by=None, *, shallow: int | None = None) -> DataFrame:
+    """At most ``max_rows`` rows; the first ones, in order, when an order is given.
+
+    A top-k or a limit gathers its rows in one task, so it serves up to ``shallow`` rows only
+    (:data:`SHALLOW_ROWS`).  Beyond, rows are counted by ranges of the order key, or of a content hash
+    without one; ranges before the cut stay whole where they are, and only the range that holds
+    the cut is numbered.
+    """
     _whole_number(max_rows, "max_rows", 1)
-    if order_by is not None:
-        df = df.orderBy(*sort_columns(order_by))
-    return df.limit(max_rows)
+    if max_rows <= (SHALLOW_ROWS if shallow is None else shallow):
+        return (df if order_by is None else df.orderBy(*sort_columns(order_by))).limit(max_rows)
+    return _cut_by_hash(df, max_rows) if order_by is None else _cut_by_key(df, max_rows, order_by)
+
+
+def _boundary(counts: list[tuple[int, int]], max_rows: int) -> tuple[int, int] | None:
+    """The range that holds the cut and the rows wanted of it; None if there are no more rows than wanted."""
+    before = 0
+    for place, rows in sorted(counts):
+        if before + rows > max_rows:
+            return place, max_rows - before
+        before += rows
+    return None
+
+
+def _cut_by_hash(df: DataFrame, max_rows: int) -> DataFrame:
+    place = F.shiftright(content_hashes(df)[0], 48)
+    placed = df.withColumn("_bucket", place)
+    found = _boundary([tuple(r) for r in placed.groupBy("_bucket").count().collect()], max_rows)
+    if found is None:
+        return df
+    edge, rest = found
+    whole = placed.where(F.col("_bucket") < edge).drop("_bucket")
+    if not rest:
+        return whole
+    cut = _order_copies(placed.where(F.col("_bucket") == edge), df.sparkSession.sparkContext.defaultParallelism, F.lit(0))
+    return whole.unionByName(cut.where(F.col("_row_no") < rest).drop("_row_no"))
+
+
+def _cut_by_key(df: DataFrame, max_rows: int, order_by) -> DataFrame:
+    keys = order_keys(order_by)
+    total = df.count()
+    edges = sample_buckets(df, keys, bucket_count(total, df.sparkSession.sparkContext.defaultParallelism), total)
+    placed = df.withColumn("_bucket", edges.column())
+    found = _boundary([tuple(r) for r in placed.groupBy("_bucket").count().collect()], max_rows)
+    sort = [key.sort() for key in keys]
+    if found is None:
+        return df.orderBy(*sort)
+    edge, rest = found
+    kept = placed.where(F.col("_bucket") < edge).drop("_bucket")
+    if rest:
+        own = placed.where(F.col("_bucket") == edge)
+        if edge % 2:  # a frequent key: its rows tie
+            cut = _order_copies(own, len(edges.boundaries) + 1, F.lit(0))
+        else:
+            window = Window.partitionBy("_bucket").orderBy(*sort, *content_hashes(df))
+            cut = own.withColumn("_row_no", F.row_number().over(window) - 1).drop("_bucket")
+        kept = kept.unionByName(cut.where(F.col("_row_no") < rest).drop("_row_no"))
+    return kept.orderBy(*sort)
 
 
 def count_query(df: DataFrame) -> DataFrame:

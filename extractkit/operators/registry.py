@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..errors import ResolutionError, SchemaMismatchError
 from ..functions.naming import document_account, selector_key, singular_key, submission_job_name
 from ..functions.text import null_if_empty, strip
+from ..session import stored
 
 # The registry's columns and its order.
 REGISTRY_COLUMNS = (
@@ -198,6 +199,63 @@ def match_selectors(selectors: DataFrame, registry: DataFrame, *, selector: str
     return top.select(selector, *columns, "score", "match_type")
 
 
+#: Copies of a many-to-one join's smaller side, so that one frequent key is dealt to as many tasks.
+SALTS = 16
+
+
+def _salted_join(many: DataFrame, one: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``many`` with the one row of ``one`` for its keys; a key that most rows share does not end in one task."""
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int"))
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def configuration_lists(forms: DataFrame, registry: DataFrame, *, options: bool = False) -> DataFrame:
+    """Inverted lists ``_form, _only, configuration…, DOCUMENT_ACCOUNT``: the configurations of each form's best matches.
+
+    ``_only`` is ``''`` for the whole list; with ``options`` there is also one list for each form and
+    option id.  Written once, since lengths, candidates and checks all read it.
+    """
+    lists = (
+        match_selectors(forms, registry, selector="_form")
+        .groupBy("_form", *CONFIGURATION)
+        .agg(F.max("DOCUMENT_ACCOUNT").alias("DOCUMENT_ACCOUNT"))
+    )
+    only = F.array(F.lit(""), *([F.col("ERP_INTERFACE_OPTIONS_ID")] if options else []))
+    return stored(lists.withColumn("_only", F.explode(F.array_distinct(only))), "configuration-lists")
+
+
+def shared_configurations(signatures: DataFrame, lists: DataFrame) -> DataFrame:
+    """``_forms, _only, _matched, common_configurations, _pick``: what the forms of each signature have in common.
+
+    Candidates come from a signature's shortest list alone; each other list is only asked whether it holds
+    them.  So a form that every request names costs a look-up for each candidate and never a pair for each of
+    its entries.  ``_matched`` counts the forms that have a list at all.
+    """
+    sized = lists.groupBy("_form", "_only").agg(F.count(F.lit(1)).alias("_length"))
+    named = signatures.withColumn("_form", F.explode("_forms"))
+    lengths = (
+        _salted_join(named, sized, ["_form", "_only"])
+        .groupBy("_forms", "_only")
+        .agg(F.count(F.lit(1)).alias("_matched"), F.min(F.struct("_length", "_form"))["_form"].alias("_lead"))
+    )
+    lengths = stored(lengths, "signatures")
+    whole = lengths.where(F.col("_matched") == F.size("_forms"))
+    entries = lists.withColumnRenamed("_form", "_lead")
+    candidates = whole.join(entries, ["_lead", "_only"])
+    others = candidates.withColumn("_form", F.explode_outer(F.filter("_forms", lambda f: f != F.col("_lead"))))
+    held = lists.select("_form", "_only", *CONFIGURATION, F.col("DOCUMENT_ACCOUNT").alias("_account"), F.lit(1).alias("_held"))
+    asked = others.join(held, ["_form", "_only", *CONFIGURATION], "left")
+    common = (
+        asked.groupBy("_forms", "_only", *CONFIGURATION)
+        .agg(F.count("_form").alias("_asked"), F.count("_held").alias("_found"), F.max(F.greatest("DOCUMENT_ACCOUNT", "_account")).alias("DOCUMENT_ACCOUNT"))
+        .where("_asked = _found")
+        .groupBy("_forms", "_only")
+        .agg(F.count(F.lit(1)).alias("common_configurations"), F.min(F.struct(*CONFIGURATION, "DOCUMENT_ACCOUNT")).alias("_pick"))
+    )
+    return stored(lengths.drop("_lead").join(common, ["_forms", "_only"], "left"), "shared")
+
+
 def resolve_requests(
     requests: DataFrame,
     registry: DataFrame,
@@ -209,40 +267,23 @@ def resolve_requests(
     """One configuration per request, or the reason there is none.
 
     ``requests`` has one row per request and selector, and optionally a column
-    with a required option id.  Status: ``RESOLVED``, ``NO_MATCH`` (a selector
+    with a required option id, the same for all rows of a request.  Status: ``RESOLVED``, ``NO_MATCH`` (a selector
     without any row), ``CONFLICT`` (no configuration shared by all selectors) or
-    ``AMBIGUOUS`` (several).
+    ``AMBIGUOUS`` (several).  Requests that name the same normal forms are worked out once.
     """
-    asked = requests.select(request, selector, *([option] if option else [])).where(strip(F.col(selector)) != "")
-    sizes = asked.groupBy(request).agg(F.count_distinct(selector).alias("selectors"))
-    # Spellings with one normal form match alike, so the work is done per form.
-    asked = asked.withColumn("_form", selector_key(F.col(selector))).drop(selector).dropDuplicates()
-    needed = asked.groupBy(request).agg(F.count_distinct("_form").alias("_needed"))
-    configurations = (
-        match_selectors(asked, registry, selector="_form")
-        .groupBy("_form", *CONFIGURATION)
-        .agg(F.max("DOCUMENT_ACCOUNT").alias("DOCUMENT_ACCOUNT"))
-    )
-    offered = asked.join(configurations, "_form")
-    if option:
-        wanted = strip(F.col(option).cast("string"))
-        offered = offered.where(F.col(option).isNull() | (F.col("ERP_INTERFACE_OPTIONS_ID") == wanted))
-    matched = offered.groupBy(request).agg(F.count_distinct("_form").alias("_matched"))
-    shared = (
-        offered.groupBy(request, *CONFIGURATION)
-        .agg(F.count(F.lit(1)).alias("_votes"), F.max("DOCUMENT_ACCOUNT").alias("DOCUMENT_ACCOUNT"))
-        .join(needed, request)
-        .where("_votes = _needed")
-        .groupBy(request)
-        .agg(
-            F.count(F.lit(1)).alias("common_configurations"),
-            F.min(F.struct(*CONFIGURATION, "DOCUMENT_ACCOUNT")).alias("_pick"),
-        )
+    asked = requests.where(strip(F.col(selector)) != "").withColumn("_form", selector_key(F.col(selector)))
+    only = F.coalesce(strip(F.max(option).cast("string")), F.lit("")) if option else F.lit("")
+    asked = asked.groupBy(request).agg(
+        F.count_distinct(selector).alias("selectors"), F.array_sort(F.collect_set("_form")).alias("_forms"), only.alias("_only")
     )
-    out = sizes.join(needed, request).join(matched, request, "left").join(shared, request, "left")
+    asked = stored(asked, "requests")
+    signatures = asked.select("_forms", "_only").distinct()
+    forms = asked.select(F.explode("_forms").alias("_form")).distinct()
+    shared = shared_configurations(signatures, configuration_lists(forms, registry, options=option is not None))
+    out = _salted_join(asked, shared, ["_forms", "_only"], "left")
     common = F.coalesce("common_configurations", F.lit(0))
     status = (
-        F.when(F.coalesce("_matched", F.lit(0)) < F.col("_needed"), F.lit("NO_MATCH"))
+        F.when(F.coalesce("_matched", F.lit(0)) < F.size("_forms"), F.lit("NO_MATCH"))
         .when(common == 0, F.lit("CONFLICT"))
         .when(common > 1, F.lit("AMBIGUOUS"))
         .otherwise(F.lit("RESOLVED"))

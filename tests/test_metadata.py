@@ -16,6 +16,7 @@ from extractkit.operators.registry import (
     filter_registry,
     match_selectors,
     normalize_registry,
+    configuration_lists,
     require_resolved,
     resolve_control_files,
     resolve_requests,
@@ -102,6 +103,24 @@ def test_resolution(spark, registry):
     assert [r.load_file for r in duplicate_load_files(both).collect()] == ["ApLines.csv"]
 
 
+def test_a_form_that_all_requests_name_is_never_paired(spark, registry):
+    """One list of 300 entries, named by 200 requests: candidates come from the short lists."""
+    columns = registry.columns
+    base = registry.first().asDict()
+    rows = [tuple({**base, "ERP_INTERFACE_OPTIONS_ID": str(i), "BUSINESS_OBJECT": f"Thing Number {i}", "CONTROL_FILE_NAME": f"Own{i}.ctl", "INTERFACE_TABLE_NAMES": "COMMON_INT"}[c] for c in columns) for i in range(300)]
+    wide = spark.createDataFrame(rows, registry.schema)
+    asked = [(r, s) for r in range(200) for s in ("common_int", f"own{r % 150}.ctl")]
+    requests = spark.createDataFrame(asked, "request_id int, selector string")
+    found = {r.request_id: (r.status, r.interface_options_id) for r in resolve_requests(requests, wide).collect()}
+    assert found == {r: ("RESOLVED", str(r % 150)) for r in range(200)}
+    forms = requests.select(selector_key(F.col("selector")).alias("_form")).distinct()
+    lists = configuration_lists(forms, wide)
+    signatures = requests.groupBy("request_id").agg(F.array_sort(F.collect_set(selector_key(F.col("selector")))).alias("_forms")).select("_forms", F.lit("").alias("_only")).distinct()
+    assert signatures.count() == 150 and lists.count() == 450
+    one_list = resolve_requests(spark.createDataFrame([(1, "common_int"), (2, "COMMON-INT")], "request_id int, selector string"), wide).collect()
+    assert {(r.status, r.common_configurations) for r in one_list} == {("AMBIGUOUS", 300)}
+
+
 def test_required_option(spark, registry):
     requests = spark.createDataFrame([(1, "shared_int", "30"), (2, "shared_int", "99"), (3, "shared_int", None)], "request_id int, selector string, option string")
     status = {r.request_id: r.status for r in resolve_requests(requests, registry, option="option").collect()}

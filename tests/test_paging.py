@@ -181,3 +181,35 @@ def test_unique_order_guard(spark):
     require_unique_order(spark.range(5), "id")
     with pytest.raises(DuplicateKeyError):
         require_unique_order(spark.range(5).select(F.lit(1).alias("k")), "k")
+
+
+@pytest.mark.parametrize("key", ["k desc", "k", "v, k desc"])
+@pytest.mark.parametrize("n", [1, 137, 500, 999, 1000, 5000])
+def test_a_deep_cap_equals_a_sort(spark, monkeypatch, key, n):
+    monkeypatch.setattr(paging, "bucket_count", lambda total, cores: 6)
+    data = [(None if i % 50 == 0 else i * 37 % 101, "same" if i % 3 else f"v{i % 7}") for i in range(1000)]
+    df = spark.createDataFrame(data, "k int, v string").repartition(5)
+    wanted = df.orderBy(*paging.sort_columns(key)).limit(n).select(*[k.name for k in paging.order_keys(key)]).collect()
+    assert row_cap(df, n, key, shallow=0).select(*[k.name for k in paging.order_keys(key)]).collect() == wanted
+    free = row_cap(df, n, shallow=0)
+    assert free.count() == min(n, 1000) and free.exceptAll(df).isEmpty()
+
+
+def test_a_deep_cap_has_no_task_for_all_rows(spark):
+    df = spark.range(300_000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("v"))
+    for capped in (row_cap(df, 200_000, "k", shallow=1000), row_cap(df, 200_000, shallow=1000)):
+        plan = capped._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
+def test_seams_of_many_chunks(spark, monkeypatch):
+    """Sums of neighbouring chunks, put together three at a time."""
+    from extractkit.operators import checks
+
+    monkeypatch.setattr(checks, "SEGMENTS_AT_ONCE", 3)
+    values = [i * 31 % 17 for i in range(26)]
+    df = spark.createDataFrame([(i, i // 2, v) for i, v in enumerate(values)], "row_no long, chunk_id long, k int")
+    found = checks.validate_extract(df, "k").first()
+    steps = list(itertools.pairwise(values))
+    assert found.order_violations == sum(a > b for a, b in steps) and found.adjacent_duplicates == sum(a == b for a, b in steps)
+    assert (found.rows, found.chunks, found.duplicate_keys) == (26, 13, sum(values.count(v) > 1 for v in set(values)))
