@@ -36,7 +36,6 @@ ROUNDS = 3
 #: Steps of a round that take in the unlabelled documents, one Spark job each.
 POOL_STEPS = 5
 SURE = 0.98
-FEW = 3000
 #: A slot of the text view has its full value if its shares among good documents and among those of
 #: low quality, or toxic ones, differ by so many standard errors.  Below, the value falls by this
 #: power of the errors: many words of chance weigh little, and none is left out.
@@ -166,23 +165,22 @@ class CoTrained:
 def cotrain(text: Examples, page: Examples, kinds: np.ndarray, pool: DataFrame | None = None) -> CoTrained:
     """``kinds``: 1 good, 0 of low quality, 2 toxic; ``pool``: ``words`` and ``page`` of the unlabelled documents.
 
-    Scores are calibrated on labelled rows that were kept aside: a fifth of them, or, below
-    ``FEW`` labelled rows, each fifth in turn while the weights come from all.  With fewer than
+    Scores are calibrated on a fifth of the labelled rows of either label, which is kept aside.  With fewer than
     ten rows of either label no model is fitted and every score is 1: nothing is rejected.
     """
     labels = np.where(kinds == 2, 0, kinds)
     if min((labels == 1).sum(), (labels == 0).sum()) < 10:
         sure = np.array([30.0, 0.0])
         return CoTrained(np.zeros(SIZES[0] + 1), np.zeros(SIZES[1] + 1), sure, sure, np.array([30.0, 0.0, 0.0]))
-    known, views = np.flatnonzero(labels >= 0), (text, page)
-    parts = [known[k::5] for k in range(5 if known.size < FEW else 1)]
-    fitted_on = [np.where(np.isin(np.arange(len(kinds)), part), -1, kinds) for part in parts]
-    models = _rounds(views, [*fitted_on, kinds] if len(parts) > 1 else fitted_on, pool)
-    margins = [np.concatenate([view.margins(model[v])[part] for model, part in zip(models, parts)]) for v, view in enumerate(views)]
-    target = labels[np.concatenate(parts)].astype(float)
+    aside = np.zeros(len(kinds), bool)
+    for kind in (0, 1, 2):
+        aside[np.flatnonzero(kinds == kind)[::5]] = True
+    weights = _rounds((text, page), [np.where(aside, -1, kinds)], pool)[0]
+    margins = [view.margins(w)[aside] for view, w in zip((text, page), weights)]
+    target = labels[aside].astype(float)
     fits = [_calibrated(m, target) for m in margins]
     both = _calibrated(np.column_stack([f[0] + f[1] * m for f, m in zip(fits, margins)]), target)
-    return CoTrained(models[-1][0].astype(np.float32), models[-1][1], fits[0], fits[1], both)
+    return CoTrained(weights[0].astype(np.float32), weights[1], fits[0], fits[1], both)
 
 
 def _rounds(views: tuple[Examples, Examples], fitted_on: list[np.ndarray], pool: DataFrame | None) -> list[list[np.ndarray]]:
@@ -273,25 +271,27 @@ def fit(documents: DataFrame, labels: DataFrame) -> CoTrained:
     """Co-train on ``labels`` (``doc_id``, ``quality``, ``toxic``): good is quality 1 and toxic 0.
 
     Labels with nulls or of unknown documents are not used; of several labels of a document
-    the smallest kind counts (low quality, good, toxic).  Of rows that repeat a ``doc_id`` the
-    one with the smallest text digest counts; rows without one are unlabelled documents.
+    toxic wins, then low quality.  Of rows that repeat a labelled ``doc_id`` the one with the smallest text digest is
+    fitted on.  Documents whose label is not drawn are unlabelled ones, as are rows without an id; each such row counts.
+
+    Slot lists are written where they are made and never shuffled: only ids meet the labels, and the ids drawn, a
+    bounded number, go to the lists.
     """
     spark = documents.sparkSession
     small_batches(spark)
     kind = F.when(F.col("toxic") != 0, F.lit(2)).otherwise((F.col("quality") == 1).cast("int"))
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").dropna().groupBy("doc_id").agg(F.min(kind).alias("kind"))
+    told = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").dropna().groupBy("doc_id")
+    known = told.agg(F.when(F.max(kind) == 2, F.lit(2)).otherwise(F.min(kind)).alias("kind"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    told = spread(rows, "doc_id").mapInArrow(_described, "doc_id long, digest binary, words binary, page binary")
-    # Rows without an id are told apart by their slots, so that they do not meet in one task.
-    own = F.when(F.col("doc_id").isNull(), F.xxhash64("digest", "page", F.monotonically_increasing_id()))
-    one = told.groupBy("doc_id", own.alias("own")).agg(F.min(F.struct("digest", "page", "words")).alias("d")).select("doc_id", "d.words", "d.page")
-    found = stored(one.join(known, "doc_id", "left"), "slots")
-    order = F.xxhash64("doc_id", F.lit(6))
+    slots = spread(rows, "doc_id").mapInArrow(_described, "doc_id long, digest binary, words binary, page binary")
+    found = stored(slots, "slots")
     # Bounded by a parameter, some hundred kB.
-    chosen = F.broadcast(found.where("kind is not null").select("doc_id").orderBy(order).limit(MAX_LABELLED))
-    known = found.join(chosen, "doc_id").toArrow().sort_by("doc_id")
-    text, page = (Examples([_unpacked(x) for x in known.column(c).to_pylist()]) for c in ("words", "page"))
-    return cotrain(text, page, known.column("kind").to_numpy(), found.where("kind is null"))
+    drawn = found.select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(MAX_LABELLED)
+    chosen = F.broadcast(stored(drawn, "drawn"))
+    first = F.min(F.struct("digest", "page", "words")).alias("d")
+    fitted = found.join(chosen, "doc_id").groupBy("doc_id", "kind").agg(first).select("doc_id", "kind", "d.words", "d.page").toArrow().sort_by("doc_id")
+    text, page = (Examples([_unpacked(x) for x in fitted.column(c).to_pylist()]) for c in ("words", "page"))
+    return cotrain(text, page, fitted.column("kind").to_numpy(), found.join(chosen, "doc_id", "left_anti"))
 
 
 def score(documents: DataFrame, model: CoTrained) -> DataFrame:

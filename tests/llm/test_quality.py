@@ -134,6 +134,37 @@ def test_one_row_of_a_repeated_id_counts(spark):
     frame, labels = labelled(spark, 300)
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     first = frame.where("doc_id = 0")
+    assert labels[0][0] == 0  # a labelled one: repeated unlabelled rows are documents of their own
     again = first.crossJoin(spark.range(400).select("id")).drop("id")
     once, many = qc.fit(frame, known), qc.fit(frame.unionByName(again), known)
     assert np.allclose(once.text, many.text) and np.allclose(once.both, many.both)
+
+
+def test_of_clashing_labels_toxic_wins(spark):
+    frame, labels = labelled(spark, 300)
+    clash = [(d, 1, 0) for d, q, t in labels if t] + [(d, 1, 0) for d, q, t in labels if not q and not t]
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    both = known.unionByName(spark.createDataFrame(clash, known.schema))
+    one, two = qc.fit(frame, known), qc.fit(frame, both)
+    assert np.allclose(one.text, two.text) and np.allclose(one.both, two.both)
+
+
+def test_the_text_view_is_fitted_as_a_plain_loop_does():
+    """A small exact check of the gradient steps, documents one by one."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(40)]
+    labels, values = rng.integers(0, 2, 40), rng.random(12)
+    fit = qc.ViewFit(qc.Examples(rows), labels, values)
+    inner, squares = [0.0] * 13, [1e-6] * 13
+    for _ in range(120):
+        gradient = [0.0] * 13
+        for row, label in zip(rows, labels.tolist()):
+            p = 1 / (1 + np.exp(-(sum(inner[s] * values[s] for s in row) + inner[12])))
+            for s in row:
+                gradient[s] += (p - label) * values[s]
+            gradient[12] += p - label
+        for s in range(13):
+            g = gradient[s] / 40 + (1e-4 * inner[s] if s < 12 else 0)
+            squares[s] += g * g
+            inner[s] -= 0.3 * g / np.sqrt(squares[s])
+    assert np.allclose(fit.inner, inner, atol=1e-9)
