@@ -6,8 +6,8 @@
 4. packing: the tokens of what is left, placed into sequences.
 
 Every stage but the last returns the columns of ``documents``.  Rows with a null ``doc_id``
-are documents of their own everywhere; rows that repeat a ``doc_id`` are one document from
-the third stage on.
+are documents of their own everywhere; rows that agree in ``doc_id`` and text are one document from
+the third stage on, and rows that share a ``doc_id`` only are several.
 """
 
 from __future__ import annotations
@@ -38,11 +38,35 @@ def classifier_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return quality_classifier.score(docs, model).where("kept").select(docs.columns)
 
 
+def _own_keys(named: DataFrame, shared: DataFrame) -> DataFrame:
+    """One row for each text of an id, with ``_key``: ids that no other row has, numbers above all ids for the others (below them if there is no room above).
+
+    Of rows that agree in id and text, the one whose columns come first as JSON stays.
+    """
+    text = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    others = [F.col(f"`{c}`") for c in named.columns if c not in ("doc_id", "text")]
+    same = named.join(shared, "doc_id", "left_semi").groupBy("doc_id", text.alias("_digest"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in named.columns])
+    rows = same.agg(F.min_by(whole, F.to_json(F.struct(F.col("text").isNull(), *others))).alias("_row"))
+    numbered = stored(rows.orderBy("doc_id", "_digest").withColumn("_n", F.monotonically_increasing_id()), "shared-texts")
+    low, high = named.agg(F.min("doc_id"), F.max("doc_id")).first()
+    key = F.col("_n") + F.lit(high + 1) if high < 1 << 62 else F.col("_n") + F.lit(low - (1 << 62))
+    alone = named.join(shared, "doc_id", "left_anti").withColumn("_key", F.col("doc_id"))
+    return alone.unionByName(numbered.select("_row.*", key.alias("_key")))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies (five-word shingles, similarity 0.8)."""
-    keep = near_duplicates(docs.select("doc_id", "text"), width=5, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
+
+    An id that several rows have names a document for each of its texts.  Those come after all others, in the order of
+    id and text digest; rows that agree in id and text are one document.  Rows without an id are all kept.
+    """
+    named = docs.where("doc_id is not null")
+    shared = stored(named.groupBy("doc_id").count().where("count > 1").select("doc_id"), "shared-ids")
+    keyed = named.withColumn("_key", F.col("doc_id")) if shared.isEmpty() else stored(_own_keys(named, shared), "keyed")
+    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, percent=80)
+    keep = found.where("kept").select(F.col("doc_id").alias("_key"))
+    return keyed.join(keep, "_key", "left_semi").unionByName(docs.where("doc_id is null"), allowMissingColumns=True).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
