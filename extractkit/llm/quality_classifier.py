@@ -36,6 +36,8 @@ ROUNDS = 3
 #: Steps of a round that take in the unlabelled documents, one Spark job each.
 POOL_STEPS = 5
 SURE = 0.98
+#: Parts of the labelled rows that are calibrated on in turn.
+FOLDS = 5
 #: A slot of the text view has its full value if its shares among good documents and among those of
 #: low quality, or toxic ones, differ by so many standard errors.  Below, the value falls by this
 #: power of the errors: many words of chance weigh little, and none is left out.
@@ -165,26 +167,37 @@ class CoTrained:
 def cotrain(text: Examples, page: Examples, kinds: np.ndarray, pool: DataFrame | None = None) -> CoTrained:
     """``kinds``: 1 good, 0 of low quality, 2 toxic; ``pool``: ``words`` and ``page`` of the unlabelled documents.
 
-    Scores are calibrated on a fifth of the labelled rows of either label, which is kept aside.  With fewer than
+    The weights come from all labelled rows.  Scores are calibrated on each of ``FOLDS`` parts of them in turn, by a
+    model that has not seen its labels.  With fewer than
     ten rows of either label no model is fitted and every score is 1: nothing is rejected.
     """
     labels = np.where(kinds == 2, 0, kinds)
     if min((labels == 1).sum(), (labels == 0).sum()) < 10:
         sure = np.array([30.0, 0.0])
         return CoTrained(np.zeros(SIZES[0] + 1), np.zeros(SIZES[1] + 1), sure, sure, np.array([30.0, 0.0, 0.0]))
-    aside = np.zeros(len(kinds), bool)
+    part = np.full(len(kinds), -1)
     for kind in (0, 1, 2):
-        aside[np.flatnonzero(kinds == kind)[::5]] = True
-    weights = _rounds((text, page), [np.where(aside, -1, kinds)], pool)[0]
-    margins = [view.margins(w)[aside] for view, w in zip((text, page), weights)]
-    target = labels[aside].astype(float)
+        of = np.flatnonzero(kinds == kind)
+        part[of] = np.arange(of.size) % FOLDS
+    views, known = (text, page), part >= 0
+    *folds, whole = _rounds(views, [*(np.where(part == k, -1, kinds) for k in range(FOLDS)), kinds], pool)
+    margins = []
+    for v, view in enumerate(views):
+        margin = np.zeros(len(kinds))
+        for k, model in enumerate(folds):
+            margin[part == k] = view.margins(model[v])[part == k]
+        margins.append(margin[known])
+    target = labels[known].astype(float)
     fits = [_calibrated(m, target) for m in margins]
     both = _calibrated(np.column_stack([f[0] + f[1] * m for f, m in zip(fits, margins)]), target)
-    return CoTrained(weights[0].astype(np.float32), weights[1], fits[0], fits[1], both)
+    return CoTrained(whole[0].astype(np.float32), whole[1], fits[0], fits[1], both)
 
 
 def _rounds(views: tuple[Examples, Examples], fitted_on: list[np.ndarray], pool: DataFrame | None) -> list[list[np.ndarray]]:
-    """Both views' weights after all rounds, for each choice of labelled rows; all choices share the jobs."""
+    """Both views' weights after all rounds, for each choice of labelled rows.
+
+    The unlabelled documents are judged, counted and summed up by the last choice alone, and all take the same steps on them.
+    """
 
     def fitted(kinds: np.ndarray, more: list | None) -> list[ViewFit]:
         labels = np.where(kinds == 2, 0, kinds)
@@ -193,15 +206,15 @@ def _rounds(views: tuple[Examples, Examples], fitted_on: list[np.ndarray], pool:
 
     models = [fitted(kinds, None) for kinds in fitted_on]
     for _ in range(ROUNDS if pool is not None else 0):
-        judges = [[view.weights for view in model] for model in models]
-        counted = _pool_sums(pool, judges, None)
-        if not any(side[1] for model in counted for view in model for side in view):
+        judges = [[view.weights for view in models[-1]]]
+        counted = _pool_sums(pool, judges, None)[0]
+        if not any(side[1] for view in counted for side in view):
             break
-        models = [fitted(kinds, more) for kinds, more in zip(fitted_on, counted)]
+        models = [fitted(kinds, counted) for kinds in fitted_on]
         for _ in range(POOL_STEPS):
-            sums = _pool_sums(pool, judges, [[view.weights for view in model] for model in models])
-            for model, found in zip(models, sums):
-                for view, others in zip(model, found):
+            sums = _pool_sums(pool, judges, [[view.weights for view in models[-1]]])[0]
+            for model in models:
+                for view, others in zip(model, sums):
                     view.step(others)
     return [[view.weights for view in model] for model in models]
 
