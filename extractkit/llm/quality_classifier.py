@@ -115,8 +115,7 @@ class ViewFit:
 
     def __init__(self, examples: Examples, labels: np.ndarray, values: np.ndarray):
         self.use, self.size, self.values = labels >= 0, values.size, np.append(values, 1)
-        inside = self.use[examples.rows]
-        self.slots, self.rows, self.n_rows = examples.slots[inside], examples.rows[inside], examples.n
+        self.slots, self.rows, self.n_rows = examples.slots, examples.rows, examples.n  # shared by all fits; rows that are not used have no error
         self.inner, self.squares = np.zeros(self.size + 1), np.full(self.size + 1, 1e-6)
         self.target, self.n = labels.astype(float), max(1, self.use.sum())
         self.penalty = np.full(self.size + 1, 1e-4)
