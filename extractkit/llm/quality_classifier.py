@@ -195,7 +195,8 @@ def cotrain(text: Examples, page: Examples, kinds: np.ndarray, pool: DataFrame |
 def _rounds(views: tuple[Examples, Examples], fitted_on: list[np.ndarray], pool: DataFrame | None) -> list[list[np.ndarray]]:
     """Both views' weights after all rounds, for each choice of labelled rows.
 
-    The unlabelled documents are judged, counted and summed up by the last choice alone, and all take the same steps on them.
+    The rounds are the last choice's: it judges the unlabelled documents, counts them and sums them up.  The other choices
+    take the steps of its last round.
     """
 
     def fitted(kinds: np.ndarray, more: list | None) -> list[ViewFit]:
@@ -203,19 +204,28 @@ def _rounds(views: tuple[Examples, Examples], fitted_on: list[np.ndarray], pool:
         values = slot_values(views[0], kinds, SIZES[0], more[0] if more else None), np.ones(SIZES[1])
         return [ViewFit(view, labels, v) for view, v in zip(views, values)]
 
-    models = [fitted(kinds, None) for kinds in fitted_on]
+    def stepped(model: list[ViewFit], sums: list) -> None:
+        for view, others in zip(model, sums):
+            view.step(others)
+
+    *others, own = fitted_on
+    model, counted, steps = fitted(own, None), None, []
     for _ in range(ROUNDS if pool is not None else 0):
-        judges = [[view.weights for view in models[-1]]]
-        counted = _pool_sums(pool, judges, None)[0]
-        if not any(side[1] for view in counted for side in view):
+        judges = [[view.weights for view in model]]
+        seen = _pool_sums(pool, judges, None)[0]
+        if not any(side[1] for view in seen for side in view):
             break
-        models = [fitted(kinds, counted) for kinds in fitted_on]
+        model, counted, steps = fitted(own, seen), seen, []
         for _ in range(POOL_STEPS):
-            sums = _pool_sums(pool, judges, [[view.weights for view in models[-1]]])[0]
-            for model in models:
-                for view, others in zip(model, sums):
-                    view.step(others)
-    return [[view.weights for view in model] for model in models]
+            steps.append(_pool_sums(pool, judges, [[view.weights for view in model]])[0])
+            stepped(model, steps[-1])
+    weights = []
+    for kinds in others:
+        other = fitted(kinds, counted)
+        for sums in steps:
+            stepped(other, sums)
+        weights.append([view.weights for view in other])
+    return [*weights, [view.weights for view in model]]
 
 
 def _pool_sums(pool: DataFrame, judges: list, weights: list | None) -> list:
