@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from extractkit.errors import FingerprintError
-from extractkit.operators import checks, filters, paging, profile
+from extractkit.operators import checks, filters, paging, profile, sketches
 from extractkit.session import scratch_path
 from extractkit.sinks.delimited import csv_options, write_single_csv
 from extractkit.sinks.filesystem import Files
@@ -557,6 +557,21 @@ def summarize_sketches(spark, folder):
     return library(spark, folder).query("SUMMARIZE lineitem")
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, CAST(count(*) AS BIGINT) AS rows, true AS distinct_ok, {ranks} AS ranks_ok FROM lineitem"
+        for name, ranks in {"l_orderkey": "true", "l_quantity": "true", "l_extendedprice": "true", "l_discount": "true", "l_returnflag": "CAST(NULL AS BOOLEAN)", "l_shipdate": "CAST(NULL AS BOOLEAN)"}.items()
+    )
+)
+def sketch_bounds(spark, folder):
+    """Sketches of each part of a dataset, merged: exact ranks and distinct counts stay within the stated bounds."""
+    rows = load(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+    target = scratch_path(spark, "sketches")
+    write_parts(rows, target, "l_orderkey, l_extendedprice", chunk_size=10_000, all_varchar=False)
+    figures = sketches.sketch_figures(sketches.merged_sketches(sketches.sketch_parts(spark, target)))
+    return sketches.sketch_errors(rows, figures).join(figures.select("column_name", "rows"), "column_name")
+
+
 @query(
     """
     SELECT event_type, CAST(count(*) AS BIGINT) AS pages, CAST(sum(user_id) AS BIGINT) AS rows,

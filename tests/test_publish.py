@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from extractkit.errors import FingerprintError, NameConflictError, RowCountError, SourceChangedError
-from extractkit.operators import checks, paging
+from extractkit.operators import checks, paging, sketches
 from extractkit.operators.paging import plan_chunks
 from extractkit.plans.copy import copy_query
 from extractkit.sinks import parts
@@ -124,6 +124,23 @@ def test_a_swap_that_was_cut_off_is_undone(spark, tmp_path):
     assert not (tmp_path / ".out.old").exists() and status(spark, str(out)) == {"ok": 4}
 
 
+def test_sketches_of_parts(spark, tmp_path):
+    rows = spark.range(20_000).select(F.col("id"), (F.col("id") % 700).cast("double").alias("x"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 90)).alias("t"), F.lit(None).cast("int").alias("none"))
+    out = str(tmp_path / "out")
+    write_parts(rows, out, "id", chunk_size=3000, all_varchar=False)
+    parts_of = sketches.sketch_parts(spark, out)
+    assert parts_of.count() == 7 * 4 and sketches.sketch_parts(spark, out).count() == 7 * 4  # the second time nothing is new
+    assert status(spark, out) == {"ok": 7}
+    figures = sketches.sketch_figures(sketches.merged_sketches(parts_of))
+    told = {r.column_name: r for r in figures.collect()}
+    assert told["t"].filled == 13_333 and told["none"].distinct_values == 0 and told["none"].q50 is None and told["t"].q50 is None
+    assert abs(told["x"].distinct_values - 700) <= 35 and abs(told["id"].q50 - 10_000) <= 300
+    found = {r.column_name: (r.distinct_ok, r.ranks_ok) for r in sketches.sketch_errors(rows, figures).collect()}
+    assert found == {"id": (True, True), "x": (True, True), "t": (True, None), "none": (True, None)}
+    wrong = figures.withColumns({"q50": F.col("q50") * 1.2, "distinct_values": F.col("distinct_values") * 2})
+    assert {r.column_name: (r.distinct_ok, r.ranks_ok) for r in sketches.sketch_errors(rows, wrong).collect()}["id"] == (False, False)
+
+
 def test_map_columns(spark, tmp_path):
     rows = spark.range(10).select("id", F.create_map(F.lit("a"), "id").alias("m"))
     assert write_parts(rows, str(tmp_path / "out"), "id", chunk_size=4, all_varchar=False).rows == 10
