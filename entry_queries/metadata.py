@@ -354,6 +354,25 @@ def xml_rows(spark, folder):
     return payloads.result_rows(decoded, "xml", ["KEY", "STATUS", "NOTE"], keep=["o_orderkey"])
 
 
+@query(
+    """
+    SELECT n_regionkey, CASE WHEN n_nationkey % 3 < 2 THEN printf('%03d', n_nationkey) END AS id, n_name AS "Name", CASE WHEN n_nationkey % 3 = 2 THEN n_name || '!' END AS "Only",
+           CASE WHEN n_nationkey % 3 = 0 THEN CAST(n_nationkey AS VARCHAR) END AS seen FROM nation
+    """
+)
+def xml_any_rows(spark, folder):
+    """One document for each region, its nations under two element names, ids as attributes or children, columns not stated."""
+    nation = load(spark, folder, "nation")
+    code, kind = F.lpad(F.col("n_nationkey").cast("string"), 3, "0"), F.col("n_nationkey") % 3
+    row = (
+        F.when(kind == 0, F.format_string('<G_1 id="%s"><Name> %s </Name><seen>%d</seen></G_1>', code, "n_name", "n_nationkey"))
+        .when(kind == 1, F.format_string("<x:ROW><x:id>%s</x:id><x:Name>%s</x:Name></x:ROW>", code, "n_name"))
+        .otherwise(F.format_string("<ROW><Only>%s!</Only><Name>%s</Name></ROW>", "n_name", "n_name"))
+    )
+    documents = nation.groupBy("n_regionkey").agg(F.concat(F.lit('<DATA xmlns:x="u">'), F.array_join(F.collect_list(row), ""), F.lit("</DATA>")).alias("xml"))
+    return payloads.any_result_rows(documents, "xml", keep=["n_regionkey"])
+
+
 @query(
     """
     SELECT CASE o_orderkey % 10 WHEN 0 THEN 'empty' WHEN 3 THEN 'invalid_base64' WHEN 4 THEN 'invalid_xml' ELSE 'ok' END AS status,

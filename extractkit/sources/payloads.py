@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import SchemaMismatchError
 from ..functions.text import explode_filled, null_if_empty, strip
 
 # States in which a job has ended.
@@ -123,6 +124,65 @@ def result_columns(df: DataFrame, xml: str, *, row_element: str = "G_1") -> list
     return [row["name"] for row in ordered.collect()]
 
 
+# No XML name has these signs, so attributes and text cannot be taken for elements.
+_XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "attributePrefix": "@", "valueTag": "#"}
+
+
+def result_shape(df: DataFrame, xml: str) -> dict[str, list[str]]:
+    """``{row element: names}`` over all documents: rows are the children of the root, whatever they are called.
+
+    Names are those of a row's children, of its attributes with ``@`` before them, and ``#`` for the text of a row
+    without children.  Each document is read without a schema and told by its names alone; the distinct pairs reach the driver.
+    """
+    shapes = df.select(F.from_xml(F.col(xml), "variant", _XML).alias("v"))
+    children = F.from_json(F.to_json("v"), "map<string,string>")
+    found = shapes.select(F.explode_outer(children).alias("element", "rows")).where("element not like '@%' and element <> '#'")
+    each = F.when(F.col("rows").startswith("["), F.from_json("rows", "array<string>")).otherwise(F.array("rows"))
+    names = F.transform(each, lambda row: F.when(row.startswith("{"), F.json_object_keys(row)).otherwise(F.array(F.lit("#"))))
+    pairs = found.select("element", F.explode(F.array_distinct(F.flatten(names))).alias("name")).distinct()
+    out: dict[str, list[str]] = {}
+    for row in pairs.orderBy("element", "name").collect():
+        out.setdefault(row["element"], []).append(row["name"])
+    return out
+
+
+def any_result_rows(df: DataFrame, xml: str, *, keep=(), shape: dict[str, list[str]] | None = None) -> DataFrame:
+    """One output row per child of each document's root, with every column that occurs anywhere.
+
+    The schema is merged over all documents first (:func:`result_shape`), so values are the trimmed text as it stands,
+    leading zeros and all; NULL if absent or empty.  Attributes are columns by their name, after children of that name; the text of a row
+    without children is a column of the row's name.  Documents without rows give none.
+    """
+    shape = result_shape(df, xml) if shape is None else shape
+    if not shape:
+        return df.select(*keep).limit(0)
+
+    def column(element: str, name: str) -> str:
+        return element if name == "#" else name.removeprefix("@")
+
+    for element, names in shape.items():
+        if len({n.lower() for n in names}) < len(names):
+            raise SchemaMismatchError(f"Names of {element} differ in letter case only: {names}")
+    # Names of different rows that differ in case only are one column, as Spark's names are.
+    columns = list({c.lower(): c for c in sorted({column(e, n) for e, names in shape.items() for n in names}, reverse=True)}.values())[::-1]
+    schema = ", ".join(f"`{element}` array<struct<{', '.join(f'`{n}`: string' for n in names)}>>" for element, names in shape.items())
+    parsed = df.select(*keep, F.from_xml(F.col(xml), schema, _XML).alias("_parsed"))
+
+    def unified(element: str):
+        def of(row: Column) -> Column:
+            values = []
+            for wanted in columns:
+                sources = [null_if_empty(strip(row.getField(n))) for n in sorted(shape[element], reverse=True) if column(element, n).lower() == wanted.lower()]
+                values.append((F.coalesce(*sources) if sources else F.lit(None).cast("string")).alias(wanted))
+            return F.struct(*values)
+
+        return of
+
+    lists = [F.coalesce(F.transform(F.col("_parsed").getField(element), unified(element)), F.array()) for element in shape]
+    rows = explode_filled(parsed, [F.col(k) if isinstance(k, str) else k for k in keep], F.concat(*lists), "_row")
+    return rows.select(*[k if isinstance(k, str) else k for k in keep], *[F.col("_row").getField(c).alias(c) for c in columns])
+
+
 def with_job(df: DataFrame, response: str) -> DataFrame:
     """Parent columns of a job-status response; its children stay as ``_children``.
 

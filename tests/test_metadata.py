@@ -23,7 +23,7 @@ from extractkit.operators.registry import (
 )
 from extractkit.sinks.tables import ManagedTables
 from extractkit.sources.archives import archive_report, explode_archives
-from extractkit.sources.payloads import job_children, job_status, result_columns, result_rows, soap_fault, with_report_bytes, with_result_xml
+from extractkit.sources.payloads import any_result_rows, job_children, job_status, result_columns, result_shape, result_rows, soap_fault, with_report_bytes, with_result_xml
 from extractkit.streaming.copies import read_folder_stream, stream_upsert
 
 
@@ -260,3 +260,22 @@ def test_stream_restarts_and_replays(spark, tmp_path):
     assert run() and tables.version("t").number == version
     # A new checkpoint counts its batches from 0 again; its rows are applied, not taken for old ones.
     assert run("c2") == [(1, 2, "b"), (2, 1, "x"), (3, 1, "n")] and tables.version("t").number == version + 1
+
+
+def test_rows_of_any_element(spark):
+    documents = [
+        (1, '<DATA_DS><G_1 id="007"><A>007</A><B> x </B></G_1><G_1><A>2</A><C> </C></G_1></DATA_DS>'),
+        (2, '<R about="all"><ROW><A>1</A><D>a&amp;b</D></ROW></R>'), (3, "<DATA_DS/>"), (4, '<D><p:G_1 xmlns:p="u"><p:B>ns</p:B></p:G_1><H z="1">t</H><H>u</H></D>'), (5, None),
+        (6, '<D><ROW id="attribute"><id>child</id></ROW></D>'),
+    ]
+    frame = spark.createDataFrame(documents, "k int, x string")
+    shape = result_shape(frame, "x")
+    assert set(shape) == {"G_1", "ROW", "H"} and {"A", "B", "@id"} <= set(shape["G_1"]) and shape["H"] == ["#", "@z"]
+    rows = any_result_rows(frame, "x", keep=["k"])
+    got = sorted((r.asDict() for r in rows.collect()), key=lambda r: (r["k"], str(r["A"]), str(r["H"])))
+    told = [{n: v for n, v in r.items() if v is not None and n != "p"} for r in got]
+    assert told == [
+        {"k": 1, "A": "007", "B": "x", "id": "007"}, {"k": 1, "A": "2"}, {"k": 2, "A": "1", "D": "a&b"}, {"k": 4, "B": "ns"}, {"k": 4, "H": "t", "z": "1"},
+        {"k": 4, "H": "u"}, {"k": 6, "id": "child"},
+    ]
+    assert any_result_rows(frame.where("k = 3"), "x", keep=["k"]).count() == 0
