@@ -93,17 +93,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
     ``vectors`` has ``vec_id`` and ``values`` (longs).  Rows with a null id or null values take
     no part.  Only vectors of the query's length are its candidates, and never a row of its
-    own id.  A repeated id counts once, with its smallest vector.  Equal scores go to the
-    smaller id.  No rows or no queries give no rows; other columns are ignored.
+    own id.  Every row of a repeated id counts, as a candidate and as a query; queries of one id share
+    their ranks.  Equal scores go to the smaller id.  No rows or no queries give no rows; other columns are ignored.
     """
-    rows = vectors.where("vec_id is not null and values is not null").groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("values").alias("values"))
-    rows = stored(rows.withColumn("asks", F.coalesce(is_query, F.lit(False))), "vectors")
+    rows = vectors.where("vec_id is not null and values is not null").select(F.col("vec_id").cast("long").alias("vec_id"), "values", F.coalesce(is_query, F.lit(False)).alias("asks"))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")  # rows of one id are dealt apart
     counted = rows.agg(F.count("*"), F.count_if("asks")).first()
     blocks = [max(1, -(-n // size)) for n, size in zip(counted, (CANDIDATE_BLOCK, QUERY_BLOCK))]
     sized = rows.withColumn("dims", F.size("values"))
 
     def dealt(mine: int, others: int, own: str, other: str) -> list[Column]:
-        place = F.pmod(F.xxhash64("vec_id", F.lit(mine)), F.lit(mine)).alias(own)
+        place = F.pmod(F.xxhash64("row", F.lit(mine)), F.lit(mine)).alias(own)
         return ["dims", "vec_id", "values", place, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other)]
 
     asking = sized.where("asks").select(*dealt(blocks[1], blocks[0], "q", "c"), F.lit(True).alias("asks"))

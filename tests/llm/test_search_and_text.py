@@ -34,6 +34,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
         assert {tuple(r) for r in found.collect()} == wanted
 
 
+def test_every_row_of_a_repeated_id_counts(spark):
+    rows = [(0, [3, 0]), (0, [0, 2]), (1, [6, 0]), (1, [1, 9]), (1, [6, 0]), (2, [2, 2]), (50, [1, 1]), (None, [9, 9])]
+    frame = spark.createDataFrame(rows, "vec_id long, values array<long>")
+    found = [tuple(r) for r in top_k(frame, F.col("vec_id") % 50 == 0, 4).orderBy("query_id", "rank").collect()]
+    wanted = []
+    for query in (0, 50):
+        pairs = [(-(a[0] * b[0] + a[1] * b[1]), c) for q, a in rows if q == query for c, b in rows if c is not None and c != query]
+        wanted += [(query, n + 1, c, -s) for n, (s, c) in enumerate(sorted(pairs)[:4])]
+    assert found == wanted
+
+
 def test_top_k_of_large_numbers_and_of_nothing(spark):
     frame = spark.createDataFrame([(0, [1 << 28, 3]), (1, [(1 << 28) + 1, 5]), (2, [1 << 28, 7])], "vec_id long, values array<long>")
     found = [tuple(r) for r in top_k(frame, F.col("vec_id") == 0, 2).orderBy("rank").collect()]
