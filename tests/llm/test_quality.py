@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from extractkit.llm import quality_classifier as qc
 from extractkit.llm import quality_rules as qr
@@ -59,6 +60,105 @@ def test_junk_of_one_kind_goes_and_prose_stays(spark):
     assert all(kept[i] for i, _, _ in prose) and not any(kept[i] for i, _, _ in junk)
 
 
+def planted(accuracies, good=0.7, n=20_000, abstain=0.2, seed=9):
+    """Documents by (hidden quality, votes), with rules of the given accuracies on good and bad documents."""
+    rng = random.Random(seed)
+    found = []
+    for _ in range(n):
+        q = rng.random() < good
+        right = [rng.random() < on_good if q else rng.random() < on_bad for on_good, on_bad in accuracies]
+        found.append((q, tuple(0 if rng.random() < abstain else 1 if r == q else -1 for r in right)))
+    return found
+
+
+PLANTED = [(0.9, 0.7), (0.8, 0.8), (0.95, 0.4), (0.7, 0.9), (0.85, 0.6), (0.9, 0.5)]
+NAMES = list("abcdef")
+
+
+def patterns_of(found):
+    return sorted(collections.Counter(votes for _, votes in found).items())
+
+
+def test_planted_accuracies_are_found():
+    model = qr.expectation_maximisation(NAMES, patterns_of(planted(PLANTED)))
+    assert abs(model.good - 0.7) < 0.05
+    for name, want in zip(NAMES, PLANTED):
+        assert np.allclose(model.accuracies[name], want, atol=0.05)
+
+
+def test_no_single_rule_gives_the_verdict():
+    found = planted(PLANTED)
+    model = qr.expectation_maximisation(NAMES, patterns_of(found))
+    verdict = [model.odds(dict(zip(NAMES, votes))) >= 0 for _, votes in found]
+    right = np.mean([v == q for v, (q, _) in zip(verdict, found)])
+    for k in range(len(NAMES)):
+        alone = [votes[k] >= 0 for _, votes in found]
+        assert np.mean(np.array(alone) != verdict) > 0.05
+        assert right > np.mean([a == q for a, (q, _) in zip(alone, found)])
+
+
+def log_posterior(x, patterns):
+    """Of the share of good documents and accuracies, by the plain formula."""
+    good, rates = x[0], x[1:].reshape(-1, 2)
+    prior = qr.PRIORS[:2]
+    value = 5 * np.log(good) + 5 * np.log(1 - good) + sum(r * np.log(p) + w * np.log(1 - p) for pair in rates for (r, w), p in zip(prior, pair))
+    for votes, n in patterns:
+        on = [good, 1 - good]
+        for v, (g, b) in zip(votes, rates):
+            if v:
+                on = [on[0] * (g if v > 0 else 1 - g), on[1] * (b if v < 0 else 1 - b)]
+        value += n * np.log(sum(on))
+    return value
+
+
+def test_no_other_model_is_more_probable():
+    patterns = patterns_of(planted(PLANTED[:4], n=3000))
+    model = qr.expectation_maximisation(NAMES[:4], patterns, rounds=5000, close=1e-12)
+    best = np.array([model.good, *(p for name in NAMES[:4] for p in model.accuracies[name])])
+    value, rng = log_posterior(best, patterns), np.random.default_rng(10)
+    for size in (0.3, 0.03, 0.003):
+        for _ in range(300):
+            other = np.clip(best + rng.normal(0, size, best.shape), 1e-6, 1 - 1e-6)
+            if all(g + b >= 1 for g, b in other[1:].reshape(-1, 2)):
+                assert log_posterior(other, patterns) <= value + 1e-6
+    for _ in range(3):  # a climb from elsewhere ends no higher
+        x = np.concatenate([[0.5], np.full(8, 0.5) + rng.uniform(0.1, 0.45, 8)])
+        at, step = log_posterior(x, patterns), 0.1
+        while step > 1e-4:
+            tries = [np.clip(x + rng.normal(0, step, x.shape), 1e-6, 1 - 1e-6) for _ in range(40)]
+            tries = [t for t in tries if all(g + b >= 1 for g, b in t[1:].reshape(-1, 2))]
+            top = max(((log_posterior(t, patterns), k) for k, t in enumerate(tries)), default=(at, -1))
+            if top[0] > at:
+                at, x = top[0], tries[top[1]]
+            else:
+                step /= 2
+        assert at <= value + 1e-6
+
+
+def test_copies_of_a_rule_are_one_opinion():
+    found = planted(PLANTED)
+    twice = [(q, (*votes, votes[0], votes[0])) for q, votes in found]
+    one, three = (qr.expectation_maximisation(n, patterns_of(f)) for n, f in ((NAMES, found), ([*NAMES, "g", "h"], twice)))
+    assert ("a", "g", "h") in three.opinions and len(three.opinions) == 6
+    assert all(np.allclose(one.accuracies[n], three.accuracies[n], atol=1e-6) for n in NAMES)
+
+
+def test_a_rule_worse_than_chance_has_no_weight():
+    model = qr.expectation_maximisation(NAMES, patterns_of(planted([*PLANTED[:5], (0.3, 0.3)])))
+    assert all(abs(w) < 1e-9 for w in model.weights()["f"])
+    assert qr.expectation_maximisation(NAMES, []).opinions == tuple((n,) for n in NAMES)
+
+
+def test_posterior_in_sql_is_that_of_the_model(spark):
+    names = list(qr.RULES)
+    rows = [("word " * 30 + "end.\n" + "a|b " * k + "\n" + "%% " * (k // 2),) for k in range(0, 60, 3)]
+    counted = qr.with_counts(spark.createDataFrame(rows, "text string"))
+    opinions = (tuple(names[:3]), *((n,) for n in names[3:]))
+    model = qr.RuleModel(0.8, {n: (0.9, 0.3 + k / 20) for k, n in enumerate(names)}, opinions)
+    for r in counted.select(*[F.expr(e).alias(n) for n, e in qr.RULES.items()], model.posterior().alias("p")).collect():
+        assert abs(r.p - 1 / (1 + np.exp(-model.odds(r.asDict())))) < 1e-12
+
+
 def labelled(spark, n=900):
     rng = random.Random(7)
     words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(800)]
