@@ -30,11 +30,13 @@ SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A word of marks only.
+LONE = r"(?<![^\x20\x09-\x0D])[!-/:-@\[-`{-~]++(?![^\x20\x09-\x0D])"
 SENTENCE_ENDS = (".", "!", "?", ":", ";", "…", "。", "！", "？", "\"", "”", "»", ")")
 WINDOW = 8
 FEATURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_shouts", "n_distinct",
-    "n_plain", "n_worded", "n_ended",
+    "n_marks", "n_lone", "n_ended",
 )
 LINES = {"n_lines": "n", "n_dup_lines": "d", "n_ended": "e"}
 #: Pseudo-votes of the prior, (right, wrong), on good and on bad documents, and pseudo-documents (good, bad).
@@ -53,8 +55,8 @@ def _vote(rate: str, good: str, bad: str) -> str:
 RULES = {
     "repeats": _vote("n_repeat_words / greatest(n_words, 1)", "< 0.1", "> 0.2"),
     "symbols": _vote("n_symbols / greatest(n_words, 1)", "< 0.02", "> 0.1"),
-    "plain": _vote("n_plain / greatest(word_chars, 1)", "> 0.9", "< 0.75"),
-    "worded": _vote("n_worded / greatest(n_words, 1)", "> 0.9", "< 0.8"),
+    "marks": _vote("n_marks / greatest(word_chars, 1)", "< 0.1", "> 0.25"),
+    "lone": _vote("n_lone / greatest(n_words, 1)", "< 0.1", "> 0.2"),
     "ends": f"CASE WHEN n_lines >= 3 THEN {_vote('n_ended / greatest(n_lines, 1)', '> 0.6', '< 0.1')} ELSE 0 END",
     "lines": f"CASE WHEN n_lines >= 3 THEN {_vote('n_dup_lines / greatest(n_lines, 1)', '= 0', '> 0.3')} ELSE 0 END",
     "capitals": _vote("n_capitals / greatest(word_chars, 1)", "< 0.2", "> 0.4"),
@@ -97,19 +99,15 @@ def counts(text: Column) -> Column:
         lines = let(lines, lambda x: F.struct(
             F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d"), F.size(F.filter(x, ended)).alias("e")
         ))
-        bare = let(F.translate(text, MARKS, ""), lambda x: F.struct(
-            F.length(F.translate(x, SPACES, "")).alias("n_plain"), F.size(F.array_remove(F.split(x, SPLIT), "")).alias("n_worded")
-        ))
         values = {
             "n_words": F.size(words), "word_chars": removed(SPACES), "n_symbols": F.length(text) - removed(SYMBOLS),
             "n_repeat_words": F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(let(windows, _repeat_words)),
             "n_capitals": F.length(text) - removed(CAPITALS), "n_shouts": F.length(text) - removed("!"),
-            "n_distinct": F.size(F.array_distinct(words)),
+            "n_distinct": F.size(F.array_distinct(words)), "n_marks": F.length(text) - removed(MARKS), "n_lone": F.regexp_count(text, F.lit(LONE)),
         }
-        return let(F.struct(lines.alias("lines"), bare.alias("bare")), lambda x: F.struct(*[
-            (x["lines"][LINES[name]] if name in LINES else values[name] if name in values else x["bare"][name]).cast("long").alias(name)
-            for name in FEATURES
-        ]))
+        return let(lines, lambda x: F.struct(*[
+            (x[LINES[name]] if name in LINES else values[name]).cast("long").alias(name) for name in FEATURES
+        ]))
 
     return let(F.array_remove(F.split(text, SPLIT), ""), of)
 

@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import string
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from extractkit.llm import quality_rules as qr
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute(text):
+def brute(text, own=None):
     text = text or ""
     words = WORD.findall(text)
     windows = collections.Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
@@ -24,12 +25,15 @@ def brute(text):
             repeated += line in seen
             seen.add(line)
     n = len(words)
+    marks = [c for c in text if c in string.punctuation]
+    lone = [w for w in words if all(c in string.punctuation for c in w)]
+    assert own is None or (own.n_marks, own.n_lone) == (len(marks), len(lone))
     return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeated, len(inside), n < 20 or 100 * len(inside) > 30 * n
 
 
 def check(frame):
     for r in qr.judged(frame).collect():
-        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(r.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(r.text, r)
         assert not (r.base_failed and r.kept)
 
 
@@ -37,7 +41,7 @@ def test_counts_equal_brute_force(spark):
     rng = random.Random(5)
     texts = []
     for _ in range(120):
-        words = [rng.choice(["a", "bb", "é#", "x|y", "\n", "\t", "\x0b", "\x1c", " "]) for _ in range(rng.randint(0, 90))]
+        words = [rng.choice(["a", "bb", "é#", "x|y", "|", "-!", "\n", "\t", "\x0b", "\x1c", " "]) for _ in range(rng.randint(0, 90))]
         texts.append((rng.choice([" ", "  ", "\n"]).join(words) * rng.randint(1, 2),))
     check(spark.createDataFrame(texts, "text string"))
 
