@@ -2,8 +2,8 @@
 
 A document is its tokens and an end id.  One longer than a sequence is cut into pieces of
 sequence length, whose last may be shorter; others stay whole.  Pieces that fill a sequence
-are sequences already.  The rest is dealt to tasks by a hash, so each task sees the same mix
-of lengths, and each packs its share: it opens a sequence with the longest piece left, adds
+are sequences already.  The rest is dealt to tasks in turn, so each task sees the same mix
+of lengths, equal pieces are spread too, and each packs its share: it opens a sequence with the longest piece left, adds
 the longest piece that fits as long as one does, and then, if there is a gap, takes the
 smallest piece out again if two unpacked pieces fit the widened gap more tightly.  A task
 leaves at most about one sequence half full, so the loss against packing everything at once
@@ -191,13 +191,13 @@ def pack(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: a place for each, gapless from 0.
 
     ``pieces`` has the columns of :func:`token_pieces` and is written to the shared scratch
-    folder, since its number of rows decides the number of tasks.  Only these five numbers a
+    folder, since its number of rows decides the number of tasks; a task that deals them again after a
+    loss reads the same rows, which Spark sorts first, and deals them alike.  Only these five numbers a
     piece move; no token does.
     """
     pieces = stored(pieces, "pieces")
     tasks = max(1, -(-pieces.count() // PIECES_PER_TASK))
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
-    return dealt.mapInArrow(_packed(length), PIECES + ", sequence_id long, offset long")
+    return pieces.repartition(tasks).mapInArrow(_packed(length), PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(documents: DataFrame, vocabulary_path: str, end_id: int = 0, length: int = LENGTH) -> DataFrame:

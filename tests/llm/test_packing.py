@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from extractkit.llm import packing
 from extractkit.llm.packing import WordIds, pack_documents, pack_lengths
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -56,3 +57,15 @@ def test_documents(docs):
 
 def test_no_documents(no_docs):
     assert pack_documents(no_docs, PATH).count() == 0
+
+
+def test_equal_rows_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", 50)
+    rows = spark.range(2000).selectExpr("cast(null as long) AS doc_id", "cast(null as string) AS text")
+    found = packing.pack_documents(rows, PATH).collect()
+    tasks = {}
+    for r in found:
+        tasks[r.sequence_id >> 40] = tasks.get(r.sequence_id >> 40, 0) + 1
+    assert len(found) == 2000 and len(tasks) == 40 and max(tasks.values()) <= 100
+    places = {(r.sequence_id, r.offset) for r in found}
+    assert len(places) == 2000 and {r.length for r in found} == {1}
