@@ -4,8 +4,8 @@ A text is split by the vocabulary's pattern.  A pre-token that is in the vocabul
 by one probe of a minimal perfect hash (hash and displace: keys fall into small groups, and
 each group, largest first, takes the first displacement that sends its keys to free slots, of
 which there are as many as keys; the token in the slot is compared).  Any other pre-token is a doubly linked list of bytes; a
-heap of (rank, place) gives the pair to merge next, lowest rank and then leftmost first, and
-the ranks of the pairs come from the same hash.
+heap of (rank, place) gives the pair to merge next, lowest rank and then leftmost first;
+the ranks of pairs are read from a plain dictionary of the vocabulary.
 """
 
 from __future__ import annotations

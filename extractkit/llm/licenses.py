@@ -1,22 +1,23 @@
 """License notices by conditional compression.
 
-A candidate block is a stretch of a text around two neighbouring words of a template, as long
-as that template and a fifth more on either side.  It is compressed by zstandard alone and with each template as raw
-dictionary; templates rank by how much smaller they make it.  Of the best ones, the wording is
-then compared word by word, and the differences (substituted, added or left-out words) are the
-result.  A notice counts if at most a fifth of the template's words differ and none of the
-words that name the license and its version does.  Of overlapping notices the one with most
-words as in its template stays.  SPDX lines name their licenses themselves and are read by a pattern.
-
-Any such notice of a template of five words or more keeps two neighbouring words, so the
-search for blocks loses none.  It also keeps all naming words, and one of any k + 1 others if
-k may differ; a text without these is passed over before Python, by plain substring search.
+A candidate block is a stretch of a text that keeps enough neighbouring words of some template,
+near each other, to be its wording with at most a fifth of the words changed; it is as long as that template and a fifth
+more on either side.  Which words name a license plays no part here.  The block is compressed by zstandard alone and with
+each template as raw dictionary, and templates rank by how many bytes they save.  In that order they are compared word by
+word, and the first that is confirmed wins the block; the differences (substituted, added or left-out words) are the result.  It is confirmed
+if at most a fifth of its words differ and none of the words that name the license and its version does.  Of overlapping notices the one
+that saves most bytes stays.  SPDX lines name their licenses themselves; they are read by a pattern and reported as a kind of their own.
+
+No block is lost: a change breaks at most two pairs of neighbouring words and moves what follows by at most one place, so with k
+changes in n words n - 1 - 2k pairs stay, k places apart at most.  Likewise a text without any of k + 1 words of each
+template is passed over before Python, by plain substring search.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -92,11 +93,11 @@ WORDINGS = [
 _SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+() \t-]+)", re.IGNORECASE)
 #: An id, not an operator nor the exception after WITH.
 _SPDX_ID = re.compile(r"\bWITH[ \t]+\S+|\b(?:AND|OR)\b|([A-Za-z0-9][A-Za-z0-9.+-]*)")
-#: Templates within so many bytes of the best are compared word by word.
-MARGIN = 4
 SHARE = 0.2
+#: Too frequent in any English text to tell that a notice may be there.
+FREQUENT = frozenset("a all an and any are be by can following for from has have in into is may must not of on or other our that the this to under use used with without work you".split())
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
-OUTPUT = "doc_id long, license string, start long, end long, n_changes int, changes array<string>, saved double"
+OUTPUT = "doc_id long, license string, kind string, start long, end long, n_changes int, changes array<string>, saved_bytes int"
 
 
 def words_of(text: str) -> list[tuple[str, int, int]]:
@@ -139,11 +140,11 @@ def _spdx(text: str) -> list[tuple]:
         behind = line.start(1)
         for m in _SPDX_ID.finditer(line[1]):
             # Words after a whole expression are no part of it.
-            if m[1] and found and found[-1][1] >= line.start(1) and not re.search(r"\b(AND|OR)\b", text[behind : line.start(1) + m.start()]):
+            if m[1] and found and found[-1][2] >= line.start(1) and not re.search(r"\b(AND|OR)\b", text[behind : line.start(1) + m.start()]):
                 break
             if m[1]:
                 behind = line.start(1) + m.end()
-                found.append((m[1].rstrip("."), line.start(1) + m.start(1), line.start(1) + m.start(1) + len(m[1].rstrip(".")), 0, (), 1.0))
+                found.append((m[1].rstrip("."), "spdx", line.start(1) + m.start(1), line.start(1) + m.start(1) + len(m[1].rstrip(".")), 0, (), None))
     return found
 
 
@@ -166,73 +167,107 @@ class LicenseScanner:
         ]
 
     def scan(self, text: str) -> list[tuple]:
-        """``(license, start, end, n_changes, changes, saved)`` of the notices of a whole text, in order, none overlapping."""
+        """``(license, kind, start, end, n_changes, changes, saved_bytes)`` of the notices of a whole text, in order, none overlapping."""
         words = words_of(text)
         plain = [w for w, _, _ in words]
-        there = set(plain)
-        live = {k for k, (_, names) in enumerate(self.templates) if names <= there}
-        blocks = set()
-        for i, pair in enumerate(zip(plain, plain[1:]) if live else ()):
-            for k, at in self.pairs.get(pair, ()):
-                if k in live:
-                    n = len(self.templates[k][0])
-                    slack = int(SHARE * n)
-                    blocks.add((max(0, i - at - slack), min(len(words), i - at + n + slack)))
-        found = [notice for low, high in sorted(blocks) for notice in self._best(text, words, plain, low, high, live)]
+        found = {self._best(text, words, plain[low:high], low) for low, high in self.blocks(plain)} - {None}
         out = _spdx(text)
-        for _, notice in sorted(set(found), key=lambda x: (-x[0], x[1][3], -(x[1][2] - x[1][1]), x[1][1], x[1][0])):
-            if all(notice[2] <= o[1] or notice[1] >= o[2] for o in out):
+        for notice in sorted(found, key=lambda x: (-x[6], x[4], x[2], x[3], x[0])):
+            if all(notice[3] <= o[2] or notice[2] >= o[3] for o in out):
                 out.append(notice)
-        return sorted(out, key=lambda x: x[1])
-
-    def _best(self, text: str, words: list, plain: list[str], low: int, high: int, live: set[int]) -> list[tuple]:
-        """Notices of a block, each after the number of words that are as in its template."""
-        names_here = set(plain[low:high])
-        live = [k for k in sorted(live) if self.templates[k][1] <= names_here]
-        if not live:
-            return []
-        block = text[words[low][1] : words[high - 1][2]].lower().encode()
+        return sorted(out, key=lambda x: x[2])
+
+    def blocks(self, plain: list[str]) -> set[tuple[int, int]]:
+        """Stretches of words that keep enough neighbouring words of some template."""
+        shifts: dict[int, list[int]] = defaultdict(list)
+        for i, pair in enumerate(zip(plain, plain[1:])):
+            for k, at in self.pairs.get(pair, ()):
+                shifts[k].append(i - at)
+        out = set()
+        for k, places in shifts.items():
+            n = len(self.templates[k][0])
+            slack = int(SHARE * n)
+            least = n - 1 - 2 * slack
+            places.sort()
+            behind = -1
+            for at in range(len(places) - least + 1):
+                # The pairs of one notice lie within ``slack`` places; each of them gives a block.
+                if places[at + least - 1] - places[at] <= slack:
+                    top = bisect_right(places, places[at] + slack)
+                    out.update((max(0, p - slack), min(len(plain), p + n + slack)) for p in set(places[max(at, behind) : top]))
+                    behind = top
+        return out
+
+    def sizes(self, block: bytes) -> list[int]:
+        """The block compressed with each template as dictionary."""
+        return [len(given.compress(block)) for given in self.given]
+
+    def _best(self, text: str, words: list, plain: list[str], low: int) -> tuple | None:
+        """The notice of a block: the first by rank that its words confirm."""
+        block = text[words[low][1] : words[low + len(plain) - 1][2]].lower().encode()
         alone = len(self.plain.compress(block))
-        sizes = {k: len(self.given[k].compress(block)) for k in live}
-        best = min(sizes.values())
-        out = []
-        for k, size in sizes.items():
-            template, names = self.templates[k]
-            if size > best + MARGIN or size >= alone:
-                continue
-            first, end, changes = differences(template, plain[low:high])
-            lost = {c.split(">")[0].lstrip("-") for c in changes if not c.startswith("+")}
-            if len(changes) <= SHARE * len(template) and not lost & names:
-                out.append((len(template) - len(changes), (self.licenses[k], words[low + first][1], words[low + end - 1][2], len(changes), tuple(changes), round(1 - size / alone, 6))))
+        there = set(zip(plain, plain[1:]))
+        ranks = defaultdict(list)
+        for k, size in enumerate(self.sizes(block)):
+            if size < alone:
+                ranks[size].append(k)
+        for size in sorted(ranks):
+            found = []
+            for k in ranks[size]:
+                template = self.templates[k][0]
+                # With fewer pairs kept, more than may change has changed.
+                kept = sum(pair in there for pair in zip(template, template[1:]))
+                notice = self.confirmed(k, plain) if kept >= len(template) - 1 - 2 * int(SHARE * len(template)) else None
+                if notice:
+                    first, end, changes = notice
+                    found.append((self.licenses[k], "wording", words[low + first][1], words[low + end - 1][2], len(changes), tuple(changes), alone - size))
+            if found:
+                return min(found, key=lambda x: (x[4], x[2] - x[3], x[0]))
+        return None
+
+    def confirmed(self, k: int, plain: list[str]) -> tuple[int, int, list[str]] | None:
+        """Place and changes of template ``k`` in a block, if it is that license's wording."""
+        template, names = self.templates[k]
+        first, end, changes = differences(template, plain)
+        lost = {c.split(">")[0].lstrip("-") for c in changes if not c.startswith("+")}
+        return (first, end, changes) if len(changes) <= SHARE * len(template) and not lost & names else None
+
+    def needed(self) -> list[str]:
+        """Words of which every text with a notice holds one: of each template more than may change in it."""
+        open_ = {k: [int(SHARE * len(words)) + 1, Counter(words)] for k, (words, _) in enumerate(self.templates)}
+        out: list[str] = []
+        while open_:
+            # A longer word holds a shorter one that is part of it, so the shorter one stands for both.
+            every = {w for _, words in open_.values() for w in words if w not in FREQUENT and len(w) > 2} or {w for _, words in open_.values() for w in words}
+            gain = {w: sum(min(least, sum(n for x, n in words.items() if w in x)) for least, words in open_.values()) for w in every}
+            word = min(gain, key=lambda w: (-gain[w], -len(w), w))
+            out.append(word)
+            for k, (least, words) in list(open_.items()):
+                least -= sum(n for x, n in words.items() if word in x)
+                if least <= 0:
+                    del open_[k]
+                else:
+                    open_[k] = [least, Counter({x: n for x, n in words.items() if word not in x})]
         return out
 
 
 def scan_licenses(documents: DataFrame, templates: dict = TEMPLATES, wordings: list = WORDINGS) -> DataFrame:
-    """A row for each notice: document, license, place (characters from 0), changed words, share of bytes saved.
+    """A row for each notice: document, license, kind (``wording`` or ``spdx``), place (characters from 0), changed words, bytes saved.
 
     Null, empty and other texts without a notice give no rows; repeated rows give theirs each;
     a null ``doc_id`` stays null; other columns are ignored.
     """
     small_batches(documents.sparkSession)
     low = F.lower("text")
-    groups = defaultdict(lambda: F.lit(False))
-    for words, names in LicenseScanner(templates, wordings).templates:
-        least = int(SHARE * len(words)) + 1
-        others = sorted(set(words) - names, key=lambda w: (-len(w), w))[:least]
-        first, *rest = sorted(names, key=lambda w: (-len(w), w))
-        kept = reduce(Column.__and__, [low.contains(w) for w in rest], F.lit(True))
-        some = reduce(Column.__or__, [low.contains(w) for w in others], F.lit(len(others) < least))
-        groups[first] = groups[first] | (kept & some)
-    possible = low.contains("spdx-license-identifier:")
-    for first, found in groups.items():
-        possible = possible | (low.contains(first) & found)
+    needed = ["spdx-license-identifier:", *LicenseScanner(templates, wordings).needed()]
+    possible = reduce(Column.__or__, [low.contains(w) for w in needed if not any(x != w and x in w for x in needed)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = LicenseScanner(templates, wordings)
         for batch in batches:
             rows = [(d, *n) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()) for n in scanner.scan(t)]
-            columns = list(zip(*rows)) or [()] * 7
-            types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.float64())
+            columns = list(zip(*rows)) or [()] * 8
+            types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], [f.split()[0] for f in OUTPUT.split(", ")])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from extractkit.llm import topk, urls
 from extractkit.llm.chat import ChatFormat
-from extractkit.llm.licenses import TEMPLATES, differences, scan_licenses
+from extractkit.llm.licenses import SHARE, TEMPLATES, WORDINGS, LicenseScanner, differences, scan_licenses, words_of
 from extractkit.llm.topk import quantised, top_k
 
 
@@ -118,7 +118,54 @@ def test_license_notices_as_in_use(spark):
     frame = spark.createDataFrame([(i, f"Some words before.\n{text}\nAnd after.") for i, text in enumerate(rows.values())], "doc_id long, text string")
     assert [(r.doc_id, r.license) for r in scan_licenses(frame).orderBy("doc_id", "start").collect()] == list(enumerate(rows))
     lines = spark.createDataFrame([(1, "# SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0 import os"), (2, "Permission to use this is granted.")], "doc_id long, text string")
-    assert [r.license for r in scan_licenses(lines).orderBy("start").collect()] == ["MIT", "Apache-2.0", "GPL-2.0-only"]
+    assert [(r.license, r.kind, r.saved_bytes) for r in scan_licenses(lines).orderBy("start").collect()] == [(x, "spdx", None) for x in ("MIT", "Apache-2.0", "GPL-2.0-only")]
+
+
+def test_license_rank_against_all_templates():
+    """Changed wordings among words of their own kind: found if and only if some template, compared word by word with the whole text, is there."""
+    rng, scanner = random.Random(3), LicenseScanner(TEMPLATES, WORDINGS)
+    wordings = [text for text, _ in TEMPLATES.values()] + [text for _, text, _ in WORDINGS]
+    others = "alpha beta of the license software public under".split()
+    n_found = 0
+    for _ in range(300):
+        k = rng.randrange(len(wordings))
+        words = wordings[k].split()
+        for _ in range(rng.randint(0, int(SHARE * len(words)))):
+            at = rng.randrange(len(words))
+            words[at : at + rng.choice([0, 1, 1])] = rng.choice([[], [rng.choice(others)]])
+        text = " ".join(rng.choices(others, k=20) + words + rng.choices(others, k=20))
+        plain = [w for w, _, _ in words_of(text)]
+        every = {scanner.licenses[t] for t in range(len(scanner.templates)) if scanner.confirmed(t, plain)}
+        found = {notice[0] for notice in scanner.scan(text)}
+        assert found <= every and bool(found) == bool(every), (text, found, every)
+        assert not every or any(word in text.lower() for word in scanner.needed())
+        n_found += bool(found)
+    assert n_found > 100
+
+
+def test_license_rank_decides(monkeypatch):
+    """Where several templates pass the word comparison, the bytes saved choose among them."""
+    scanner = LicenseScanner(TEMPLATES, WORDINGS)
+    affero = next(text for name, text, _ in WORDINGS if name.startswith("AGPL"))
+    endorse = next(text for name, text, _ in WORDINGS if name == "BSD-3-Clause").replace("the names of", "names of")
+    texts = {"AGPL-3.0-or-later": affero, "BSD-3-Clause": endorse}
+    for name, text in texts.items():
+        passed = {scanner.licenses[k] for k in range(len(scanner.templates)) if scanner.confirmed(k, [w for w, _, _ in words_of(text)])}
+        assert passed - {name} and [x[0] for x in scanner.scan(text)] == [name]
+    sizes = scanner.sizes
+    monkeypatch.setattr(scanner, "sizes", lambda block: [2 * min(sizes(block)) - x for x in sizes(block)])  # the least similar first
+    assert all([x[0] for x in scanner.scan(text)] != [name] for name, text in texts.items())
+    monkeypatch.setattr(scanner, "sizes", lambda block: [10] * len(scanner.templates))
+    assert [x[0] for x in scanner.scan(endorse)] != ["BSD-3-Clause"]
+
+
+def test_license_blocks_are_blind_to_names():
+    """A block is found without the words that name the license; the word comparison then refuses it."""
+    scanner = LicenseScanner(TEMPLATES, WORDINGS)
+    for name, (text, _) in TEMPLATES.items():
+        if name in ("Apache-2.0", "GPL-3.0", "BSD-3-Clause"):
+            plain = [w for w, _, _ in words_of(text.replace("Apache", "Foo").replace("GNU", "Foo").replace("BSD", "Foo"))]
+            assert scanner.blocks(plain) and not scanner.scan(" ".join(plain))
 
 
 def test_chat_round_trip(spark):
