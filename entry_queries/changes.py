@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from extractkit.operators import checks, upsert as up
@@ -103,6 +105,34 @@ def upsert_duplicate_targets(spark, folder):
     return merged.groupBy("l_orderkey", "note").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query(
+    """
+    WITH source AS (
+      SELECT o_orderkey AS k FROM orders WHERE o_orderstatus = 'O'
+      UNION ALL SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'
+      UNION ALL SELECT o_orderkey + 100000000 FROM orders WHERE o_orderstatus = 'P'
+      UNION ALL SELECT CAST(NULL AS BIGINT) FROM orders WHERE o_orderstatus = 'P'),
+    target AS (SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey END AS k FROM lineitem)
+    SELECT CAST((SELECT count(*) FROM target WHERE k IN (SELECT k FROM source WHERE k IS NOT NULL)) AS BIGINT) AS updated,
+      CAST((SELECT count(*) FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.k = t.k)) AS BIGINT) AS kept,
+      CAST((SELECT count(*) FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE s.k = t.k)) AS BIGINT) AS inserted,
+      CAST((SELECT count(*) FROM (SELECT k FROM source WHERE k IN (SELECT k FROM target WHERE k IS NOT NULL) GROUP BY k HAVING count(*) > 1)) AS BIGINT) AS ambiguous
+    """
+)
+def upsert_outcomes(spark, folder):
+    """How many rows an upsert would update, keep and insert, and the keys it would be refused for."""
+    orders = load(spark, folder, "orders")
+    pending = orders.where("o_orderstatus = 'P'")
+    sources = [
+        orders.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("k")),
+        orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("k")),
+        pending.select((F.col("o_orderkey") + 100000000).alias("k")),
+        pending.select(F.lit(None).cast("long").alias("k")),
+    ]
+    target = load(spark, folder, "lineitem").select(F.when(F.col("l_linenumber") < 7, F.col("l_orderkey")).alias("k"))
+    return up.upsert_outcomes(target, reduce(lambda a, b: a.unionByName(b), sources), "k")
+
+
 _LATEST = """
     SELECT user_id, event_id, event_type, value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events) WHERE place = 1

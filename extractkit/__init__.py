@@ -1,7 +1,7 @@
 """Extract, check, sync and query tabular data with Spark."""
 
 from .operators.paging import number_rows, page, plan_chunks, row_cap
-from .operators.upsert import upsert
+from .operators.upsert import upsert, upsert_outcomes
 from .plans.copy import copy_query
 from .plans.sync import copy_table, sync_query
 from .sinks.parts import verify_parts, write_parts
@@ -20,6 +20,7 @@ __all__ = [
     "row_cap",
     "sync_query",
     "upsert",
+    "upsert_outcomes",
     "verify_parts",
     "write_parts",
 ]

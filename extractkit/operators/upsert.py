@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import DuplicateKeyError
+from ..session import stored
 from .checks import require_same_columns
 from .filters import require_columns
 
@@ -32,19 +33,51 @@ def latest_per_key(df: DataFrame, keys, order_col: str) -> DataFrame:
     return picked.unionByName(df.where(null_key))
 
 
-def ambiguous_source_keys(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Keys that occur several times in the source and at least once in the target."""
+def _per_key(df: DataFrame, names: list[str], count: str) -> DataFrame:
+    return df.groupBy(*names).agg(F.count(F.lit(1)).alias(count))
+
+
+def source_matches(target: DataFrame, source: DataFrame, keys, within: str | None = None) -> DataFrame:
+    """The source's keys that the target holds, with ``_n_source`` and ``_n_target`` rows of each.
+
+    Reads the key columns only, each side once.  Copies of a source key are counted before the
+    join, so a frequent key meets the target's rows once; the answer is no larger than the keys
+    of the source.  With ``within`` (a column of the target) rows are counted by it as well.
+    """
     names = require_columns(source, keys)
-    repeated = source.where(~has_null_key(names)).groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.join(target.select(*names), names, "left_semi").select(*names)
+    extra = [within] if within else []
+    counted = _per_key(source.where(~has_null_key(names)), names, "_n_source")
+    hits = target.where(~has_null_key(names)).select(*names, *extra).join(counted, names)
+    return _per_key(hits, [*names, *extra, "_n_source"], "_n_target")
 
 
-def require_unambiguous(target: DataFrame, source: DataFrame, keys) -> None:
-    row = ambiguous_source_keys(target, source, keys).limit(1).collect()
+def require_unambiguous(matches: DataFrame, keys: list[str]) -> None:
+    """``matches`` of :func:`source_matches` with several source rows for one key are refused."""
+    row = matches.where("_n_source > 1").select(*keys).limit(1).collect()
     if row:
         raise DuplicateKeyError(f"Several source rows match one target key: {row[0].asDict()}")
 
 
+def upsert_outcomes(target: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """What an upsert would do, as one row of counts, without doing it.
+
+    ``updated`` and ``kept`` target rows, ``inserted`` source rows, and ``ambiguous`` keys, for
+    which the upsert would be refused.  Rows with a NULL key are kept or inserted.  Both sides are
+    counted per key before one full join of the counts, so no frequent key meets another.
+    """
+    names = require_columns(source, keys)
+    require_columns(target, names)
+    both = _per_key(target, names, "_n_target").join(_per_key(source, names, "_n_source"), names, "full_outer")
+    old, new = F.col("_n_target"), F.col("_n_source")
+    counts = {
+        "updated": F.when(new.isNotNull(), old),
+        "kept": F.when(new.isNull(), old),
+        "inserted": F.when(old.isNull(), new),
+        "ambiguous": F.when(old.isNotNull() & (new > 1), 1),
+    }
+    return both.agg(*[F.coalesce(F.sum(value), F.lit(0)).cast("long").alias(name) for name, value in counts.items()])
+
+
 def updated_rows(target: DataFrame, source: DataFrame, keys, newer_than: str | None = None) -> DataFrame:
     """The target rows with matched ones overwritten, NULL source values included.
 
@@ -71,11 +104,11 @@ def updated_rows(target: DataFrame, source: DataFrame, keys, newer_than: str | N
     return joined.select(*values).unionByName(target.where(null_key))
 
 
-def inserted_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Source rows without a match; rows with a NULL key always belong here."""
+def inserted_rows(matches: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """Source rows whose key is not in ``matches``; rows with a NULL key always belong here."""
     names = require_columns(source, keys)
     null_key = has_null_key(names)
-    fresh = source.where(~null_key).join(target.where(~null_key).select(*names), names, "left_anti")
+    fresh = source.where(~null_key).join(matches.select(*names).distinct(), names, "left_anti")
     return fresh.unionByName(source.where(null_key))
 
 
@@ -95,6 +128,9 @@ def upsert(
     source to one row per key by ``order_col``; the default refuses a source with
     several rows for one matched key.  ``newer_than`` overwrites only when the
     source value of that column is larger.
+
+    The matched keys are found first, from the key columns alone, and put aside; refusals and
+    insertions are read from them, so whole target rows are read once, for the update.
     """
     require_columns(source, keys)
     require_same_columns(source, target)
@@ -102,12 +138,13 @@ def upsert(
         if order_col is None:
             raise ValueError("on_duplicate='latest' needs order_col.")
         source = latest_per_key(source, keys, order_col)
-    elif on_duplicate == "error":
-        require_unambiguous(target, source, keys)
-    else:
+    elif on_duplicate != "error":
         raise ValueError("on_duplicate must be 'error' or 'latest'.")
     source = source.select(*target.columns)
-    return updated_rows(target, source, keys, newer_than).unionByName(inserted_rows(target, source, keys))
+    matches = stored(source_matches(target, source, keys), "upsert-matches")
+    if on_duplicate == "error":
+        require_unambiguous(matches, require_columns(source, keys))
+    return updated_rows(target, source, keys, newer_than).unionByName(inserted_rows(matches, source, keys))
 
 
 # --- row changes by condition ---------------------------------------------------

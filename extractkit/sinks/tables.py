@@ -16,17 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import ConcurrentCommitError, DuplicateKeyError, ToolkitError
+from ..errors import ConcurrentCommitError, ToolkitError
 from ..functions.naming import check_identifier
 from ..operators.checks import require_same_columns
 from ..operators.filters import require_columns
 from ..operators.merge import MergeSpec, matched_rows, new_rows, require_single_match, touched_rows
 from ..operators.upsert import (
-    ambiguous_source_keys,
     delete_where,
     has_null_key,
     inserted_rows,
     latest_per_key,
+    require_unambiguous,
+    source_matches,
     update_where,
     updated_rows,
 )
@@ -242,34 +243,29 @@ class ManagedTables:
             )
         # The source is read several times below; write it once, where every
         # executor can reach it.
-        staged_path = scratch_path(self.spark, f"staged-{name}")
-        self._aligned(source, current).write.parquet(staged_path)
+        base = scratch_path(self.spark, f"staged-{name}")
+        self._aligned(source, current).write.parquet(f"{base}/source")
         try:
-            staged = self.spark.read.schema(current.columns).parquet(staged_path)
+            staged = self.spark.read.schema(current.columns).parquet(f"{base}/source")
             if staged.isEmpty():
                 return current
-            return self._upsert_staged(name, current, staged, names, on_duplicate, newer_than, batch)
+            return self._upsert_staged(name, current, staged, f"{base}/matches", names, on_duplicate, newer_than, batch)
         finally:
-            self.files.delete(staged_path)
+            self.files.delete(base)
 
-    def _upsert_staged(self, name, current, staged, names, on_duplicate, newer_than, batch) -> Version:
+    def _upsert_staged(self, name, current, staged, matches_path, names, on_duplicate, newer_than, batch) -> Version:
         table = self._open(name, current.columns, current.files)
+        keyed = table.select(*names, F.col("_metadata.file_name").alias("_file") if current.files else F.lit("").alias("_file"))
+        matches = source_matches(keyed, staged, names, within="_file")
+        matches.write.parquet(matches_path)
+        matches = self.spark.read.schema(matches.schema).parquet(matches_path)
         if on_duplicate == "error":
-            row = ambiguous_source_keys(table, staged, names).limit(1).collect()
-            if row:
-                raise DuplicateKeyError(f"Several source rows match one target key: {row[0].asDict()}")
+            require_unambiguous(matches, names)
         others = [c for c in current.columns.names if c not in names]
-        touched: set[str] = set()
-        if others and current.files:
-            matched = (
-                table.select(*names, F.col("_metadata.file_name").alias("_file"))
-                .where(~has_null_key(names))
-                .join(staged.select(*names), names, "left_semi")
-            )
-            touched = {row["_file"] for row in matched.select("_file").distinct().collect()}
+        touched = {row["_file"] for row in matches.select("_file").distinct().collect()} if others else set()
         stay = [f for f in current.files if f.rsplit("/", 1)[-1] not in touched]
         redo = [f for f in current.files if f.rsplit("/", 1)[-1] in touched]
-        added = inserted_rows(table, staged, names)
+        added = inserted_rows(matches, staged, names)
         if redo:
             added = updated_rows(self._open(name, current.columns, redo), staged, names, newer_than).unionByName(added)
         files = self._write(name, added)

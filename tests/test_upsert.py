@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from extractkit.errors import ConcurrentCommitError, DuplicateKeyError, MissingKeyError, SchemaMismatchError, ToolkitError
-from extractkit.operators.upsert import delete_where, latest_per_key, update_where, upsert
+from extractkit.operators.upsert import delete_where, latest_per_key, source_matches, update_where, upsert, upsert_outcomes
 from extractkit.plans.sync import copy_table, sync_query
 from extractkit.sinks.tables import ManagedTables
 
@@ -50,6 +50,29 @@ def test_upsert_refusals(spark, tables):
     assert tables.version("t").number == 1
 
 
+def test_outcomes_equal_what_the_upsert_does(spark):
+    target, source = frame(spark, TARGET), frame(spark, SOURCE)
+    assert upsert_outcomes(target, source, "id").first().asDict() == {"updated": 3, "kept": 1, "inserted": 3, "ambiguous": 0}
+    assert upsert(target, source, "id").count() == 7
+    twice = frame(spark, [("1", "x"), ("1", "y"), ("2", "z")])
+    assert upsert_outcomes(target, twice, "id").first().asDict() == {"updated": 2, "kept": 2, "inserted": 1, "ambiguous": 1}
+    assert upsert_outcomes(frame(spark, []), frame(spark, []), "id").first().asDict() == {"updated": 0, "kept": 0, "inserted": 0, "ambiguous": 0}
+    pairs = "id string, line int, v string"  # a key of two columns, NULL in one of them
+    left, right = frame(spark, [("1", 1, "a"), ("1", None, "b")], pairs), frame(spark, [("1", 1, "A"), ("1", None, "B")], pairs)
+    assert rows(upsert(left, right, ["id", "line"])) == sorted([("1", 1, "A"), ("1", None, "B"), ("1", None, "b")], key=repr)
+    assert upsert_outcomes(left, right, ["id", "line"]).first().asDict() == {"updated": 1, "kept": 1, "inserted": 1, "ambiguous": 0}
+
+
+def test_frequent_keys_are_counted_before_they_meet(spark):
+    """10,000 target and 10,000 source rows of one key are one row of matches; the target's other columns are not read for it."""
+    target = spark.range(10_000).select(F.lit("1").alias("id"), F.col("id").cast("string").alias("v"))
+    found = source_matches(target, target, "id")
+    assert rows(found) == [("1", 10_000, 10_000)]
+    assert "AS v#" not in found._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(DuplicateKeyError):
+        upsert(target, target, "id")
+
+
 def test_empty_source_and_key_only_table(spark, tables):
     tables.create("t", frame(spark, TARGET))
     assert tables.upsert("t", frame(spark, []), "id").number == 1
