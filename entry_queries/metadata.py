@@ -294,6 +294,33 @@ def copy_plan(spark, folder):
     return catalog.plan_copies(requests, source, destination)
 
 
+_ENDINGS = ("", ".xdo", ".XDM", ".xss/", ".zip", ".xdo.bak", ".xdo/x")
+_ENDED = "CASE p_partkey % 7 " + " ".join(f"WHEN {i} THEN '{ending}'" for i, ending in enumerate(_ENDINGS)) + " END"
+
+
+@query(
+    f"""
+    WITH objects AS (SELECT 'Shared/' || p_partkey || '.' || p_name || {_ENDED} AS asked, p_partkey, p_size FROM part),
+    paths AS (SELECT '/' || CASE WHEN asked LIKE '%/' THEN left(asked, length(asked) - 1) ELSE asked END AS path, p_partkey, p_size FROM objects)
+    SELECT object_type, action, CAST(count(*) AS BIGINT) AS requests, min(source_path) AS first_path FROM (
+      SELECT path AS source_path,
+        CASE p_partkey % 7 WHEN 1 THEN 'xdoz' WHEN 2 THEN 'xdmz' WHEN 3 THEN 'xssz' ELSE 'unknown' END AS object_type,
+        CASE WHEN p_size <= 10 THEN 'SOURCE_MISSING' WHEN p_size > 40 AND p_partkey % 2 = 1 THEN 'BLOCKED_DESTINATION_EXISTS'
+             WHEN p_size > 40 THEN 'REPLACE' ELSE 'CREATE' END AS action FROM paths)
+    GROUP BY object_type, action
+    """
+)
+def copy_plan_archives(spark, folder):
+    """Copies of archives of each kind, of other files, and of names that only look like archives."""
+    asked = F.concat(F.lit("Shared/"), F.col("p_partkey").cast("string"), F.lit("."), "p_name", F.expr(_ENDED))
+    objects = load(spark, folder, "part").select(asked.alias("source_path"), F.concat(F.lit("/backup/"), asked).alias("destination_path"), "p_partkey", "p_size")
+    requests = objects.select("source_path", "destination_path", (F.col("p_partkey") % 2 == 0).alias("overwrite"))
+    source = objects.where("p_size > 10").select(F.col("source_path").alias("absolute_path"))
+    destination = objects.where("p_size > 40").select(F.col("destination_path").alias("absolute_path"))
+    planned = catalog.plan_copies(requests, source, destination)
+    return planned.groupBy("object_type", "action").agg(F.count(F.lit(1)).alias("requests"), F.min("source_path").alias("first_path"))
+
+
 @query(
     """
     SELECT path, path IN ('/', '/Custom/', '/shared folders') OR path LIKE '/~%' AS protected FROM (
