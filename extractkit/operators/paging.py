@@ -131,14 +131,16 @@ def _boundary(counts: list[tuple[int, int]], max_rows: int) -> tuple[int, int] |
 def _cut_by_hash(df: DataFrame, max_rows: int) -> DataFrame:
     place = F.shiftright(content_hashes(df)[0], 48)
     placed = df.withColumn("_bucket", place)
-    found = _boundary([tuple(r) for r in placed.groupBy("_bucket").count().collect()], max_rows)
+    counts = [tuple(r) for r in placed.groupBy("_bucket").count().collect()]
+    found = _boundary(counts, max_rows)
     if found is None:
         return df
     edge, rest = found
     whole = placed.where(F.col("_bucket") < edge).drop("_bucket")
     if not rest:
         return whole
-    cut = _order_copies(placed.where(F.col("_bucket") == edge), df.sparkSession.sparkContext.defaultParallelism, F.lit(0))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    cut = _order_copies(placed.where(F.col("_bucket") == edge), max(cores, bucket_count(dict(counts)[edge], cores)), F.lit(0))
     return whole.unionByName(cut.where(F.col("_row_no") < rest).drop("_row_no"))
 
 
@@ -429,7 +431,8 @@ def _order_copies(df: DataFrame, spread: int, bucket_starts: Column) -> DataFram
     )
     zero, step = F.lit(0).cast("bigint"), F.lit(COPIES_PER_BLOCK).cast("bigint")
     blocks = placed.withColumn("_block", F.explode(F.sequence(zero, F.col("_copies") - 1, step)))
-    blocks = blocks.repartition(F.col("_first") + F.col("_block"))
+    # By number: blocks are few and small until they are laid out, so left to its sizes Spark would put all of them in one task.
+    blocks = blocks.repartition(spread, F.col("_first") + F.col("_block"))
     last = F.least(F.col("_copies"), F.col("_block") + COPIES_PER_BLOCK) - 1
     return blocks.select(
         *columns, F.explode(F.sequence(F.col("_first") + F.col("_block"), F.col("_first") + last)).alias("_row_no")

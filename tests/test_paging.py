@@ -213,3 +213,11 @@ def test_seams_of_many_chunks(spark, monkeypatch):
     steps = list(itertools.pairwise(values))
     assert found.order_violations == sum(a > b for a, b in steps) and found.adjacent_duplicates == sum(a == b for a, b in steps)
     assert (found.rows, found.chunks, found.duplicate_keys) == (26, 13, sum(values.count(v) > 1 for v in set(values)))
+
+
+def test_copies_of_a_frequent_key_are_laid_out_by_many_tasks(spark):
+    rows = spark.range(400_000).select((F.col("id") % 2).alias("k"), (F.col("id") % 3).alias("v"))
+    numbered = number_rows(rows, "k", buckets=8)
+    held = numbered.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count"), F.sum("count")).first()
+    assert held[1] == 400_000 and held[0] < 250_000  # one task held all of them
+    assert numbered.agg(F.count_distinct("row_no")).first()[0] == 400_000
