@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and splits skewed
-# partitions at run time; UTC keeps timestamp text stable.
+# partitions at run time; UTC keeps timestamp text stable; rows with long texts
+# reach Python in batches of a few MB.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
+# Rows of a task where the work per row is heavy: a compact table packs millions into one split.
+ROWS_PER_TASK = 100_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SESSION_SETTINGS` to an existing session."""
@@ -37,14 +43,15 @@ def local_session(app_name: str = "extractkit", cores: int | str = "*", **conf:
     return configure(builder.getOrCreate())
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
     """Use all cores for expensive work on rows read from few files.
 
     Only for a plain scan.  One that already has a partition per core, as any large
-    table does, is left alone; the keys make the new places repeatable.
+    table does, is left alone; the keys make the new places repeatable.  Where the number of ``rows`` is
+    told, there is also one for each :data:`ROWS_PER_TASK` of them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, *keys)
 
 
 def scratch_root(spark: SparkSession) -> str:

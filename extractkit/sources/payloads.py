@@ -39,15 +39,29 @@ def _named(name: str) -> str:
     return f"//*[translate(local-name(), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') = '{name.lower()}']"
 
 
+def element_texts(xml: Column, *paths: str) -> Column:
+    """Texts of the first element on each path, as an array; see :func:`element_text`.
+
+    One parse tells whether the document is whole and one more reads all paths, however many there are.
+    """
+    # NUL, which no document can hold, ends each text; one that is there has an x before it.
+    found = ", ".join(f"substring('x', 2 - number(boolean({path}))), string(({path})[1]), '\0'" for path in paths)
+    joined = F.when(_is_well_formed(xml), F.xpath_string(xml, F.lit(f"concat({found})")))
+    texts = F.transform(F.split(joined, "\\x00", -1), lambda text: F.when(text != "", F.substr(text, F.lit(2))))
+    return F.slice(texts, 1, len(paths))
+
+
+def _path(name: str, inside: str | None = None) -> str:
+    return (_named(inside) if inside else "") + _named(name)
+
+
 def element_text(xml: Column, name: str, inside: str | None = None) -> Column:
     """Text of the first element of that local name, perhaps only below one named ``inside``.
 
     The document is parsed, so comments do not count and entities and CDATA are read.
     ``''`` for an element without content, NULL when it is absent or the document is broken.
     """
-    path = (_named(inside) if inside else "") + _named(name)
-    present = F.xpath_boolean(xml, F.lit(path))
-    return F.when(_is_well_formed(xml), F.when(present, F.xpath_string(xml, F.lit(f"({path})[1]"))))
+    return F.get(element_texts(xml, _path(name, inside)), F.lit(0))
 
 
 def with_report_bytes(df: DataFrame, envelope: str, *, column: str = "report_base64", status: str = "status") -> DataFrame:
@@ -71,9 +85,12 @@ def with_report_bytes(df: DataFrame, envelope: str, *, column: str = "report_bas
 
 def soap_fault(envelope: Column) -> Column:
     """Fault message: ``faultstring``, else the ``Text`` inside ``Fault``."""
-    direct = null_if_empty(strip(element_text(envelope, "faultstring")))
-    inner = null_if_empty(strip(element_text(envelope, "Text", inside="Fault")))
-    return F.coalesce(direct, inner)
+    # An element's name stands in the text as it is, unless declarations build it; without either there is nothing to parse.
+    likely = F.when(F.lower(envelope).rlike("faultstring|text|<!"), envelope)
+    texts = element_texts(likely, _path("faultstring"), _path("Text", inside="Fault"))
+    # A lambda variable is bound once, so the first filled text is found without another parse.
+    filled = F.filter(F.transform(texts, lambda text: null_if_empty(strip(text))), lambda text: text.isNotNull())
+    return F.get(filled, F.lit(0))
 
 
 def with_result_xml(df: DataFrame, payload: str, *, column: str = "xml", status: str = "status") -> DataFrame:

@@ -1,10 +1,14 @@
 import base64
 import io
+import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from entry_queries.metadata import _zip_documents
+from extractkit import session
 from extractkit.errors import ResolutionError, SchemaMismatchError
 from extractkit.functions.naming import archive_type, catalog_path, document_account, is_protected_path, selector_key, singular_key, submission_job_name
 from extractkit.operators.catalog import catalog_items, listing_order, plan_copies
@@ -22,6 +26,7 @@ from extractkit.operators.registry import (
     resolve_requests,
 )
 from extractkit.sinks.tables import ManagedTables
+from extractkit.sources import archives, payloads
 from extractkit.sources.archives import archive_report, explode_archives
 from extractkit.sources.payloads import any_result_rows, job_children, job_status, result_columns, result_shape, result_rows, soap_fault, with_report_bytes, with_result_xml
 from extractkit.streaming.copies import read_folder_stream, stream_upsert
@@ -279,3 +284,49 @@ def test_rows_of_any_element(spark):
         {"k": 4, "H": "u"}, {"k": 6, "id": "child"},
     ]
     assert any_result_rows(frame.where("k = 3"), "x", keep=["k"]).count() == 0
+
+
+def test_a_fault_is_read_by_one_parse_of_its_document(spark):
+    cases = {
+        "<e><faultstring> a &lt; b </faultstring><Fault><Text>no</Text></Fault></e>": "a < b",
+        "<e><FaultString> </FaultString><x:Fault xmlns:x='u'><x:Text>second</x:Text></x:Fault></e>": "second",
+        "<e><faultstring/><Text>outside</Text></e>": None,
+        "<e><!-- <faultstring>no</faultstring> --></e>": None,
+        "<e><faultstring>cut off</e>": None,
+        "<e>plain</e>": None,
+        None: None,
+    }
+    rows = spark.createDataFrame([(i, xml) for i, xml in enumerate(cases)], "id int, xml string")
+    faults = rows.select("id", payloads.soap_fault(F.col("xml")).alias("fault"))
+    assert [r.fault for r in faults.orderBy("id").collect()] == list(cases.values())
+    parses = str(payloads.soap_fault(F.col("xml")))
+    assert parses.count("xpath") == 1 and parses.count("from_xml") == 1
+
+
+def test_heavy_rows_are_split_into_tasks_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    assert session.spread(spark.range(0, 1000, 1, 16), "id", rows=1000).rdd.getNumPartitions() == 100
+    assert session.spread(spark.range(0, 100, 1, 16), "id", rows=100).rdd.getNumPartitions() == 16
+
+
+def test_members_of_small_archives_share_a_batch_and_large_ones_do_not():
+    def packed(text):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr("a.txt", text)
+            archive.writestr("b.xml", "<b/>")
+        return buffer.getvalue()
+
+    def batches(texts):
+        return archives._member_batches(iter([pa.record_batch([[f"z{i}" for i in range(len(texts))], [packed(t) for t in texts]], ["archive", "content"])]))
+
+    small = list(batches(["t"] * 200))
+    assert [b.num_rows for b in small] == [400]
+    assert small[0].column(1).to_pylist()[:2] == ["a.txt", "b.xml"] and small[0].column(7).to_pylist()[:2] == ["t", "<b/>"]
+    assert [b.num_rows for b in batches(["x" * 5_000_000] * 3)] == [1, 2, 2, 1]
+
+
+def test_archives_are_built_a_few_at_a_time():
+    texts = [random.Random(i).randbytes(40_000).hex() for i in range(100)]
+    built = list(_zip_documents(iter([pa.record_batch([[str(i) for i in range(100)], texts, ["en"] * 100], ["path", "text", "lang"])])))
+    assert sum(b.num_rows for b in built) == 100 and max(b.nbytes for b in built) < 1_200_000
