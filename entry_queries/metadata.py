@@ -531,25 +531,35 @@ def _zip_documents(batches):
     import io
     import zipfile
 
+    import pyarrow as pa
+
+    def packed(paths, contents):
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+
     when = datetime.datetime(2024, 1, 1).timetuple()[:6]
     for batch in batches:
-        contents = []
-        for text, lang in zip(batch["text"], batch["lang"]):
+        paths, contents, held = [], [], 0
+        for path, text, lang in zip(*batch.columns):
+            text, lang = text.as_py(), lang.as_py()
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr(zipfile.ZipInfo(f"text/{lang}.txt", when), text.encode("utf-8"))
                 note = f"<n>{lang}</n>" if len(text) >= 500 else f"<n>{lang}"
                 archive.writestr(zipfile.ZipInfo("note.XML", when), note)
                 archive.writestr(zipfile.ZipInfo("empty/", when), b"")
+            paths.append(path.as_py())
             contents.append(buffer.getvalue())
-        import pandas as pd
-
-        yield pd.DataFrame({"path": batch["path"], "content": contents})
+            held += len(contents[-1])
+            if held >= 1 << 20:  # a few archives at a time, whatever the size of a batch
+                yield packed(paths, contents)
+                paths, contents, held = [], [], 0
+        if paths:
+            yield packed(paths, contents)
 
 
 def _archives(spark, folder):
     docs = load(spark, folder, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("path"), "text", "lang")
-    return docs.mapInPandas(_zip_documents, "path string, content binary")
+    return docs.mapInArrow(_zip_documents, "path string, content binary")
 
 
 @query(
