@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Member extensions that hold XML.
 XML_EXTENSIONS = (".xdo", ".xdm", ".xpt", ".xss", ".cfg", ".meta", ".sec", ".xml")
 
+# Text held before rows are sent off, and what a row counts beside its text.
+_BATCH_BYTES, _ROW_BYTES = 4 * 1024 * 1024, 256
+
 MEMBER_SCHEMA = (
     "archive string, member string, size_bytes bigint, is_xml boolean, unsafe_path boolean, "
     "xml_valid boolean, error string, text string"
@@ -59,20 +65,29 @@ def _refuse_entity(*_):
 
 def explode_archives(df: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """One row per member of the ZIP bytes in ``content``."""
-    import pandas as pd
-
-    names = [field.split()[0] for field in MEMBER_SCHEMA.split(", ")]
-
-    def run(batches):
-        for batch in batches:
-            for archive, data in zip(batch["archive"], batch["content"]):
-                # One archive at a time keeps the memory to a single unpacked file set.
-                rows = list(_member_rows(archive, bytes(data)))
-                if rows:
-                    yield pd.DataFrame(rows, columns=names).astype({"size_bytes": "Int64"})
-
     narrow = df.select(F.col(path).alias("archive"), F.col(content).alias("content"))
-    return narrow.mapInPandas(run, MEMBER_SCHEMA)
+    return narrow.mapInArrow(_member_batches, MEMBER_SCHEMA)
+
+
+def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task code: members of many small archives share a batch; what holds much text is sent off at once."""
+    rows, held = [], 0
+    for batch in batches:
+        for archive, data in zip(batch.column(0), batch.column(1)):
+            for row in _member_rows(archive.as_py(), bytes(data.as_py())):
+                rows.append(row)
+                held += _ROW_BYTES + len(row[-1] or "")
+                if held >= _BATCH_BYTES:
+                    yield _member_batch(rows)
+                    rows, held = [], 0
+    if rows:
+        yield _member_batch(rows)
+
+
+def _member_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string(), pa.string())
+    names = [field.split()[0] for field in MEMBER_SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)], names)
 
 
 def read_archives(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
