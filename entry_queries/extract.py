@@ -14,6 +14,7 @@ from extractkit.session import scratch_path
 from extractkit.sinks.delimited import csv_options, write_single_csv
 from extractkit.sinks.filesystem import Files
 from extractkit.sinks.parts import compare_parts, manifest_parts, part_columns, part_hashes, read_manifest, read_parts, write_parts
+from extractkit.sources.delimited import read_delimited
 from extractkit.streaming.copies import read_folder_stream, stream_parts
 
 from .common import TABLES, library, load
@@ -420,8 +421,7 @@ def single_csv_texts(spark, folder):
     docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
     target = f"{scratch_path(spark, 'single')}.csv"
     write_single_csv(docs, target, "doc_id", chunk_size=200)
-    read = spark.read.options(**{**csv_options(), "multiLine": "true"}).schema("doc_id bigint, text string, lang string")
-    return read.csv(target)
+    return read_delimited(spark, target, schema="doc_id bigint, text string, lang string")
 
 
 @query("SELECT c_mktsegment, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer GROUP BY c_mktsegment")
