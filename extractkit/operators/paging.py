@@ -224,6 +224,11 @@ def plan_chunks(
     return ChunkPlan(total_rows, planned, size, math.ceil(planned / size), start_offset)
 
 
+def among(column: str, numbers) -> Column:
+    """Is a whole number one of these?  They may be many, so they are handed over as one text."""
+    return F.expr(f"`{column}` IN ({', '.join(f'{number}L' for number in sorted(numbers))})")
+
+
 def chunk_table(spark, plan: ChunkPlan) -> DataFrame:
     """One row per planned chunk: ``chunk_id, row_offset, row_limit``."""
     size = F.lit(plan.chunk_size).cast("bigint")
@@ -555,7 +560,7 @@ class ChunkLayout:
             none = F.lit(0).cast("bigint")
             return self.df.limit(0).withColumn("chunk_id", none).withColumn("_row_no", none)
         if self.exact is None:
-            chunked = self.numbered if only is None else self.numbered.where(chunk.isin(sorted(only)))
+            chunked = self.numbered if only is None else self.numbered.where(among("chunk_id", only))
             parts = min(self.plan.total_chunks, max(self.groups, self.parallelism))
             return chunked.repartition(parts, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
         edges, per_group = self.exact
@@ -576,7 +581,7 @@ class ChunkLayout:
             "chunk_id", F.floor(row_no / self.plan.chunk_size).cast("bigint")
         )
         if only is not None:
-            placed = placed.where(chunk.isin(sorted(only)))
+            placed = placed.where(among("chunk_id", only))
         placed = placed.withColumn("_row_no", row_no + F.lit(self.plan.start_offset).cast("bigint"))
         return placed.drop("_bucket", "_group").sortWithinPartitions("chunk_id", "_row_no")
 

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins and splits skewed
 # partitions at run time; UTC keeps timestamp text stable; rows with long texts
-# reach Python in batches of a few MB.
+# reach Python in batches of a few MB; a task lists many folders, not one.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 # Rows of a task where the work per row is heavy: a compact table packs millions into one split.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,14 @@ class Files:
     def delete(self, path: str) -> None:
         self.system(path).delete(self._path(path), True)
 
+    def delete_all(self, paths: list[str]) -> None:
+        """Delete files of one file system; there may be many, and each takes its time."""
+        if not paths:
+            return
+        system = self.system(paths[0])
+        with ThreadPoolExecutor(8) as pool:
+            list(pool.map(lambda path: system.delete(self._path(path), False), paths))
+
     def read_json(self, path: str):
         stream = self.system(path).open(self._path(path))
         try:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..errors import FingerprintError, RowCountError, SourceChangedError
 from ..operators.checks import remaining
-from ..operators.paging import ChunkLayout, ChunkPlan, chunk_table, digest_terms, order_keys, plan_chunks, survey
+from ..operators.paging import ChunkLayout, ChunkPlan, among, chunk_table, digest_terms, order_keys, plan_chunks, survey
 from .delimited import chunk_of, csv_options, with_chunk_column
 from .filesystem import Files
 
@@ -70,6 +70,12 @@ def part_hashes(spark: SparkSession, folder: str | list[str], *, tolerant: bool
     return both.select("part", "bytes", F.coalesce("_hash", F.lit("unreadable")).alias("sha256"))
 
 
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names of all files of a dataset; listed by Spark's tasks, as there is a folder for each chunk."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return [row["part"] for row in found.select(_part_name("path").alias("part")).collect()]
+
+
 def read_parts(spark: SparkSession, folder: str | list[str], columns: list[str] | None = None, output_format: str = "parquet",
                *, delimiter: str = ",", include_header: bool = True) -> DataFrame:
     """The rows of a part dataset, without the chunk column unless asked for."""
@@ -183,15 +189,18 @@ def verify_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _describe(spark, folder: str, wave: set[int], plan: ChunkPlan, output_format: str, columns, text) -> list[dict]:
     """Manifest entries of the chunks a wave has written."""
-    present = {chunk_of(path) for path, _ in Files(spark).walk(folder)}
-    folders = [f"{folder}/chunk_id={chunk}" for chunk in sorted(wave & present)]
-    if not folders:
+    folders = folder
+    if len(wave) < plan.total_chunks:  # beside parts that are described already
+        present = {chunk_of(path) for path in listed(spark, folder)}
+        folders = [f"{folder}/chunk_id={chunk}" for chunk in sorted(wave & present)]
+    hashes = part_hashes(spark, folders, tolerant=False).collect() if folders else []
+    if not hashes:
         return []
     # Two small results, put together here: a join would have the optimizer test
     # the part name of every row before they are counted.
     counts = {row["part"]: row["rows"] for row in part_rows(spark, folders, output_format, columns, **text).collect()}
     described = []
-    for entry in part_hashes(spark, folders, tolerant=False).collect():
+    for entry in hashes:
         done = chunk_of(entry["part"]) * plan.chunk_size
         described.append(
             {
@@ -324,7 +333,7 @@ def _waves(df, order_by, plan: ChunkPlan, keys: DataFrame, todo: list[int], size
         for start in range(0, len(todo), size):
             wave = todo[start : start + size]
             tasks = min(len(wave), 4 * spark.sparkContext.defaultParallelism)
-            yield set(wave), staged.where(F.col("chunk_id").isin(wave)).repartition(tasks, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
+            yield set(wave), staged.where(among("chunk_id", wave)).repartition(tasks, "chunk_id").sortWithinPartitions("chunk_id", "_row_no")
     again = seen.get
     expected = sum(min(plan.chunk_size, plan.planned_rows - c * plan.chunk_size) for c in todo)
     whole = only is None and plan.planned_rows == plan.total_rows
@@ -343,13 +352,12 @@ def _write(body: DataFrame, parts: str, output_format: str, text: dict, encoding
 
 def _verified(spark, files: Files, parts: str, state: dict) -> list[dict]:
     """Recorded parts that still have their hash; everything else is removed."""
-    present = {path for path, _ in files.walk(parts)}
+    present = set(listed(spark, parts))
     good: set[str] = set()
     if present and state["files"]:
         checked = compare_parts(manifest_parts(spark, state), part_hashes(spark, parts))
         good = {row["part"] for row in checked.where("status = 'ok'").collect()}
-    for path in present - good:
-        files.delete(f"{parts}/{path}")
+    files.delete_all([f"{parts}/{path}" for path in present - good])
     return [item for item in state["files"] if item["part"] in good]
 
 

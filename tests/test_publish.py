@@ -7,8 +7,9 @@ from extractkit.errors import FingerprintError, NameConflictError, RowCountError
 from extractkit.operators import checks, paging, sketches
 from extractkit.operators.paging import plan_chunks
 from extractkit.plans.copy import copy_query
-from extractkit.sinks import parts
-from extractkit.sinks.delimited import write_single_csv
+from extractkit.sinks import delimited, parts
+from extractkit.sinks.delimited import join_files, write_single_csv
+from extractkit.sinks.filesystem import Files
 from extractkit.sinks.load_files import load_file_name, write_load_files
 from extractkit.sinks.parts import read_manifest, read_parts, verify_parts, write_parts
 from extractkit.sources.delimited import read_checked
@@ -260,3 +261,61 @@ def test_reconcile_raises(spark):
     with pytest.raises(RowCountError):
         checks.require_reconciled(checks.reconcile(planned, actual))
     assert plan_chunks(3, 2).to_dict()["total_chunks"] == 2
+
+
+def test_pieces_of_one_file_are_as_few_as_its_tasks(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(delimited, "join_files", lambda s, pieces, *rest: (seen.extend(pieces), join(s, pieces, *rest)))
+    join = join_files
+    result = write_single_csv(spark.range(5_000).selectExpr("4999 - id AS a"), str(tmp_path / "n.csv"), "a", chunk_size=10, encoding="utf-8")
+    assert result["chunks"] == 500 and len(seen) <= 4 * 4
+    assert (tmp_path / "n.csv").read_text().split() == ["a", *map(str, range(5_000))]
+
+
+def test_ties_keep_their_pieces_in_order(spark, tmp_path):
+    write_single_csv(spark.range(5_000).selectExpr("id % 7 AS a", "id"), str(tmp_path / "t.csv"), "a", chunk_size=10, encoding="utf-8")
+    found = [int(line.split(",")[0]) for line in (tmp_path / "t.csv").read_text().split()[1:]]
+    assert found == sorted(found) and len(found) == 5_000
+
+
+def test_whole_texts_of_one_file_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    from entry_queries.extract import single_csv_texts
+
+    odd = ['a,b\n"c"\n', "x\r\ny", "x\ry", "\n", '"', "é\n" * 50]
+    rows = [(i, odd[i % len(odd)] + "w" * 500, "en") for i in range(600)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        found = single_csv_texts(spark, str(tmp_path))
+        assert sorted(map(tuple, found.collect())) == rows
+        assert found.groupBy(F.spark_partition_id()).count().count() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_parts_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(Files, "walk", lambda self, path, prefix="": calls.append(path) or [])
+    target = str(tmp_path / "d")
+    write_parts(spark.range(100), target, "id", chunk_size=10)
+    work = tmp_path / ".d.extract-work"
+    whole = read_manifest(spark, target)
+    work.mkdir()
+    (tmp_path / "d").rename(work / "parts")
+    (work / "parts" / "stray.txt").write_text("x")
+    state = {"status": "failed", "fingerprint": whole["fingerprint"], "plan": whole["plan"], "files": whole["files"][:4]}
+    Files(spark).write_json(str(work / "checkpoint.json"), state)
+    assert write_parts(spark.range(100), target, "id", chunk_size=10).resumed_parts == 4
+    assert read_parts(spark, target).count() == 100 and not calls
+    assert not (tmp_path / "d" / "stray.txt").exists()
+
+
+def test_errors_of_sketches_copy_no_rows(spark):
+    rows = spark.range(2_000).selectExpr("id % 500 AS a", "IF(id % 3 = 0, NULL, id / 7.0D) AS b", "CAST(NULL AS STRING) AS c")
+    figures = sketches.sketch_figures(sketches.column_sketches(rows))
+    errors = sketches.sketch_errors(rows, figures)
+    assert "Expand" not in errors._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in errors.collect()} == {("a", True, True), ("b", True, True), ("c", True, None)}
+    wrong = figures.withColumn("distinct_values", F.lit(9).cast("bigint")).withColumn("q50", F.when(F.col("q50").isNotNull(), F.lit(-1.0)))
+    assert {tuple(r) for r in sketches.sketch_errors(rows, wrong).collect()} == {("a", False, False), ("b", False, False), ("c", False, None)}
