@@ -6,6 +6,8 @@ without loss of their bounds, so a part that is added or written again costs a l
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,21 +77,17 @@ def sketch_errors(df: DataFrame, figures: DataFrame) -> DataFrame:
     """
     told = figures.collect()  # one row for each column
     checks = []
-    for i, row in enumerate(told):
-        column = F.col(f"`{row.column_name}`")
-        checks.append(F.count_distinct(column).alias(f"d{i}"))
-        for q in QUANTILES:
-            value = row[f"q{int(100 * q)}"]
-            if value is not None:
-                checks += [F.avg((column < value).cast("double")).alias(f"b{i}_{int(100 * q)}"), F.avg((column <= value).cast("double")).alias(f"e{i}_{int(100 * q)}")]
-    one = df.agg(*checks)
-    rows = []
-    for i, row in enumerate(told):
-        ranks = F.lit(None).cast("boolean")
+    for row in told:
+        # Each column by itself: distinct counts of many columns in one aggregate would copy every row for each of them.
+        values = df.groupBy(F.col(f"`{row.column_name}`").alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("v").isNotNull())
+        terms, ranks = [F.count(F.lit(1)).alias("d")], F.lit(None).cast("boolean")
         if row["q50"] is not None:
             ranks = F.lit(True)
             for q in QUANTILES:
-                ranks = ranks & (F.col(f"b{i}_{int(100 * q)}") <= q + RANK_BOUND) & (F.col(f"e{i}_{int(100 * q)}") >= q - RANK_BOUND)
-        near = F.abs(F.lit(row.distinct_values) - F.col(f"d{i}")) <= F.ceil(F.col(f"d{i}") * DISTINCT_BOUND)
-        rows.append(F.struct(F.lit(row.column_name).alias("column_name"), near.alias("distinct_ok"), ranks.alias("ranks_ok")))
-    return one.select(F.inline(F.array(*rows)))
+                name = f"q{int(100 * q)}"
+                for kind, within in (("b", F.col("v") < row[name]), ("e", F.col("v") <= row[name])):
+                    terms.append(F.try_divide(F.sum(F.when(within, F.col("n")).otherwise(0)), F.sum("n")).alias(f"{kind}_{name}"))
+                ranks = ranks & (F.col(f"b_{name}") <= q + RANK_BOUND) & (F.col(f"e_{name}") >= q - RANK_BOUND)
+        near = F.abs(F.lit(row.distinct_values) - F.col("d")) <= F.ceil(F.col("d") * DISTINCT_BOUND)
+        checks.append(values.agg(*terms).select(F.lit(row.column_name).alias("column_name"), near.alias("distinct_ok"), ranks.alias("ranks_ok")))
+    return reduce(DataFrame.unionByName, checks)
