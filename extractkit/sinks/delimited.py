@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import csv
 import io
+import math
 import os
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import all_string
-from ..operators.paging import ChunkLayout, plan_chunks, survey
+from ..operators.paging import ChunkLayout, ChunkPlan, bucket_count, plan_chunks, survey
 from ..session import scratch_path
 from .filesystem import Files
 
@@ -168,7 +170,7 @@ def write_single_csv(
         plan = plan_chunks(
             totals["rows"], chunk_size, max_rows=max_rows, max_file_rows=max_file_rows, start_offset=start_offset
         )
-        chunks = ChunkLayout(df, order_by, plan, keys, aside=f"{aside}/rows").rows()
+        chunks = ChunkLayout(df, order_by, _in_pieces(plan, spark.sparkContext.defaultParallelism), keys, aside=f"{aside}/rows").rows()
         body = with_chunk_column(chunks, df.columns, all_varchar)
         body.write.options(**options).partitionBy("chunk_id").csv(pieces_path)
         files.delete(aside)
@@ -195,6 +197,12 @@ def write_single_csv(
     }
 
 
+def _in_pieces(plan: ChunkPlan, parallelism: int) -> ChunkPlan:
+    """The plan with whole chunks put together to a few pieces for each task: one file has no use for a piece for each chunk."""
+    together = max(1, math.ceil(plan.total_chunks / (4 * bucket_count(plan.planned_rows, parallelism))))
+    return replace(plan, chunk_size=together * plan.chunk_size, total_chunks=math.ceil(plan.total_chunks / together))
+
+
 def with_chunk_column(chunks: DataFrame, columns: list[str], as_text: bool) -> DataFrame:
     """The named columns, as text if asked, and the chunk to partition by."""
     kept = [F.col(f"`{c}`").cast("string").alias(c) if as_text else F.col(f"`{c}`") for c in columns]
