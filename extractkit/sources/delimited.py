@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,18 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, pa.Array]]:
+    """Task code: ``(file, block, lines)`` of the stretches of each batch that lie in one block."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files = batch.column(0).dictionary_encode()
+        places = np.stack([files.indices.to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)])
+        cuts = [0, *(np.flatnonzero((places[:, 1:] != places[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            yield batch.column(0)[start].as_py(), batch.column(1)[start].as_py(), batch.column(2).slice(start, stop - start)
+
+
 def quote_blocks(spark: SparkSession, path: str, delimiter: str = ",") -> dict[str, dict[int, tuple[bool, int]]]:
     """``{file: {block: (starts inside a quoted field, block where that record starts)}}``.
 
@@ -62,11 +76,9 @@ def quote_blocks(spark: SparkSession, path: str, delimiter: str = ",") -> dict[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, list] = {}
-        for batch in batches:
-            for file, block, line in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                state = found.setdefault((file, block), [False, True, False, False])
-                if line is None:
-                    continue
+        for file, block, lines in _runs(batches):
+            state = found.setdefault((file, block), [False, True, False, False])
+            for line in lines.to_pylist():
                 for i in (0, 1):  # the state after the lines so far if the block starts outside, inside; is the open record one of its own?
                     after = line_end(line, state[i], delimiter)
                     state[i + 2] = after and (state[i + 2] or not state[i])
@@ -113,34 +125,50 @@ def _records(blocks: dict[str, dict[int, tuple[bool, int]]], delimiter: str, hea
             elif held and not pieces and not (header and block == 0 and number == 0):
                 yield file, block, block, joined(held)
 
+        def sent(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if rows:
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        names = ["path", "origin", "block", "record"]
         ends = {name: max(known) for name, known in blocks.items()}
         file = block = None
         held: list[str] = []
         inside = foreign = False
         number = origin = 0
-        for batch in batches:
-            out = []
-            for name, start, line in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if (name, start) != (file, block):
-                    out += flush(True)
-                    file, block, held, number = name, start, [], 0
-                    if start not in blocks.get(name, {}):
-                        raise RuntimeError("The file or the size of its blocks has changed since it was opened.")
-                    inside, origin = blocks[name][start]
-                    foreign = inside
-                elif not inside:
-                    out += flush(False)
-                    held, number, foreign = [], number + (not foreign), False
-                held.append(line)
-                if '"' in line:
-                    inside = line_end(line, inside, delimiter)
-            if out:
-                kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["path", "origin", "block", "record"])
-        out = list(flush(True))
-        if out:
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["path", "origin", "block", "record"])
+        for name, start, lines in _runs(batches):
+            if (name, start) != (file, block):
+                yield from sent([*flush(True)])
+                file, block, held, number = name, start, [], 0
+                if start not in blocks.get(name, {}):
+                    raise RuntimeError("The file or the size of its blocks has changed since it was opened.")
+                inside, origin = blocks[name][start]
+                foreign = inside
+            # Only lines with quotes change the state; all others take that of the line before.
+            before, at = np.empty(len(lines), bool), 0
+            for i in np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)).tolist():
+                before[at : i + 1] = inside
+                inside, at = line_end(lines[i].as_py(), inside, delimiter), i + 1
+            before[at:] = inside
+            first = np.flatnonzero(~before)
+            if not len(first):
+                held += lines.to_pylist()
+                continue
+            held += lines.slice(0, first[0]).to_pylist()
+            out = [*flush(False)]
+            number, foreign = number + bool(held and not foreign), False
+            if len(first) > 1:  # records that are whole in this batch
+                skip = int(header and block == 0 and number == 0)
+                if not pieces and len(first) - 1 > skip:
+                    yield from sent(out)
+                    out = []
+                    lists = pa.ListArray.from_arrays(pa.array(first[skip:], pa.int32()), lines)
+                    texts = pc.binary_join(lists, "\n")
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(file), len(texts)), *[pa.repeat(pa.scalar(block, pa.int64()), len(texts))] * 2, texts], names)
+                number += len(first) - 1
+            yield from sent(out)
+            held = lines.slice(first[-1]).to_pylist()
+        yield from sent([*flush(True)])
 
     return run
 
@@ -166,9 +194,10 @@ def records(spark: SparkSession, path: str, delimiter: str = ",", *, header: boo
 
 
 def has_broken_lines(spark: SparkSession, path: str, delimiter: str = ",") -> bool:
-    """Does any quoted field run over a line end?  Lines with an odd number of quotes are candidates, the rest is quick."""
+    """Does any quoted field run over a line end?  Lines with quotes, an odd number of them or one line end more, are candidates; the rest is quick."""
     quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    return not spark.read.option("lineSep", "\n").text(path).where(quotes % 2 == 1).isEmpty()
+    candidates = spark.read.option("lineSep", "\n").text(path).where(F.contains("value", F.lit('"')))
+    return not candidates.where((quotes % 2 == 1) | F.rlike("value", F.lit("(?s)\r."))).isEmpty()
 
 
 def parser_options(delimiter: str) -> dict:

@@ -1,11 +1,13 @@
 import csv
 import io
 import random
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from extractkit.errors import FileFormatError, NameConflictError, ReadOnlyError, StatementError
 from extractkit.functions.naming import safe_alias, safe_name
+from extractkit.sources import delimited
 from extractkit.sources.delimited import infer_types, line_end, quote_blocks, read_checked, read_delimited, records, text_columns
 from extractkit.sources.library import assign_aliases, open_data_library
 from extractkit.sources.statements import bind
@@ -238,3 +240,20 @@ def test_parameters():
                 bind("a = ?", values)
     with pytest.raises(StatementError):
         bind("a = ? AND b = ?", [1])
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_records_are_put_together_across_batches(size):
+    wanted = [[str(i), random.Random(i).choice(["plain", 'q"q', "line\nbreak", "a\n\nb", ",", ""])] for i in range(120)]
+    text = io.StringIO()
+    csv.writer(text, lineterminator="\n").writerows([["a", "b"], *wanted])
+    lines = text.getvalue().split("\n")[:-1]
+
+    def batch(part):
+        return pa.record_batch([["f"] * len(part), pa.array([0] * len(part), pa.int64()), part], ["path", "block", "value"])
+
+    runs = [(f, b, len(v)) for f, b, v in delimited._runs(iter([batch(lines[:5])]))]
+    assert runs == [("f", 0, 5)]
+    read = delimited._records({"f": {0: (False, 0)}}, ",", True, False)
+    found = [r for b in read(iter([batch(lines[i : i + size]) for i in range(0, len(lines), size)])) for r in b.column(3).to_pylist()]
+    assert [next(csv.reader(io.StringIO(r))) for r in found] == wanted
