@@ -12,30 +12,36 @@ is about one sequence in ``PIECES_PER_TASK`` pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from string import punctuation
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from extractkit.llm.common import remembered, small_batches, stored
 from extractkit.session import spread
 
 LENGTH = 2048
 PIECES_PER_TASK = 50_000
-#: Words a task remembers with their ids.
+#: Words of a generation a task remembers with their ids; it keeps two generations.
 REMEMBERED = 500_000
 
-#: A word of letters, perhaps with marks after it.
-PLAIN = regex.compile(r"(\p{L}+)([.,;:!?]*)").fullmatch
+#: Bytes of rows whose words are looked up together.
+JOINED = 8_000_000
+
+#: Marks that may stand after the letters of a plain word.
+MARKS = punctuation
 
 
 def _byte_letters() -> dict[int, str]:
@@ -45,55 +51,119 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-BYTE_LETTERS = _byte_letters()
+BYTE_LETTERS = _byte_letters() | {32: " "}  # a space parts the words that are encoded together
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds(dict):
-    """A word's ids as bytes (unsigned, little-endian, 32 bits), encoded when first asked for.
+def parted(word: str) -> tuple[str, str]:
+    """The lower-cased letters of a plain word and the marks after them; nothing and the word itself for any other one."""
+    letters = word.rstrip(MARKS)
+    if letters.isalpha():
+        low = letters.lower()
+        if word.isascii() or is_normalized("NFC", word) and is_normalized("NFC", low) and len(low) == len(letters) and "\u03a3" not in word:
+            return low, word[len(letters) :]
+    return "", word
+
+
+class WordIds:
+    """The ids of words as bytes (unsigned, little-endian, 32 bits), remembered from text to text.
 
     The vocabulary's own splitting never joins text across a space or line feed, so a text's
     ids are those of its words, one after the other.  It also parts letters from the marks
-    after them and lower-cases; a word of this plain form goes to the merges at once, any
-    other one through the whole tokenizer.
+    after them and lower-cases; the letters of words of this plain form go to the merges at
+    once, all new ones of a batch together, any other word through the whole tokenizer.
+
+    A word asked for since ``recent`` was begun is in there; when that is full it becomes
+    ``older``, so that frequent words stay and those seen once go.
     """
 
     def __init__(self, vocabulary: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.model = self.tokenizer.model
-        self.letters = BYTE_LETTERS
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = self.encoded(word)
-        return found
-
-    def encoded(self, word: str) -> bytes:
-        plain = PLAIN(word)
-        if plain:
-            low = word.lower()
-            if word.isascii() or is_normalized("NFC", word) and is_normalized("NFC", low) and len(low) == len(word) and "\u03a3" not in word:
-                if plain[2] or low != word:
-                    return self[plain[1].lower()] + (self[plain[2]] if plain[2] else b"")
-                ids = [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
-                return np.array(ids, "<u4").tobytes()
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.merges = Tokenizer(self.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
+        vocab, suffix = self.tokenizer.get_vocab(), getattr(self.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # by id: does it end a word
+        self.last[[at for token, at in vocab.items() if suffix and token.endswith(suffix)]] = True
+        self.recent = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def known(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """What is remembered of some different words; ``encode`` gives the rest."""
+        found = list(map(self.recent.get, words))
+        missing = [word for word, ids in zip(words, found) if ids is None]
+        if not missing:
+            return found
+        again = list(map(self.older.get, missing))
+        if new := [word for word, ids in zip(missing, again) if ids is None]:
+            learnt = iter(encode(new))
+            again = [next(learnt) if ids is None else ids for ids in again]
+        self.recent.update(zip(missing, again))
+        rest = iter(again)
+        return [next(rest) if ids is None else ids for ids in found]
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, "<u4").tobytes() for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def merged(self, words: list[str]) -> list[bytes]:
+        """The ids of words of lower-case letters."""
+        spelt = " ".join(words).encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = np.array(self.merges.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(self.last[ids]) + 1)
+        if len(ends) != len(words):  # a vocabulary that does not mark the ends of words
+            return [np.array([token.id for token in self.model.tokenize(word)], "<u4").tobytes() for word in spelt.split(" ")]
+        data, ends = ids.tobytes(), ends.tolist()
+        return [data[start:end] for start, end in zip([0, *ends], ends)]
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some different words."""
+        if len(self.recent) >= REMEMBERED:
+            self.older, self.recent = self.recent, {"": b""}
+        found = list(map(self.recent.get, words))  # most are lower-case letters seen before
+        parts = [parted(word) for word, ids in zip(words, found) if ids is None]
+        lows = list({low: None for low, _ in parts})
+        letters = dict(zip(lows, self.known(lows, self.merged)))
+        rests = list({rest: None for _, rest in parts})
+        others = dict(zip(rests, self.known(rests, self.whole)))
+        made = (letters[low] + others[rest] if rest else letters[low] for low, rest in parts)
+        return [next(made) if ids is None else ids for ids in found]
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, a null one counting as empty; a word is looked up once for all of them."""
+        words = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        ids = np.array(self.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), dtype=object)
+        numbers, ends = coded.indices.to_numpy(), np.cumsum(pc.list_value_length(words).to_numpy()).tolist()
+        for start, end in zip([0, *ends], ends):
+            yield b"".join(ids[numbers[start:end]].tolist())
 
     def text(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
+        return next(self.texts(pa.array([text], pa.string())))
+
+
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of up to ``size`` bytes; a larger one stays as it is."""
+    held, total = [], 0
+    for batch in batches:
+        if held and total + batch.nbytes > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _pieces(vocabulary: str, end_id: int, length: int):
     end, step = np.array([end_id], "<u4").tobytes(), 4 * length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         words = remembered(("words", zlib.crc32(vocabulary.encode())), lambda: WordIds(vocabulary))
-        for batch in batches:
+        for batch in joined(batches, JOINED):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = words.text(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.texts(batch.column("text"))):
+                ids += end
                 rows += [
                     (doc_id, at // step, at // 4, len(part := ids[at : at + step]) // 4, zlib.crc32(part)) for at in range(0, len(ids), step)
                 ]
