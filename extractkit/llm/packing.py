@@ -17,6 +17,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from operator import add
 from string import punctuation
 from unicodedata import is_normalized
 
@@ -35,7 +36,7 @@ from extractkit.session import spread
 LENGTH = 2048
 PIECES_PER_TASK = 50_000
 #: Words of a generation a task remembers with their ids; it keeps two generations.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 #: Bytes of rows whose words are looked up together.
 JOINED = 8_000_000
@@ -89,18 +90,16 @@ class WordIds:
         self.older: dict[str, bytes] = {}
 
     def known(self, words: list[str], encode: Callable[[list[str]], list[bytes]]) -> list[bytes]:
-        """What is remembered of some different words; ``encode`` gives the rest."""
+        """What is remembered of some words; ``encode`` gives the rest."""
         found = list(map(self.recent.get, words))
-        missing = [word for word, ids in zip(words, found) if ids is None]
-        if not missing:
-            return found
-        again = list(map(self.older.get, missing))
-        if new := [word for word, ids in zip(missing, again) if ids is None]:
-            learnt = iter(encode(new))
-            again = [next(learnt) if ids is None else ids for ids in again]
-        self.recent.update(zip(missing, again))
-        rest = iter(again)
-        return [next(rest) if ids is None else ids for ids in found]
+        if missing := list({word: None for word, ids in zip(words, found) if ids is None}):
+            again = list(map(self.older.get, missing))
+            if new := [word for word, ids in zip(missing, again) if ids is None]:
+                learnt = iter(encode(new))
+                again = [next(learnt) if ids is None else ids for ids in again]
+            self.recent.update(zip(missing, again))
+            found = [self.recent[word] if ids is None else ids for word, ids in zip(words, found)]
+        return found
 
     def whole(self, words: list[str]) -> list[bytes]:
         return [np.array(found.ids, "<u4").tobytes() for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -121,11 +120,8 @@ class WordIds:
             self.older, self.recent = self.recent, {"": b""}
         found = list(map(self.recent.get, words))  # most are lower-case letters seen before
         parts = [parted(word) for word, ids in zip(words, found) if ids is None]
-        lows = list({low: None for low, _ in parts})
-        letters = dict(zip(lows, self.known(lows, self.merged)))
-        rests = list({rest: None for _, rest in parts})
-        others = dict(zip(rests, self.known(rests, self.whole)))
-        made = (letters[low] + others[rest] if rest else letters[low] for low, rest in parts)
+        letters = self.known([low for low, _ in parts], self.merged)
+        made = map(add, letters, self.known([rest for _, rest in parts], self.whole))
         return [next(made) if ids is None else ids for ids in found]
 
     def texts(self, texts: pa.Array) -> Iterator[bytes]:
